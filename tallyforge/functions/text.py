@@ -23,21 +23,30 @@ def unescape_newline(text: Column | str) -> Column:
     return F.replace(text, F.lit("\\n"), F.lit("\n"))
 
 
-def words(text: Column | str) -> Column:
-    """Whitespace-separated tokens, case and punctuation kept; blank text gives an empty array."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+def split_words(text: Column | str) -> Column:
+    """Whitespace-separated tokens, case and punctuation kept.
 
+    May hold an empty first or last entry; drop those after exploding, which is cheaper than
+    filtering the array.
+    """
+    return F.split(text, r"\s+")
 
-def clean_words(text: Column | str) -> Column:
-    """Words of ``clean_text``; text without letters gives an empty array."""
-    return F.filter(F.split(clean_text(text), " "), lambda w: w != "")
+
+def _windows_of(tokens: Column, width: int) -> Column:
+    """For each token, it and the up to ``width`` - 1 tokens after it, joined by spaces."""
+
+    def build(bound: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(bound))
+        return F.transform(starts, lambda i: F.array_join(F.slice(bound, i, width), " "))
+
+    # The outer one-element transform binds the tokens; used directly inside the inner lambda
+    # they would be computed again for every position.
+    return F.flatten(F.transform(F.array(tokens), build))
 
 
 def word_windows(cleaned: Column | str, width: int) -> Column:
-    """For each word of single-spaced text, the up to ``width`` words that start there."""
-    tokens = F.split(cleaned, " ")
-    starts = F.sequence(F.lit(1), F.size(tokens))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, width), " "))
+    """For each word of non-empty single-spaced text, the up to ``width`` words that start there."""
+    return _windows_of(F.split(cleaned, " "), width)
 
 
 def leading_phrases(window: Column | str, max_n: int) -> Column:
@@ -47,17 +56,13 @@ def leading_phrases(window: Column | str, max_n: int) -> Column:
 
 
 def ngrams(tokens: Column | str, max_n: int = 5) -> Column:
-    """All runs of 1 to ``max_n`` consecutive tokens, joined by spaces."""
-    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    size = F.size(tokens)
-
-    def runs_of(k: Column) -> Column:
-        starts = F.sequence(F.lit(1), size - k + 1)
-        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, k), " "))
+    """All runs of 1 to ``max_n`` consecutive tokens, joined by spaces.
 
-    lengths = F.sequence(F.lit(1), F.least(F.lit(max_n), size))
-    empty = F.array().cast("array<string>")
-    return F.when(size > 0, F.flatten(F.transform(lengths, runs_of))).otherwise(empty)
+    Tokens are words: not empty and without spaces.
+    """
+    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
+    runs = F.flatten(F.transform(_windows_of(tokens, max_n), lambda w: leading_phrases(w, max_n)))
+    return F.when(F.size(tokens) > 0, runs).otherwise(F.array().cast("array<string>"))
 
 
 def friends_array(joined: Column | str) -> Column:

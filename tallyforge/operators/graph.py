@@ -125,8 +125,8 @@ def pagerank(
 
     ranks = pages.withColumn("score", F.lit(1.0))
     for _ in range(rounds):
-        # One number per round comes back to the driver.
-        mass = ranks.where(F.col("links") == 0).agg(F.sum("score")).first()[0] or 0.0
+        loose = ranks.where(F.col("links") == 0)
+        mass = loose.agg(F.coalesce(F.sum("score"), F.lit(0.0))).scalar()
         shares = ranks.where(F.col("links") > 0).select(
             F.col("page").alias("src"),
             F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),

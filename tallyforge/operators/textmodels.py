@@ -8,12 +8,11 @@ from pyspark.sql.window import Window
 
 from tallyforge.functions.text import (
     clean_text,
-    clean_words,
     leading_phrases,
+    split_words,
     strip_tags,
     unescape_newline,
     word_windows,
-    words,
 )
 from tallyforge.scale import lookup_by_weight
 
@@ -25,8 +24,8 @@ def split_lines(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def word_count(lines: DataFrame, column: str = "value") -> DataFrame:
     """Whitespace tokens, case and punctuation kept, with their counts."""
-    tokens = lines.select(F.explode(words(column)).alias("word"))
-    return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    found = lines.select(F.explode(split_words(column)).alias("word")).where(F.col("word") != "")
+    return found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ngram_count(lines: DataFrame, max_n: int = 5, column: str = "value") -> DataFrame:
@@ -36,9 +35,12 @@ def ngram_count(lines: DataFrame, max_n: int = 5, column: str = "value") -> Data
     fraction of the shuffle of their phrases, and copies are then expanded once.
     """
     merged = lines.groupBy(F.col(column).alias("line")).agg(F.count(F.lit(1)).alias("copies"))
-    cleaned = merged.select(clean_text("line").alias("line"), "copies").where(F.col("line") != "")
-    windows = cleaned.select("copies", F.explode(word_windows("line", max_n)).alias("win"))
-    phrases = windows.select("copies", F.explode(leading_phrases("win", max_n)).alias("phrase"))
+    windows = merged.select("copies", F.explode(word_windows(clean_text("line"), max_n)).alias("win"))
+    # Empty lines give one empty window.  Dropping it here rather than the line beforehand keeps
+    # the cleaning expression out of the scan, where it would run on every copy.
+    phrases = windows.where(F.col("win") != "").select(
+        "copies", F.explode(leading_phrases("win", max_n)).alias("phrase")
+    )
     return phrases.groupBy("phrase").agg(F.sum("copies").alias("n"))
 
 
@@ -48,11 +50,18 @@ def min_count_prune(counts: DataFrame, min_count: int = 2) -> DataFrame:
 
 
 def split_prefix_last(counts: DataFrame) -> DataFrame:
-    """Phrases of two words and more as ``(prefix, word, n)``."""
+    """Phrases of two words and more as ``(prefix, word, n)``.
+
+    Written as a generator, not a filter: a filter on the phrase would be pushed below its
+    count, and the count could then not be shared with other readers of ``counts``.
+    """
     word = F.substring_index("phrase", " ", -1)
-    prefix = F.expr("left(phrase, length(phrase) - length(word) - 1)")
-    pairs = counts.where(F.col("phrase").contains(" ")).withColumn("word", word)
-    return pairs.select(prefix.alias("prefix"), "word", "n")
+    prefix = F.substring(F.col("phrase"), F.lit(1), F.length("phrase") - F.length(word) - 1)
+    pair = F.array(F.struct(prefix.alias("prefix"), word.alias("word")))
+    some = F.when(F.col("phrase").contains(" "), pair).otherwise(
+        F.array().cast("array<struct<prefix:string,word:string>>")
+    )
+    return counts.select("n", F.inline(some)).select("prefix", "word", "n")
 
 
 def top_k_next_word(pairs: DataFrame, k: int = 5) -> DataFrame:
@@ -87,14 +96,33 @@ def model_wide(model: DataFrame) -> DataFrame:
 def language_model(
     lines: DataFrame, max_n: int = 5, min_count: int = 2, k: int = 5, column: str = "value"
 ) -> DataFrame:
-    """Wide next-word model of text lines.
+    """Wide next-word model of text lines, as ``model_wide`` of the ``k`` best words per prefix.
 
-    The best words are chosen before the join with the prefix counts, which then carries at
-    most ``k`` rows per prefix.
+    The counts are read once: each phrase is sent to its own key, where it is the base, and to
+    the key of its prefix, where it is a candidate.  Ranking the base before the candidates and
+    keeping k + 1 rows per key cuts the data before the only shuffle after the count.
     """
     counts = min_count_prune(ngram_count(lines, max_n, column), min_count)
-    best = top_k_next_word(split_prefix_last(counts), k)
-    return model_wide(_with_probability(best, counts))
+    word = F.substring_index("phrase", " ", -1)
+    prefix = F.substring(F.col("phrase"), F.lit(1), F.length("phrase") - F.length(word) - 1)
+    own = F.struct(F.col("phrase").alias("prefix"), F.lit(None).cast("string").alias("word"))
+    sent = F.struct(prefix.alias("prefix"), word.alias("word"))
+    both = F.when(F.col("phrase").contains(" "), F.array(own, sent)).otherwise(F.array(own))
+    roles = counts.select("n", F.inline(both))
+    order = Window.partitionBy("prefix").orderBy(F.isnotnull("word"), F.desc("n"), "word")
+    top = roles.withColumn("rnk", F.row_number().over(order)).where(F.col("rnk") <= k + 1)
+    candidate = F.when(F.isnotnull("word"), F.struct("rnk", "word", "n"))
+    grouped = top.groupBy("prefix").agg(
+        F.max(F.when(F.isnull("word"), F.col("n"))).alias("base"),
+        F.sort_array(F.collect_list(candidate)).alias("best"),
+    )
+    # A key without a base row may have kept one candidate too many, but pruned counts always
+    # hold the prefix of a phrase they hold.
+    entries = F.transform(
+        F.slice("best", 1, k), lambda e: F.struct(e["word"], F.round(e["n"] / F.col("base"), 2))
+    )
+    kept = grouped.where((F.size("best") > 0) & F.col("base").isNotNull())
+    return kept.select("prefix", F.map_from_entries(entries).alias("predictor"))
 
 
 def tokens(
@@ -104,10 +132,12 @@ def tokens(
 
     Tags and escaped newlines are removed.
     """
-    found = clean_words(unescape_newline(strip_tags(text)))
-    if term is not None:
-        found = F.filter(found, lambda w: w == term)
-    return docs.select(F.explode(found).alias("word"), F.col(title).alias("title"))
+    cleaned = clean_text(unescape_newline(strip_tags(text)))
+    wanted = F.col("word") != "" if term is None else F.col("word") == term
+    # No alias on top of an equal name: it would survive in one branch of a self-join only and
+    # make two equal exchanges look different.
+    name = F.col(title) if title == "title" else F.col(title).alias("title")
+    return docs.select(F.explode(F.split(cleaned, " ")).alias("word"), name).where(wanted)
 
 
 def term_freq(tokens_df: DataFrame) -> DataFrame:
@@ -115,8 +145,12 @@ def term_freq(tokens_df: DataFrame) -> DataFrame:
 
 
 def doc_freq(tf: DataFrame) -> DataFrame:
-    """Documents per word; ``tf`` has one row per (word, title)."""
-    return tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    """Documents per word; ``tf`` has one row per (word, title).
+
+    Counting by ``tf`` (never 0) keeps that column in the plan, so the exchange behind ``tf`` is
+    the same one its other readers use and is run once.
+    """
+    return tf.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def count_distinct(df: DataFrame, column: str) -> DataFrame:
@@ -152,9 +186,12 @@ def tfidf(
     """
     # A literal one-row aggregate, evaluated once and used as a constant.
     total = docs.agg(F.count_distinct(title)).scalar()
+    if term is not None:
+        # Cleaning never joins letters, so other texts cannot have the word.
+        docs = docs.where(F.lower(text).contains(term))
     tf = term_freq(tokens(docs, title, text, term))
     if term is not None:
-        scored = tf.withColumn("df", tf.agg(F.count(F.lit(1))).scalar())
+        scored = tf.withColumn("df", tf.agg(F.count_if(F.col("tf") > 0)).scalar())
     else:
         scored = tf_join_df(tf, doc_freq(tf))
     ratio = F.expr("total div df") if integer_idf else F.col("total") / F.col("df")

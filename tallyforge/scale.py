@@ -172,9 +172,15 @@ def lookup_by_weight(
     The keys above 1/``max_keys`` of the total weight are broadcast: there are fewer than
     ``max_keys`` of them and they cover most rows, which then need no shuffle.  The remaining
     keys, none of them heavy, meet through an ordinary join.
+
+    The misses are found by an outer join because, unlike an anti join, it stays above the
+    aggregate that built ``rows``; both branches then read the same exchange.
     """
+    values = [c for c in table.columns if c != key]
     share = table.agg(F.sum(weight) / F.lit(max_keys)).scalar()
     frequent = F.broadcast(table.where(F.col(weight) > share))
     rare = table.where(F.col(weight) <= share)
-    rare_rows = rows.join(frequent.select(key), key, "left_anti")
-    return rows.join(frequent, key).unionByName(rare_rows.join(rare, key))
+    marked = rows.join(frequent, key, "left")
+    hits = marked.where(F.col(weight).isNotNull())
+    misses = marked.where(F.col(weight).isNull()).drop(*values)
+    return hits.unionByName(misses.join(rare, key))
