@@ -9,6 +9,8 @@ from tallyforge.operators import loadtest as lt
 from tallyforge.operators import social as so
 from tallyforge.plans import tables as t
 from tallyforge.plans.catalog import Catalog, rounded, text_times
+from tallyforge.sinks import writers
+from tallyforge.sources import files
 from tallyforge.sources.records import parse_records
 from tallyforge.streaming import twins as st
 
@@ -46,6 +48,39 @@ def kv_stream(s, d):
     return event_stream(s, d).selectExpr(*t.KVLOG)
 
 
+MERGED = """track_id string, sale_date string, sales_count bigint, title string, release string, artist_id string,
+    artist_name string, duration double, artist_hotttnesss double, year int"""
+
+
+def written(s, name, write):
+    """Write to a new shared folder and return its path."""
+    folder = st.new_folder(s, name)
+    write(folder)
+    return folder
+
+
+def merged_file(s, d):
+    return written(s, "merged", lambda p: writers.write_merged_csv(t.sales(s, d), t.songs(s, d), p))
+
+
+def quoted_parts(s, d):
+    return t.table(s, d, "part").selectExpr("concat_ws(',', p_partkey, '\"' || p_name || '\"', p_size) as value")
+
+
+def minute_log(s, d):
+    """Load per minute since 1970 and event type, as ``(minute, host, rps)``."""
+    minute = (F.unix_timestamp(F.col("ts").cast("timestamp")) / 60).cast("int").alias("minute")
+    events = t.table(s, d, "events").select(minute, F.col("event_type").alias("host"), F.floor("value").alias("value"))
+    return events.groupBy("minute", "host").agg(F.sum("value").cast("double").alias("rps"))
+
+
+def ini_text(s, d):
+    """One multi-line ``[Minute N]`` section per row; at most one line per event type."""
+    entry = F.concat_ws("=", "host", F.col("rps").cast("string"))
+    sections = minute_log(s, d).groupBy("minute").agg(F.array_join(F.sort_array(F.collect_list(entry)), "\n").alias("hosts"))
+    return sections.select(F.format_string("[Minute %d]\n%s\n", "minute", "hosts").alias("value"))
+
+
 HOURS = "select date_trunc('hour', ts) as h, {agg} as x from events group by 1"
 CLOSED = " where h + interval 1 hour <= (select max(ts) from events) - interval 1 hour"
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
@@ -132,6 +167,41 @@ def register(c: Catalog) -> None:
         select {STAMP.format('a.h')} as period_start, round(a.x, 6) as average, a.x >= 30 and coalesce(b.x >= 30, false) as alarm
         from hours a left join hours b on b.h = a.h - interval 1 hour""",
     )
+    # Files written and read back
+    c.add(
+        "write_text_tsv",
+        lambda s, d: files.read_tsv(s, written(s, "tsv", lambda p: writers.write_text_tsv(t.daily(s, d), p)), {"title": 0, "day": 1, "views": 2}),
+        "select title, cast(day as varchar) as day, cast(views as varchar) as views from daily",
+    )
+    merged = """select sa.track_id, cast(sa.sale_date as varchar) as sale_date, sa.sales_count, so.artist_id, so.year from sales sa
+        join songs so on so.track_id = sa.track_id"""
+    c.add(
+        "merged_csv",
+        lambda s, d: files.read_csv_plain(s, merged_file(s, d), MERGED).select(
+            "track_id", "sale_date", "sales_count", "artist_id", "year"
+        ),
+        merged,
+    )
+    c.add(
+        "read_csv_plain",
+        lambda s, d: files.read_csv_plain(
+            s, written(s, "csv", lambda p: quoted_parts(s, d).write.text(p)), "p_partkey bigint, name string, size int"
+        ),
+        """select p_partkey, '"' || p_name || '"' as name, p_size as size from part""",
+    )
+    minutes = "select cast(floor(epoch(ts) / 60) as int) as minute, event_type as host, sum(floor(value)) as rps from events group by 1, 2"
+    c.add(
+        "read_ini_log",
+        lambda s, d: rounded(files.read_ini_log(s, written(s, "ini", lambda p: ini_text(s, d).write.text(p))), "rps"),
+        f"select minute, host, cast(rps as double) as rps from ({minutes})",
+    )
+    c.add(
+        "rps_per_minute",
+        lambda s, d: rounded(lt.rps_per_minute(minute_log(s, d), 100), "rps"),
+        f"""with per_minute as (select minute, cast(sum(rps) as double) as rps from ({minutes}) group by minute)
+        select minute, rps, rps < 100 as below_target,
+        (select min(minute) from per_minute where rps >= 100) as first_minute_at_target from per_minute""",
+    )
     # Streaming
     c.add(
         "stream_latest_by_key",

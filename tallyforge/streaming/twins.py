@@ -52,29 +52,28 @@ def start_alarm(
 ) -> StreamingQuery:
     """Second half of the alarm: evaluate closed periods batch by batch.
 
-    Closed averages are appended under ``folder/averages`` by batch; each batch rewrites only its
-    own part, so a replay gives the same files.  Alarms read back the ``n`` - 1 periods before
-    the batch, which may lie in an earlier one.
+    A batch may complete an alarm begun in the one before, so the last ``n`` - 1 periods are kept
+    under ``folder/tail`` and read back by the next batch, nothing older.  Every batch writes only
+    its own folders, so a replay gives the same files.
     """
     span = F.expr(f"interval {period}") * F.lit(n - 1)
 
     def close(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{folder}/averages/batch={batch_id}")
-        edge = spark.read.parquet(f"{folder}/averages/batch={batch_id}").agg(
-            F.min("period_start").alias("first"), F.max("period_start").alias("last")
-        )
-        first, last = edge.first()
-        if first is None:
-            return
-        seen = spark.read.parquet(f"{folder}/averages").where(
-            (F.col("batch") <= batch_id)
-            & F.col("period_start").between(F.lit(first) - span, F.lit(last))
-        )
-        alarms = consecutive_breaches(seen.select("period_start", "average"), threshold, period, n, below)
-        alarms.where(F.col("period_start") >= F.lit(first)).write.mode("overwrite").parquet(
-            f"{folder}/alarms/batch={batch_id}"
-        )
+        # Written once and read back: each action on a batch would run its state update again.
+        own = f"{folder}/averages/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(own)
+        closed = spark.read.schema(batch.schema).parquet(own)
+        seen = closed
+        if batch_id > 0:
+            tail = spark.read.schema(batch.schema).parquet(f"{folder}/tail/batch={batch_id - 1}")
+            seen = closed.unionByName(tail)
+        first = closed.agg(F.min("period_start")).scalar()
+        alarms = consecutive_breaches(seen, threshold, period, n, below).where(F.col("period_start") >= first)
+        alarms.write.mode("overwrite").parquet(f"{folder}/alarms/batch={batch_id}")
+        last = seen.agg(F.max("period_start")).scalar()
+        kept = seen.where(F.col("period_start") > last - span)
+        kept.write.mode("overwrite").parquet(f"{folder}/tail/batch={batch_id}")
 
     return (
         averages.writeStream.outputMode("append")
