@@ -110,7 +110,8 @@ def pagerank(
         .select("page", F.coalesce("links", F.lit(0)).alias("links"))
         .withColumn("shards", F.ceil(F.col("links") / links_per_shard).cast("int"))
         .repartition(parts, "page")
-        .sortWithinPartitions("page")
+        .sortWithinPartitions("page"),
+        keep_layout=True,
     )
     n_pages = pages.count()
 
@@ -120,7 +121,8 @@ def pagerank(
         links.join(F.broadcast(big), "src", "left")
         .select("src", "dst", dealt.alias("shard"))
         .repartition(parts, "src", "shard")
-        .sortWithinPartitions("src", "shard")
+        .sortWithinPartitions("src", "shard"),
+        keep_layout=True,
     )
 
     ranks = pages.withColumn("score", F.lit(1.0))

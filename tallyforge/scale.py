@@ -38,16 +38,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stable(df: DataFrame) -> DataFrame:
+def stable(df: DataFrame, keep_layout: bool = False) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from the files.
 
-    The physical partitioning survives, so a later join on the same keys needs no exchange.
+    ``keep_layout`` keeps the partitioning and order of ``df`` known to the planner, so that a
+    later join on the same keys needs no exchange and no sort of this side.  An adaptive plan
+    does not report its layout, so this one plan is made without.
     """
     spark = df.sparkSession
     folder = checkpoint_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    if not keep_layout:
+        return df.checkpoint(eager=True)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # A new DataFrame, as an adaptive plan of this one may be cached already.
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def heavy_keys(
