@@ -75,28 +75,41 @@ def date_range_filter(daily: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     return daily.where(F.col("day").between(F.lit(lo), F.lit(hi)))
 
 
+def _first_day() -> Column:
+    # Comparing (day, views) gives the same day, but keeps views in the plan, so that the exchange
+    # behind ``daily`` is the one its main reader uses and is run once.
+    return F.min(F.struct("day", "views"))["day"]
+
+
 def day_axis(daily: DataFrame, days: Sequence[dt.date] | None = None) -> Column:
     """The days to report: those given, else every day from the first to the last seen."""
     if days is not None:
         return F.array(*[F.lit(d) for d in days])
-    return daily.agg(F.sequence(F.min("day"), F.max("day"))).scalar()
+    last = F.max(F.struct("day", "views"))["day"]
+    return daily.agg(F.sequence(_first_day(), last)).scalar()
 
 
-def days_per_title(daily: DataFrame, days: Sequence[dt.date] | None = None) -> DataFrame:
-    """``(title, days)``: per title an array of (day, views), one entry per day, 0 when absent.
+def days_per_title(
+    daily: DataFrame, days: Sequence[dt.date] | None = None, min_total: int | None = None
+) -> DataFrame:
+    """``(title, total, days)``: per title its total and an array of (day, views), one entry per
+    day, 0 when absent.  ``min_total`` keeps titles above it.
 
     A group is at most one entry per calendar day, so collecting it is bounded.
     """
     seen = daily.groupBy("title").agg(
-        F.map_from_entries(F.collect_list(F.struct("day", "views"))).alias("seen")
+        F.sum("views").alias("total"),
+        F.map_from_entries(F.collect_list(F.struct("day", "views"))).alias("seen"),
     )
+    if min_total is not None:
+        seen = seen.where(F.col("total") > min_total)
     filled = F.transform(
         "axis",
         lambda d: F.struct(
             d.alias("day"), F.coalesce(F.try_element_at("seen", d), F.lit(0)).alias("views")
         ),
     )
-    return seen.withColumn("axis", day_axis(daily, days)).select("title", filled.alias("days"))
+    return seen.withColumn("axis", day_axis(daily, days)).select("title", "total", filled.alias("days"))
 
 
 def dense_days(daily: DataFrame, days: Sequence[dt.date] | None = None) -> DataFrame:
@@ -157,7 +170,7 @@ def join_list(ranked: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
 
 def top_with_zero_first_day(daily: DataFrame, first_day: dt.date | None = None) -> DataFrame:
     """The most viewed title among those with no views on the first day."""
-    start = F.lit(first_day) if first_day is not None else daily.agg(F.min("day")).scalar()
+    start = F.lit(first_day) if first_day is not None else daily.agg(_first_day()).scalar()
     totals = daily.groupBy("title").agg(
         F.sum("views").alias("total"),
         F.sum(F.when(F.col("day") == start, F.col("views")).otherwise(0)).alias("on_first"),

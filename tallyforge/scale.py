@@ -27,14 +27,15 @@ _SLOT_BITS = 33  # monotonically_increasing_id keeps the in-partition row number
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints; a local temporary one only on a local master."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tallyforge-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    """The shared folder for checkpoints and written tables; a temporary one on a local master."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="tallyforge-ckpt-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
@@ -46,9 +47,7 @@ def stable(df: DataFrame, keep_layout: bool = False) -> DataFrame:
     does not report its layout, so this one plan is made without.
     """
     spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    checkpoint_dir(spark)
     if not keep_layout:
         return df.checkpoint(eager=True)
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")

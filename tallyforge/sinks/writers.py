@@ -27,15 +27,10 @@ def month_line(
 ) -> DataFrame:
     """``(title, line)`` with line = ``total TAB title TAB yyyymmdd:n TAB ...``, trailing tab kept.
 
-    Every day of the axis is written; ``min_total`` keeps titles above it only.
+    Every day of the axis is written, and the total covers all days; ``min_total`` keeps titles
+    above it only.
     """
-    filled = days_per_title(daily, days)
-    total = F.aggregate(
-        "days", F.lit(0).cast("bigint"), lambda s, x: s + x["views"]
-    )
-    rows = filled.withColumn("total", total)
-    if min_total is not None:
-        rows = rows.where(F.col("total") > min_total)
+    rows = days_per_title(daily, days, min_total)
     token = lambda x: F.concat(F.date_format(x["day"], "yyyyMMdd"), F.lit(":"), x["views"].cast("string"))
     line = F.concat_ws(
         "\t", F.col("total").cast("string"), "title", F.array_join(F.transform("days", token), "\t"), F.lit("")

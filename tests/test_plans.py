@@ -89,3 +89,10 @@ def test_range_lookup_is_an_equi_join(spark, no_broadcast):
 def test_no_python_workers(spark):
     for df in (t.ngram_counts(spark, SF_DIR), textmodels.tfidf(t.titled_docs(spark, SF_DIR))):
         assert "Python" not in plan(df) and "Pandas" not in plan(df)
+
+
+def test_day_axis_shares_the_daily_exchange(spark):
+    df = pageviews.longest_increasing_run(t.daily(spark, SF_DIR))
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    assert "ReusedExchange [title" in execution.executedPlan().toString()

@@ -119,3 +119,34 @@ def test_pagerank_with_sharded_hub(spark):
     sharded = {r["page"]: r["score"] for r in pagerank(edges, rounds=3, links_per_shard=4).collect()}
     assert plain.keys() == sharded.keys()
     assert all(abs(plain[p] - sharded[p]) < 1e-9 for p in plain)
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    """A session without spark.checkpoint.dir."""
+
+    def __init__(self, master):
+        self.sparkContext = _Context(master)
+        self.conf = {}
+
+
+def test_checkpoint_folder_is_temporary_only_on_a_local_master():
+    local = _Session("local[2]")
+    folder = scale.checkpoint_dir(local)
+    assert folder and scale.checkpoint_dir(local) == folder == local.sparkContext.folder
+    with pytest.raises(ValueError):
+        scale.checkpoint_dir(_Session("yarn"))
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    assert scale.checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
