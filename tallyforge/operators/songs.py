@@ -32,7 +32,7 @@ def range_and_threshold(
 
 
 def equals_ignore_case(df: DataFrame, column: str, value: str) -> DataFrame:
-    return df.where(F.lower(column) == value.lower())
+    return df.where(F.lower(column) == F.lower(F.lit(value)))
 
 
 def like_any(df: DataFrame, columns: Sequence[str], pattern: str, ci: bool = False) -> DataFrame:

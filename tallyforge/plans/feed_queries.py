@@ -8,7 +8,7 @@ from tallyforge.operators import keyvalue as kv
 from tallyforge.operators import loadtest as lt
 from tallyforge.operators import social as so
 from tallyforge.plans import tables as t
-from tallyforge.plans.catalog import Catalog, rounded, text_times
+from tallyforge.plans.catalog import Catalog, rounded, text_days, text_times
 from tallyforge.sinks import writers
 from tallyforge.sources import files
 from tallyforge.sources.records import parse_records
@@ -67,6 +67,23 @@ def quoted_parts(s, d):
     return t.table(s, d, "part").selectExpr("concat_ws(',', p_partkey, '\"' || p_name || '\"', p_size) as value")
 
 
+def dated_files(s, d):
+    """Page-count lines in files of two dates, clicks under the first."""
+    line = F.expr("concat_ws(' ', project, title, views, event_id) as value")
+    rows = t.table(s, d, "events").selectExpr(
+        t.PROJECT, t.TITLE, "cast(floor(value) as bigint) as views", "event_id", "event_type"
+    )
+
+    def write(folder):
+        for day, chosen in (("20240131", "event_type = 'click'"), ("20240201", "event_type <> 'click'")):
+            named = rows.where(chosen).select(line).write.option(
+                "mapreduce.output.basename", f"pagecounts-{day}-000000"
+            )
+            named.text(f"{folder}/{day}")
+
+    return written(s, "dated", write)
+
+
 def minute_log(s, d):
     """Load per minute since 1970 and event type, as ``(minute, host, rps)``."""
     minute = (F.unix_timestamp(F.col("ts").cast("timestamp")) / 60).cast("int").alias("minute")
@@ -182,6 +199,13 @@ def register(c: Catalog) -> None:
         ),
         merged,
     )
+    c.add(
+        "file_date",
+        lambda s, d: text_days(files.read_pagecounts(s, f"{dated_files(s, d)}/*", file_date=True)),
+        f"""select {t.PROJECT.replace("string", "varchar")}, {t.TITLE.replace("string", "varchar")},
+        cast(floor(value) as bigint) as views, event_id as nbytes,
+        case when event_type = 'click' then '2024-01-31' else '2024-02-01' end as day from events""",
+    )
     c.add(
         "read_csv_plain",
         lambda s, d: files.read_csv_plain(

@@ -19,8 +19,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_file_date(lines: DataFrame) -> DataFrame:
-    """Add ``day`` from a file name like ``name-yyyymmdd-hhmmss``; null for other names."""
-    stamp = F.regexp_extract(F.col("_metadata.file_name"), r"-(\d{8})-\d{6}(\.\w+)*$", 1)
+    """Add ``day`` from a file name holding ``-yyyymmdd-hhmmss``; null for other names."""
+    stamp = F.regexp_extract(F.col("_metadata.file_name"), r"-(\d{8})-\d{6}(?!\d)", 1)
     return lines.withColumn("day", F.try_to_timestamp(stamp, F.lit("yyyyMMdd")).cast("date"))
 
 
