@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.scale import HEAVY_ROWS, carry_forward
+from tallyforge.scale import HEAVY_ROWS, carry_forward, join_unique
 
 
 def latest_by_key(log: DataFrame, by_loc: bool = False) -> DataFrame:
@@ -24,10 +24,12 @@ def asof_read(log: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
     return filled.where(F.col("op") == "GET").select("seq", "ts", "k", "value")
 
 
-def point_lookup(df: DataFrame, ids: DataFrame | Sequence, column: str) -> DataFrame:
+def point_lookup(
+    df: DataFrame, ids: DataFrame | Sequence, column: str, min_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Rows whose ``column`` is among ``ids`` (a list, or a DataFrame with that column)."""
     if isinstance(ids, DataFrame):
-        return df.join(ids.select(column).distinct(), column, "left_semi")
+        return join_unique(df, ids.select(column).distinct(), [column], "left_semi", min_rows)
     return df.where(F.col(column).isin(list(ids)))
 
 

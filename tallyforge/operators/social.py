@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.text import friends_array as friends_of
-from tallyforge.scale import MAX_ITEMS, pack_sorted
+from tallyforge.scale import HEAVY_ROWS, MAX_ITEMS, join_unique, pack_sorted
 
 # Field and record separators of the import format.
 FIELD_SEP = "\x03"
@@ -48,15 +48,19 @@ def credential_join(requests: DataFrame, userinfo: DataFrame) -> DataFrame:
     return joined.withColumn("name", F.coalesce("username", F.lit("Unauthorized"))).drop("username")
 
 
-def feed_join(follows: DataFrame, userinfo: DataFrame, userimage: DataFrame) -> DataFrame:
+def feed_join(
+    follows: DataFrame, userinfo: DataFrame, userimage: DataFrame, min_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """``(userid, followed, name, time, url)``: the image of everyone a user follows.
 
-    Names and images are joined first, one row per user each, so the follow table is moved once.
+    Names and images are joined first, one row per user each, so the follow table is moved once;
+    users followed by very many are looked up without moving their followers.
     Followed users without an image are left out; a missing name stays null.
     """
     profile = userimage.join(userinfo.select("userid", F.col("username").alias("name")), "userid", "left")
     profile = profile.select(F.col("userid").alias("followed"), "name", "time", "url")
-    return follows.select("userid", "followed").join(profile, "followed").select(
+    pairs = follows.select("userid", "followed")
+    return join_unique(pairs, profile, ["followed"], min_rows=min_rows).select(
         "userid", "followed", "name", "time", "url"
     )
 

@@ -73,14 +73,15 @@ def top_k_next_word(pairs: DataFrame, k: int = 5) -> DataFrame:
     return pairs.withColumn("rnk", F.row_number().over(order)).where(F.col("rnk") <= k)
 
 
-def _with_probability(pairs: DataFrame, counts: DataFrame) -> DataFrame:
-    base = counts.select(F.col("phrase").alias("prefix"), F.col("n").alias("base"))
-    return pairs.join(base, "prefix").withColumn("prob", F.round(F.col("n") / F.col("base"), 2))
-
-
 def next_word_prob(counts: DataFrame) -> DataFrame:
-    """``(prefix, word, n, base, prob)`` with prob = n / count of the prefix, 2 decimals."""
-    return _with_probability(split_prefix_last(counts), counts)
+    """``(prefix, word, n, base, prob)`` with prob = n / count of the prefix, 2 decimals.
+
+    A prefix has at most as many next words as it has occurrences, so its own count tells which
+    prefixes may be heavy.
+    """
+    base = counts.select(F.col("phrase").alias("prefix"), F.col("n").alias("base"))
+    found = lookup_by_weight(split_prefix_last(counts), base, "prefix", "base")
+    return found.withColumn("prob", F.round(F.col("n") / F.col("base"), 2))
 
 
 def model_wide(model: DataFrame) -> DataFrame:
@@ -168,8 +169,9 @@ def tf_join_df(tf: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def df_lookup(tf: DataFrame, df: DataFrame) -> DataFrame:
-    """Document counts of the words in ``tf``, leaving the strategy to the adaptive planner."""
-    return tf.join(df, "word")
+    """Document counts looked up for every row of ``tf``: the frequent part of the table is held
+    by every executor, nothing is collected on the driver."""
+    return lookup_by_weight(tf, df, "word", "df")
 
 
 def tfidf(

@@ -71,18 +71,47 @@ def heavy_keys(
     return counts.where((F.col("key_rows") > min_rows) & (F.col("key_rows") > share)).select(*keys)
 
 
+def _find_heavy(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame | None:
+    """The heavy keys as a broadcast table, or None when there are none."""
+    heavy = stable(heavy_keys(df, keys, min_rows))
+    # Fewer than MAX_HEAVY_KEYS rows by construction.
+    return None if heavy.isEmpty() else F.broadcast(heavy)
+
+
 def split_heavy(
     df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS
 ) -> tuple[DataFrame, DataFrame | None]:
     """Split into (rows of ordinary keys, rows of heavy keys or None when there are none).
 
-    Null keys never match the heavy list, so they must not occur in ``keys``.
+    Null keys never match the heavy list and stay with the ordinary ones.
     """
-    heavy = stable(heavy_keys(df, keys, min_rows))
-    if heavy.isEmpty():
+    heavy = _find_heavy(df, keys, min_rows)
+    if heavy is None:
         return df, None
-    listed = F.broadcast(heavy)  # fewer than MAX_HEAVY_KEYS rows by construction
-    return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
+    return df.join(heavy, list(keys), "left_anti"), df.join(heavy, list(keys), "left_semi")
+
+
+def join_unique(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    min_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Join ``rows`` to ``table``, which has one row per key, whatever the skew of ``rows``.
+
+    The adaptive skew join splits a hot key only when both sides come straight from an exchange;
+    a side that was joined or aggregated by the same key before is beyond it.  Here the heavy
+    keys meet their few table rows by broadcast, and the others by an ordinary join.
+    """
+    keys = list(keys)
+    heavy = _find_heavy(rows, keys, min_rows)
+    if heavy is None:
+        return rows.join(table, keys, how)
+    few = F.broadcast(table.join(heavy, keys, "left_semi"))
+    light_rows = rows.join(heavy, keys, "left_anti")
+    heavy_rows = rows.join(heavy, keys, "left_semi")
+    return light_rows.join(table, keys, how).unionByName(heavy_rows.join(few, keys, how))
 
 
 def sorted_cells(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:

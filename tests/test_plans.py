@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge import scale
-from tallyforge.operators import keyvalue, pageviews, songs, textmodels
+from tallyforge.operators import keyvalue, pageviews, social, songs, textmodels
 from tallyforge.plans import tables as t
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -96,3 +96,48 @@ def test_day_axis_shares_the_daily_exchange(spark):
     execution = df._jdf.queryExecution()
     execution.toRdd().count()
     assert "ReusedExchange [title" in execution.executedPlan().toString()
+
+
+@pytest.fixture
+def small_skew_limits(spark, no_broadcast):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, old in before.items():
+        spark.conf.unset(k) if old is None else spark.conf.set(k, old)
+
+
+def _hot(spark, n=400_000):
+    """A third of the rows under one key, written by several tasks."""
+    return spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("key"), F.col("id").alias("row")
+    )
+
+
+def test_hot_track_is_split_by_the_join(spark, small_skew_limits):
+    sales = _hot(spark).selectExpr("cast(key as string) as track_id", "row as sales_count")
+    catalog = spark.range(5000).selectExpr("cast(id as string) as track_id", "uuid() as title")
+    for how in ("inner", "left"):
+        assert "skew=true" in plan(songs.join_sales_songs(sales, catalog, how), run=True)
+
+
+def test_popular_user_is_looked_up_by_the_feed_join(spark, small_skew_limits):
+    """The profiles were joined by user before, which the adaptive skew join cannot split."""
+    follows = _hot(spark).selectExpr("row as userid", "key as followed")
+    users = spark.range(5000).selectExpr("id as userid", "uuid() as username", "uuid() as password")
+    images = spark.range(5000).selectExpr("id as userid", "uuid() as time", "uuid() as url")
+    text = plan(social.feed_join(follows, users, images, min_rows=50_000))
+    assert "Union" in text and "BroadcastHashJoin [followed" in text
+
+
+def test_hot_requester_is_split_by_the_credential_join(spark, small_skew_limits):
+    asked = _hot(spark).selectExpr("key as userid", "'p' as password", "row as request")
+    users = spark.range(5000).selectExpr("id as userid", "uuid() as username", "'p' as password")
+    assert "skew=true" in plan(social.credential_join(asked, users), run=True)

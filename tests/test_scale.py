@@ -6,9 +6,9 @@ from pyspark.sql.window import Window
 
 from tallyforge import scale
 from tallyforge.operators.graph import collect_neighbours, pagerank
-from tallyforge.operators.keyvalue import asof_read, latest_by_key
+from tallyforge.operators.keyvalue import asof_read, latest_by_key, point_lookup
 from tallyforge.operators.pageviews import join_list
-from tallyforge.operators.social import adjacency_line, feed_json, feed_sort
+from tallyforge.operators.social import adjacency_line, feed_join, feed_json, feed_sort
 
 
 @pytest.fixture(scope="module")
@@ -62,6 +62,25 @@ def test_lookup_by_weight_equals_join(spark, skewed, rows):
         assert rows(found.select("k", "n", "w")) == rows(skewed.join(table, "k").select("k", "n", "w"))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_join_unique_equals_join(spark, skewed, rows, how):
+    table = skewed.where("k <> 7").groupBy("k").agg(F.max("n").alias("top"))
+    plain = skewed.join(table, "k", how)
+    assert rows(scale.join_unique(skewed, table, ["k"], how, min_rows=500).select(*plain.columns)) == rows(plain)
+    assert rows(scale.join_unique(skewed, table, ["k"], how).select(*plain.columns)) == rows(plain)
+
+
+def test_feed_and_point_lookup_hot_key(spark, skewed, rows):
+    follows = skewed.selectExpr("n as userid", "k as followed")
+    users = spark.range(40).selectExpr("id as userid", "concat('u', id) as username", "'p' as password")
+    images = spark.range(10, 51).selectExpr("id as userid", "'t' as time", "concat('i', id) as url")
+    for pictures in (images, images.selectExpr("userid - 10 as userid", "time", "url")):
+        plain = feed_join(follows, users, pictures)
+        assert rows(feed_join(follows, users, pictures, min_rows=500)) == rows(plain)
+    wanted = spark.createDataFrame([(0,), (3,), (3,)], "k long")
+    assert rows(point_lookup(skewed, wanted, "k", min_rows=500)) == rows(skewed.where("k in (0, 3)"))
+
+
 def test_asof_read_hot_key(spark, rows):
     log = spark.range(600).select(
         F.col("id").alias("seq"), (F.col("id") / 3).cast("int").cast("timestamp").alias("ts"),
