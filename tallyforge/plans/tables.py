@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.functions.predicates import FILE_ENDINGS, NAMESPACES, RESERVED_TITLES
 from tallyforge.operators.pageviews import filter_articles, sum_by_title_day
 from tallyforge.operators.textmodels import ngram_count, split_lines
 
@@ -129,10 +130,11 @@ def titled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 VIEWS = {
     "pagecounts": f"""select {PROJECT.replace("string", "varchar")}, {TITLE.replace("string", "varchar")},
   cast(floor(value) as bigint) as views, cast(ts as date) as day from events""",
-    "articles": r"""select title, day, views from pagecounts where project = 'en'
-  and not regexp_matches(title, '^(MediaWiki_talk|MediaWiki|Media|Special|Talk|User_talk|User|Project_talk|Project|File_talk|File|Template_talk|Template|Help_talk|Help|Category_talk|Category|Portal|Wikipedia_talk|Wikipedia):')
+    "articles": f"""select title, day, views from pagecounts where project = 'en'
+  and not regexp_matches(title, '^({"|".join(NAMESPACES)}):')
   and regexp_matches(title, '^[^a-z]')
-  and not regexp_matches(title, '\.(jpg|gif|png|JPG|GIF|PNG|txt|ico)$|^(404_error/|Main_Page|Hypertext_Transfer_Protocol|Search)$')""",
+  and not regexp_matches(title, '[.]({"|".join(FILE_ENDINGS)})$')
+  and title not in ({", ".join(f"'{x}'" for x in RESERVED_TITLES)})""",
     "daily": "select title, day, cast(sum(views) as bigint) as views from articles group by title, day",
     "axis": "select unnest(generate_series(min(day), max(day), interval 1 day))::date as day from daily",
     "dense": """select t.title, a.day, coalesce(d.views, 0) as views
