@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import langid, packing, rules, sharding
+from tallyforge.llm import cotraining, langid, packing, rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    scored = cotraining.quality_classifier(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "content_score", "metadata_score", "score", "accepted")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -54,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
 }
 
