@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import cotraining, langid, packing, rules, sharding
+from tallyforge.llm import cotraining, jaccard, langid, packing, rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), jaccard.Similarity(width=4, percent=85))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -58,6 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
