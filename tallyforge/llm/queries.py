@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import cotraining, jaccard, langid, packing, rules, sharding
+from tallyforge.llm import cotraining, jaccard, langid, packing, recompression, rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,12 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), jaccard.Similarity(width=4, percent=85))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = recompression.substring_dedup(docs, 13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -63,6 +69,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
