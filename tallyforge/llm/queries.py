@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import cotraining, jaccard, langid, packing, recompression, rules, sharding
+from tallyforge.llm import cotraining, jaccard, langid, packing, recompression, rules, sharding, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = suffixes.suffix_dedup(docs, 100)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     scored = cotraining.quality_classifier(docs, table(spark, sf_dir, "labels"))
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
 }
