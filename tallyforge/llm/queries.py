@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import cotraining, jaccard, langid, packing, recompression, rules, sharding, suffixes
+from tallyforge.llm import cotraining, decontamination, jaccard, langid, packing, recompression, rules, sharding, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), jaccard.Similarity(width=4, percent=85))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = recompression.substring_dedup(docs, 13)
@@ -75,6 +80,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
