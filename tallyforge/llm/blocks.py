@@ -39,17 +39,19 @@ class Block:
     ids: np.ndarray
     known: np.ndarray
     texts: list[bytes]  # null: empty
+    null: np.ndarray
     rest: pa.Table
 
     @classmethod
     def of(cls, row: dict) -> Block:
-        sizes = np.frombuffer(row["sizes"], "<i8")
+        sizes = np.frombuffer(row["sizes"], "<i8")  # -1: null
+        null, sizes = sizes < 0, np.maximum(sizes, 0)
         data = zstandard.ZstdDecompressor().decompress(row["texts"])
         ends = np.cumsum(sizes).tolist()
         texts = [data[e - s : e] for e, s in zip(ends, sizes.tolist())]
         rest = pa.ipc.open_stream(row["rest"]).read_all()
         ids = np.frombuffer(row["ids"], "<i8")
-        return cls(row["block"], ids, np.frombuffer(row["known"], bool), texts, rest)
+        return cls(row["block"], ids, np.frombuffer(row["known"], bool), texts, null, rest)
 
 
 def _sink(table: pa.Table) -> bytes:
@@ -85,7 +87,7 @@ def text_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                     "bytes": int(sizes[a:b].sum()),
                     "ids": np.asarray(pa.compute.fill_null(ids, 0), dtype="<i8").tobytes(),
                     "known": np.asarray(pa.compute.is_valid(ids), dtype=bool).tobytes(),
-                    "sizes": sizes[a:b].astype("<i8").tobytes(),
+                    "sizes": np.where(np.asarray(part.column(text_at).is_valid()), sizes[a:b], -1).astype("<i8").tobytes(),
                     "texts": compress(b"".join(values)),
                     "rest": _sink(rest),
                 }

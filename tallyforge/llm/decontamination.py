@@ -245,6 +245,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **optio
     return found.select("doc_id", "leak.item_id", "leak.similarity", "leak.start")
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without a leak, with their columns."""
-    return with_leaks(docs, benchmark, **options).where(F.size("leaks") == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    found = with_leaks(docs.select(row, F.col(f"`{text}`").alias("text")), benchmark, **options)
+    return found.where(F.size("leaks") == 0).select("row.*")

@@ -409,3 +409,24 @@ def jaccard_components(
     rest = join_unique(found.where("n > 0 and doc_id is not null"), component, ["one", "two", "n"])
     columns = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"]
     return rest.select(*columns).unionByName(alone.select(*columns))
+
+
+def representatives(
+    docs: DataFrame, similarity: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stay when each component keeps the document with its smallest id.
+
+    Of rows with one id one stays, that with the least text; rows without an id all stay.
+    """
+    found = jaccard_components(docs, similarity, doc_id, text).where("doc_id is not null")
+    known = written(found, "components")
+    later = known.where("component_id <> doc_id").select(F.col("doc_id").alias("later")).distinct()
+    again = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.col("doc_id").alias("again"))
+    left = docs.join(later, docs[doc_id].cast("long") == F.col("later"), "left_anti")
+    key = left[doc_id].cast("long") == F.col("again")
+    once = left.join(again, key, "left_anti")
+    if again.isEmpty():
+        return once
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    merged = left.join(again, key, "left_semi").groupBy(F.col(f"`{doc_id}`")).agg(F.min_by(row, F.struct(F.col(f"`{text}`"))).alias("_row"))
+    return once.unionByName(merged.select("_row.*"))

@@ -84,6 +84,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # here, as it takes its helpers from this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_chat_formatting": op2_chat_formatting,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {}

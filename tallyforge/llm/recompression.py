@@ -129,9 +129,23 @@ def once_per_id(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
 PAIR = np.dtype([("least", "<i8"), ("span", "<i8")])
 
 
-def substring_dedup(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_words(text: bytes, gone: np.ndarray) -> bytes:
+    """``text`` without its marked words and the white space after each."""
+    _, starts, _ = wordhash.hash_words(text)
+    edges = np.append(starts, len(text))
+    change = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+    cuts = [0, *edges[change].tolist(), len(text)]
+    return b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
+
+
+def substring_dedup(
+    docs: DataFrame, width: int = 13, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False
+) -> DataFrame:
     """All rows with n_words, n_removed and ``kept_text`` (the kept words, joined by a space) for the text.
 
+    With ``keep_text`` the text stays a column too, unchanged where nothing was removed and else
+    without the removed words, its other white space as it was.
+
     A word is removed when it lies in a run of ``width`` words of its document that also occurs in
     a document with a smaller id; runs are judged on the input.  Null texts and texts of fewer
     words lose nothing.  Rows with equal ids are one document to this rule: they do not remove from
@@ -197,6 +211,7 @@ def substring_dedup(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", te
     def result(block: Block, row: dict):
         known, least = answered(row, "smallest", "<i8")
         out = {"n_words": [], "n_removed": [], "kept_text": []}
+        texts_left: list[str | None] = []
         for at, texts in parts_of(block):
             words, first, windows, starts, doc = windows_of(texts, width)
             gone = np.zeros(len(words) + 1, dtype=np.int64)
@@ -207,19 +222,23 @@ def substring_dedup(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", te
                 np.add.at(gone, starts[hit], 1)
                 np.add.at(gone, starts[hit] + width, -1)
             gone = np.cumsum(gone)[:-1] > 0
-            for text, a, b in zip(texts, first.tolist(), first[1:].tolist()):
-                split = text.split()
+            for whole, a, b in zip(texts, first.tolist(), first[1:].tolist()):
+                split = whole.split()
                 cut = gone[a:b]
                 n = int(cut.sum())
                 if n:
                     split = [w for w, g in zip(split, cut.tolist()) if not g]
+                if keep_text:
+                    null = block.null[len(texts_left)]
+                    texts_left.append(None if null else (without_words(whole, cut) if n else whole).decode())
                 out["n_words"].append(b - a)
                 out["n_removed"].append(n)
                 out["kept_text"].append(b" ".join(split).decode())
+        if keep_text:
+            out[text] = texts_left
         return out
 
     reveal = asked(blocks, ask_representatives, shared, "u1", parts, KEY_BITS)
     verify = asked(with_answers(blocks, reveal, "shared"), ask_windows, smallest, PAIR.descr, parts)
-    return finished(
-        with_answers(blocks, verify, "smallest"), result, docs, text, "n_words long, n_removed long, kept_text string"
-    )
+    schema = "n_words long, n_removed long, kept_text string" + (f", `{text}` string" if keep_text else "")
+    return finished(with_answers(blocks, verify, "smallest"), result, docs, text, schema)
