@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from tallyforge.llm.common import written
-from tallyforge.llm.tokens import Encoder
+from tallyforge.llm.tokens import encoder
 
 END = 1  # the id that ends each document
 TEXTS_AT_ONCE = 64
@@ -179,7 +179,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, window: int, doc_id: str, text: s
     """Full windows and remainders of all documents, written once."""
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, task, turns = Encoder(tokenizer), TaskContext.get().partitionId(), Counter()
+        task, turns = TaskContext.get().partitionId(), Counter()
         step = 4 * window
         for batch in batches:
             ids, texts = batch["doc_id"].to_numpy(dtype=object), [t or "" for t in batch["text"]]
@@ -190,7 +190,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, window: int, doc_id: str, text: s
                     chars += len(texts[end])
                     end += 1
                 rows = []
-                for doc, found in zip(ids[at:end], encoder.encode(texts[at:end])):
+                for doc, found in zip(ids[at:end], encoder(tokenizer).encode(texts[at:end])):
                     found += END.to_bytes(4, "little")
                     for b in range(0, len(found), step):
                         part = found[b : b + step]

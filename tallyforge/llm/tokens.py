@@ -1,13 +1,15 @@
 """Token ids of whole texts by a byte-level BPE of the ``tokenizers`` library.
 
-Such a tokenizer cuts a text into pieces by a pattern and encodes each piece alone, so each task
-keeps the ids of the pieces it has met.  Only new pieces reach the library, in batches.
+Such a tokenizer cuts a text into pieces by a pattern and encodes each piece alone, so each
+worker process keeps the ids of the pieces it has met, from task to task.  Only new pieces reach the library, in batches.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import re
+import struct
 
 import regex
 
@@ -21,14 +23,20 @@ PIECES = regex.compile(
 PLAIN_PIECES = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 PLAIN = re.compile(r"[\x00-\x1b\x20-\x7f\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧]*")
 
-# Pieces kept by a task; some 200 bytes each.  Beyond that it starts anew.
-KEPT_PIECES = 400_000
+# Pieces kept by a worker process; some 200 bytes each.  Beyond that it starts anew.
+KEPT_PIECES = 1_000_000
 
 
 def cut(text: str) -> list[str]:
     return (PLAIN_PIECES if PLAIN.fullmatch(text) else PIECES).findall(text)
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """The one encoder of this process for the tokenizer file."""
+    return Encoder(path)
+
+
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids; strings of special tokens are ordinary text."""
 
@@ -46,6 +54,7 @@ class Encoder:
             self.known.clear()
         new = list(set().union(*pieces).difference(self.known))
         for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = b"".join(i.to_bytes(4, "little") for i in found.ids)
+            ids = found.ids
+            self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
         get = self.known.__getitem__
         return [b"".join(map(get, p)) for p in pieces]
