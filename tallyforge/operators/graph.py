@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.scale import MAX_HEAVY_KEYS, MAX_ITEMS, pack_sorted, stable
+from tallyforge.scale import MAX_HEAVY_KEYS, pack_sorted, stable
 
 MIN_LINKS_PER_PARTITION = 100_000
 LINKS_PER_SHARD = 1_000_000
@@ -50,9 +50,9 @@ def sourceless_pages(edges: DataFrame) -> DataFrame:
     return _ends(edges).where(F.col("into") == 0).select("page")
 
 
-def collect_neighbours(edges: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """``(src, part, neighbours)``: sorted targets; a source beyond ``max_items`` has more parts."""
-    packed = pack_sorted(distinct_edges(edges), ["src"], ["dst"], max_items)
+def collect_neighbours(edges: DataFrame, block_items: int) -> DataFrame:
+    """``(src, part, neighbours)``: sorted targets, ``block_items`` to a part."""
+    packed = pack_sorted(distinct_edges(edges), ["src"], ["dst"], block_items, counted=edges)
     return packed.select("src", "part", F.col("items.dst").alias("neighbours"))
 
 

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def rps_per_minute(log: DataFrame, target: float = 4000) -> DataFrame:
-    """``(minute, rps, below_target, first_minute_at_target)`` over all hosts."""
-    per_minute = log.groupBy("minute").agg(F.sum("rps").alias("rps"))
-    first = per_minute.where(F.col("rps") >= target).agg(F.min("minute")).scalar()
+    """``(test, minute, rps, below_target, first_minute_at_target)``: the hosts of a test summed up.
+
+    The minutes of a test are few, so its first minute at the target is found in a window.
+    """
+    per_minute = log.groupBy("test", "minute").agg(F.sum("rps").alias("rps"))
+    reached = F.when(F.col("rps") >= target, F.col("minute"))
     return per_minute.withColumns(
-        {"below_target": F.col("rps") < target, "first_minute_at_target": first}
+        {
+            "below_target": F.col("rps") < target,
+            "first_minute_at_target": F.min(reached).over(Window.partitionBy("test")),
+        }
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.predicates import is_article, whole_number
-from tallyforge.scale import MAX_ITEMS, with_position
+from tallyforge.scale import with_position
 
 
 def filter_articles(counts: DataFrame, project: str = "en") -> DataFrame:
@@ -81,12 +81,22 @@ def _first_day() -> Column:
     return F.min(F.struct("day", "views"))["day"]
 
 
+# Days from first to last beyond which a date is taken for a mistake, such as one from a file name.
+MAX_SPAN_DAYS = 3_660
+
+
 def day_axis(daily: DataFrame, days: Sequence[dt.date] | None = None) -> Column:
-    """The days to report: those given, else every day from the first to the last seen."""
+    """The days to report: those given, else every day from the first to the last seen.
+
+    The query fails when these are more than MAX_SPAN_DAYS apart; give the days then.
+    """
     if days is not None:
         return F.array(*[F.lit(d) for d in days])
     last = F.max(F.struct("day", "views"))["day"]
-    return daily.agg(F.sequence(_first_day(), last)).scalar()
+    wide = F.datediff(last, _first_day()) > MAX_SPAN_DAYS
+    message = F.lit(f"days of views span more than {MAX_SPAN_DAYS} days; name the days to report")
+    axis = F.when(wide, F.raise_error(message).cast("array<date>")).otherwise(F.sequence(_first_day(), last))
+    return daily.agg(axis).scalar()
 
 
 def days_per_title(
@@ -95,8 +105,10 @@ def days_per_title(
     """``(title, total, days)``: per title its total and an array of (day, views), one entry per
     day, 0 when absent.  ``min_total`` keeps titles above it.
 
-    A group is at most one entry per calendar day, so collecting it is bounded.
+    A group is at most one entry per calendar day, so collecting it is bounded; a repeated
+    (title, day) counts with the sum of its views.
     """
+    daily = daily.groupBy("title", "day").agg(F.sum("views").alias("views"))
     seen = daily.groupBy("title").agg(
         F.sum("views").alias("total"),
         F.map_from_entries(F.collect_list(F.struct("day", "views"))).alias("seen"),
@@ -160,9 +172,9 @@ def rank_by_total(daily: DataFrame, titles: DataFrame) -> DataFrame:
     return _ranked(list_join(titles, total, "views"), "views")
 
 
-def join_list(ranked: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """Ranked titles on one comma-joined line; beyond ``max_items`` titles, on further lines."""
-    part = F.floor((F.col("rank") - 1) / max_items).alias("part")
+def join_list(ranked: DataFrame, block_items: int) -> DataFrame:
+    """Ranked titles on comma-joined lines of ``block_items`` titles, numbered by part."""
+    part = F.floor((F.col("rank") - 1) / block_items).alias("part")
     entries = F.sort_array(F.collect_list(F.struct("rank", "title")))
     line = F.array_join(F.transform(entries, lambda e: e["title"]), ",")
     return ranked.groupBy(part).agg(line.alias("line"))

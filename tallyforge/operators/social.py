@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.text import friends_array as friends_of
-from tallyforge.scale import HEAVY_ROWS, MAX_ITEMS, join_unique, pack_sorted
+from tallyforge.scale import HEAVY_ROWS, join_unique, pack_sorted
 
 # Field and record separators of the import format.
 FIELD_SEP = "\x03"
 RECORD_SEP = "\x02"
 
 
-def adjacency_line(follows: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+def adjacency_line(follows: DataFrame, block_items: int) -> DataFrame:
     """``(userid, part, line)`` with line = ``userid TAB a:b:c``, followed ids ascending.
 
-    A user following more than ``max_items`` others gets further lines, numbered by part.
+    Every line has ``block_items`` ids, but for the last of a user; lines are numbered by part.
     """
-    packed = pack_sorted(follows, ["userid"], ["followed"], max_items)
+    packed = pack_sorted(follows, ["userid"], ["followed"], block_items)
     ids = F.array_join(F.col("items.followed").cast("array<string>"), ":")
     return packed.select("userid", "part", F.concat_ws("\t", F.col("userid").cast("string"), ids).alias("line"))
 
@@ -65,22 +65,26 @@ def feed_join(
     )
 
 
-def feed_sort(feed: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """``(userid, part, photos)`` with photos ordered by time, name, url."""
-    packed = pack_sorted(feed, ["userid"], ["time", "name", "url"], max_items)
+def feed_sort(feed: DataFrame, block_items: int, follows: DataFrame | None = None) -> DataFrame:
+    """``(userid, part, photos)``: photos by time, name, url, ``block_items`` to a part.
+
+    ``follows``, which the feed was joined from, tells how long a feed can be, and spares a run of
+    the join to find that out.
+    """
+    packed = pack_sorted(feed, ["userid"], ["time", "name", "url"], block_items, counted=follows)
     return packed.withColumnRenamed("items", "photos")
 
 
 def feed_json(
-    feed: DataFrame, owners: DataFrame | None = None, max_items: int = MAX_ITEMS
+    feed: DataFrame, block_items: int, owners: DataFrame | None = None, follows: DataFrame | None = None
 ) -> DataFrame:
-    """``(userid, part, doc)``: the sorted feed as JSON.
+    """``(userid, part, doc)``: the sorted feed as JSON, ``block_items`` photos to a document.
 
     With ``owners`` (userid, username) the document also names its user, and a user without
     photos gets an empty list.
     """
     photo = lambda p: F.struct(p["url"].alias("url"), p["time"].cast("string").alias("time"), p["name"].alias("name"))
-    photos = feed_sort(feed, max_items).withColumn("photos", F.transform("photos", photo))
+    photos = feed_sort(feed, block_items, follows).withColumn("photos", F.transform("photos", photo))
     keep_nulls = {"ignoreNullFields": "false"}
     if owners is None:
         return photos.select("userid", "part", F.to_json(F.struct("photos"), keep_nulls).alias("doc"))

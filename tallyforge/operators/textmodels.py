@@ -127,13 +127,13 @@ def language_model(
 
 
 def tokens(
-    docs: DataFrame, title: str = "title", text: str = "text", term: str | None = None
+    docs: DataFrame, title: str = "title", text: str = "text", term: str | None = None, strip_markup: bool = True
 ) -> DataFrame:
     """``(word, title)`` per word of the cleaned text, or per occurrence of ``term`` only.
 
-    Tags and escaped newlines are removed.
+    Escaped newlines are removed, and tags with ``strip_markup``; else tags give words as well.
     """
-    cleaned = clean_text(unescape_newline(strip_tags(text)))
+    cleaned = clean_text(unescape_newline(strip_tags(text) if strip_markup else F.col(text)))
     wanted = F.col("word") != "" if term is None else F.col("word") == term
     # No alias on top of an equal name: it would survive in one branch of a self-join only and
     # make two equal exchanges look different.
@@ -180,18 +180,19 @@ def tfidf(
     integer_idf: bool = False,
     title: str = "title",
     text: str = "text",
+    strip_markup: bool = True,
 ) -> DataFrame:
     """``(word, title, tf, df, tfidf)`` with tfidf = tf * log10(N / df), N = distinct titles.
 
     ``integer_idf`` drops the fraction of N / df.  With ``term`` only that word is counted;
-    N still covers all documents.
+    N still covers all documents.  ``strip_markup=False`` counts the words inside tags too.
     """
     # A literal one-row aggregate, evaluated once and used as a constant.
     total = docs.agg(F.count_distinct(title)).scalar()
     if term is not None:
         # Cleaning never joins letters, so other texts cannot have the word.
         docs = docs.where(F.lower(text).contains(term))
-    tf = term_freq(tokens(docs, title, text, term))
+    tf = term_freq(tokens(docs, title, text, term, strip_markup))
     if term is not None:
         scored = tf.withColumn("df", tf.agg(F.count_if(F.col("tf") > 0)).scalar())
     else:

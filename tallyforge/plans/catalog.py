@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.plans.tables import with_views
+from tallyforge.streaming.twins import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,13 @@ class Catalog:
             self.sql[name] = with_views(sql)
 
 
+def written(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:
+    """Write to a new shared folder and return its path."""
+    folder = new_folder(spark, name)
+    write(folder)
+    return folder
+
+
 def text_days(df: DataFrame, column: str = "day") -> DataFrame:
     return df.withColumn(column, F.date_format(column, "yyyy-MM-dd"))
 

@@ -8,7 +8,7 @@ from tallyforge.operators import keyvalue as kv
 from tallyforge.operators import loadtest as lt
 from tallyforge.operators import social as so
 from tallyforge.plans import tables as t
-from tallyforge.plans.catalog import Catalog, rounded, text_days, text_times
+from tallyforge.plans.catalog import Catalog, rounded, text_days, text_times, written
 from tallyforge.sinks import writers
 from tallyforge.sources import files
 from tallyforge.sources.records import parse_records
@@ -52,13 +52,6 @@ MERGED = """track_id string, sale_date string, sales_count bigint, title string,
     artist_name string, duration double, artist_hotttnesss double, year int"""
 
 
-def written(s, name, write):
-    """Write to a new shared folder and return its path."""
-    folder = st.new_folder(s, name)
-    write(folder)
-    return folder
-
-
 def merged_file(s, d):
     return written(s, "merged", lambda p: writers.write_merged_csv(t.sales(s, d), t.songs(s, d), p))
 
@@ -98,6 +91,21 @@ def ini_text(s, d):
     return sections.select(F.format_string("[Minute %d]\n%s\n", "minute", "hosts").alias("value"))
 
 
+def ini_files(s, d):
+    """Two tests with the same minutes, in a folder each."""
+
+    def write(folder):
+        for test in "ab":
+            ini_text(s, d).write.text(f"{folder}/test={test}")
+
+    return written(s, "ini", write) + "/*"
+
+
+def test_name(column):
+    """The folder of a log file."""
+    return F.regexp_extract(column, "(test=[ab])", 1)
+
+
 HOURS = "select date_trunc('hour', ts) as h, {agg} as x from events group by 1"
 CLOSED = " where h + interval 1 hour <= (select max(ts) from events) - interval 1 hour"
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
@@ -107,17 +115,17 @@ def register(c: Catalog) -> None:
     # Social
     c.add(
         "adjacency_line",
-        lambda s, d: so.adjacency_line(t.follows(s, d)),
-        """select userid, cast(0 as bigint) as part, userid || chr(9) || string_agg(cast(followed as varchar), ':' order by followed) as line
-        from follows group by userid""",
+        lambda s, d: so.adjacency_line(t.follows(s, d), 4),
+        """select userid, part, userid || chr(9) || string_agg(cast(followed as varchar), ':' order by followed) as line
+        from follow_blocks group by userid, part""",
     )
     c.add(
         "friends_array",
-        lambda s, d: so.friends_array(so.adjacency_line(t.follows(s, d))).select(
+        lambda s, d: so.friends_array(so.adjacency_line(t.follows(s, d), 4)).select(
             "userid", "part", F.to_json("friends").alias("friends")
         ),
-        """select userid, cast(0 as bigint) as part, '[' || string_agg('{"userid":"' || followed || '"}', ',' order by followed) || ']' as friends
-        from follows group by userid""",
+        """select userid, part, '[' || string_agg('{"userid":"' || followed || '"}', ',' order by followed) || ']' as friends
+        from follow_blocks group by userid, part""",
     )
     c.add(
         "typed_import_line",
@@ -134,20 +142,20 @@ def register(c: Catalog) -> None:
     )
     c.add("feed_join", feed, "select userid, followed, name, time, url from feed")
     photo = """'{"url":"' || url || '","time":"' || time || '","name":"' || name || '"}'"""
-    photos = f"""select userid, '[' || string_agg({photo}, ',' order by time, name, url) || ']' as photos from feed group by userid"""
+    photos = f"""select userid, part, '[' || string_agg({photo}, ',' order by time, name, url) || ']' as photos from feed_blocks group by userid, part"""
     c.add(
         "feed_sort",
-        lambda s, d: so.feed_sort(feed(s, d)).select(
+        lambda s, d: so.feed_sort(feed(s, d), 3, t.follows(s, d)).select(
             "userid", "part",
             F.array_join(F.transform("photos", lambda p: F.concat_ws("|", p["time"], p["name"], p["url"])), ";").alias("photos"),
         ),
-        """select userid, cast(0 as bigint) as part, string_agg(time || '|' || name || '|' || url, ';' order by time, name, url) as photos
-        from feed group by userid""",
+        """select userid, part, string_agg(time || '|' || name || '|' || url, ';' order by time, name, url) as photos
+        from feed_blocks group by userid, part""",
     )
     c.add(
         "feed_json",
-        lambda s, d: so.feed_json(feed(s, d), t.userinfo(s, d)),
-        f"""select u.userid, cast(0 as bigint) as part, '{{"name":"' || u.username || '","photos":' || coalesce(p.photos, '[]') || '}}' as doc
+        lambda s, d: so.feed_json(feed(s, d), 3, t.userinfo(s, d), t.follows(s, d)),
+        f"""select u.userid, coalesce(p.part, 0) as part, '{{"name":"' || u.username || '","photos":' || coalesce(p.photos, '[]') || '}}' as doc
         from userinfo u left join ({photos}) p on p.userid = u.userid""",
     )
     # Records and key-value log
@@ -190,13 +198,12 @@ def register(c: Catalog) -> None:
         lambda s, d: files.read_tsv(s, written(s, "tsv", lambda p: writers.write_text_tsv(t.daily(s, d), p)), {"title": 0, "day": 1, "views": 2}),
         "select title, cast(day as varchar) as day, cast(views as varchar) as views from daily",
     )
-    merged = """select sa.track_id, cast(sa.sale_date as varchar) as sale_date, sa.sales_count, so.artist_id, so.year from sales sa
+    merged = """select sa.track_id, cast(sa.sale_date as varchar) as sale_date, sa.sales_count, so.title, so.release, so.artist_id,
+        so.artist_name, so.duration, so.artist_hotttnesss, cast(so.year as int) as year from sales sa
         join songs so on so.track_id = sa.track_id"""
     c.add(
         "merged_csv",
-        lambda s, d: files.read_csv_plain(s, merged_file(s, d), MERGED).select(
-            "track_id", "sale_date", "sales_count", "artist_id", "year"
-        ),
+        lambda s, d: files.read_csv_plain(s, merged_file(s, d), MERGED),
         merged,
     )
     c.add(
@@ -216,15 +223,18 @@ def register(c: Catalog) -> None:
     minutes = "select cast(floor(epoch(ts) / 60) as int) as minute, event_type as host, sum(floor(value)) as rps from events group by 1, 2"
     c.add(
         "read_ini_log",
-        lambda s, d: rounded(files.read_ini_log(s, written(s, "ini", lambda p: ini_text(s, d).write.text(p))), "rps"),
-        f"select minute, host, cast(rps as double) as rps from ({minutes})",
+        lambda s, d: rounded(files.read_ini_log(s, ini_files(s, d)), "rps").withColumn("test", test_name("test")),
+        f"select concat('test=', t) as test, minute, host, cast(rps as double) as rps from ({minutes}) cross join (select unnest(['a', 'b']) as t)",
     )
     c.add(
         "rps_per_minute",
-        lambda s, d: rounded(lt.rps_per_minute(minute_log(s, d), 100), "rps"),
-        f"""with per_minute as (select minute, cast(sum(rps) as double) as rps from ({minutes}) group by minute)
-        select minute, rps, rps < 100 as below_target,
-        (select min(minute) from per_minute where rps >= 100) as first_minute_at_target from per_minute""",
+        lambda s, d: rounded(lt.rps_per_minute(files.read_ini_log(s, ini_files(s, d)), 100), "rps").withColumn(
+            "test", test_name("test")
+        ),
+        f"""with per_minute as (select minute, cast(sum(rps) as double) as rps from ({minutes}) group by minute),
+        firsts as (select min(minute) as m from per_minute where rps >= 100)
+        select concat('test=', t) as test, minute, rps, rps < 100 as below_target, (select m from firsts) as first_minute_at_target
+        from per_minute cross join (select unnest(['a', 'b']) as t)""",
     )
     # Streaming
     c.add(

@@ -45,15 +45,15 @@ def pagerank_sql(rounds: int = 10, keep_sourceless: bool = False) -> str:
 
 
 def register(c: Catalog) -> None:
-    c.add("distinct_edges", lambda s, d: g.distinct_edges(t.edges(s, d)), "select src, dst from edges")
-    c.add("all_pages", lambda s, d: g.all_pages(t.edges(s, d)), "select page from pages_in_graph")
+    c.add("distinct_edges", lambda s, d: g.distinct_edges(t.links(s, d)), "select src, dst from edges")
+    c.add("all_pages", lambda s, d: g.all_pages(t.links(s, d)), "select page from pages_in_graph")
     c.add(
         "count_distinct_pages",
         lambda s, d: count_distinct(g.all_pages(t.edges(s, d)), "page"),
         "select count(*) as n from pages_in_graph",
     )
     degrees = "select src as page, count(*) as links from edges group by src"
-    c.add("out_degree", lambda s, d: g.out_degree(t.edges(s, d)), degrees)
+    c.add("out_degree", lambda s, d: g.out_degree(t.links(s, d)), degrees)
     c.add(
         "dangling_pages",
         lambda s, d: g.dangling_pages(t.edges(s, d)),
@@ -66,11 +66,11 @@ def register(c: Catalog) -> None:
     )
     c.add(
         "collect_neighbours",
-        lambda s, d: g.collect_neighbours(t.edges(s, d)).withColumn(
+        lambda s, d: g.collect_neighbours(t.links(s, d), 20).withColumn(
             "neighbours", F.array_join(F.col("neighbours").cast("array<string>"), ",")
         ),
-        """select src, cast(0 as bigint) as part, string_agg(cast(dst as varchar), ',' order by dst) as neighbours
-        from edges group by src""",
+        """select src, part, string_agg(cast(dst as varchar), ',' order by dst) as neighbours
+        from (select src, dst, (row_number() over (partition by src order by dst) - 1) // 20 as part from edges) group by src, part""",
     )
     scores = "(select dst as page, count(*) + 0.5::double as score from edges group by dst)"
     c.add(
@@ -88,9 +88,9 @@ def register(c: Catalog) -> None:
         lambda s, d: g.with_titles(degree_scores(s, d), page_titles(s, d)),
         f"select p_name as title, score from part join {scores} on page = p_partkey",
     )
-    c.add("pagerank", lambda s, d: rounded(g.pagerank(t.edges(s, d)), "score"), pagerank_sql())
+    c.add("pagerank", lambda s, d: rounded(g.pagerank(t.links(s, d)), "score"), pagerank_sql())
     c.add(
         "pagerank_keep_sourceless",
-        lambda s, d: rounded(g.pagerank(t.edges(s, d), keep_sourceless=True), "score"),
+        lambda s, d: rounded(g.pagerank(t.links(s, d), keep_sourceless=True), "score"),
         pagerank_sql(keep_sourceless=True),
     )

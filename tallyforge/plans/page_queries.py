@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import pageviews as pv
 from tallyforge.plans import tables as t
-from tallyforge.plans.catalog import Catalog, text_days
+from tallyforge.plans.catalog import Catalog, text_days, written
+from tallyforge.scale import with_position
 from tallyforge.sinks.writers import month_line, month_pivot
-from tallyforge.sources.files import parse_pagecounts, parse_title_list, parse_tsv
+from tallyforge.sources import files
 from tallyforge.sources.records import parse_day_fields
 
 MONTH = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(30)]
@@ -41,6 +42,12 @@ def raw_tsv(s, d):
     )
 
 
+def title_file(s, d):
+    """Titles in one file, in order of the key, every one with white space around and a blank line after."""
+    names = t.table(s, d, "customer").orderBy("c_custkey").selectExpr("' ' || c_name || ' \n ' as value")
+    return names.coalesce(1)
+
+
 def count_texts(s, d):
     """Titles with a count that is sometimes not an integer."""
     return t.table(s, d, "events").selectExpr(
@@ -54,21 +61,29 @@ def register(c: Catalog) -> None:
     # Sources
     c.add(
         "read_pagecounts",
-        lambda s, d: parse_pagecounts(raw_pagecounts(s, d)),
+        lambda s, d: files.read_pagecounts(s, written(s, "pagecounts", lambda p: raw_pagecounts(s, d).write.text(p))),
         f"""select {t.PROJECT.replace("string", "varchar")}, {t.TITLE.replace("string", "varchar")},
         cast(floor(value) as bigint) as views, event_id as nbytes from events where event_type <> 'error'""",
     )
     c.add(
         "read_tsv",
-        lambda s, d: parse_tsv(raw_tsv(s, d), {"kind": 0, "id": 1, "who": 2}),
+        lambda s, d: files.read_tsv(
+            s, written(s, "tsv-lines", lambda p: raw_tsv(s, d).write.text(p)), {"kind": 0, "id": 1, "who": 2}
+        ),
         """select event_type as kind, cast(event_id as varchar) as id, cast(user_id as varchar) as who
         from events where event_type <> 'error'""",
     )
-    c.add("read_lines", lambda s, d: t.lines(s, d), "select value from lines")
+    c.add(
+        "read_lines",
+        lambda s, d: files.read_lines(s, written(s, "lines", lambda p: t.lines(s, d).write.text(p))),
+        "select value from lines",
+    )
     c.add(
         "read_title_list",
-        lambda s, d: parse_title_list(t.table(s, d, "customer").selectExpr("' ' || c_name || '\r' as value")),
-        "select c_name as title from customer",
+        lambda s, d: with_position(
+            files.read_title_list(s, written(s, "titles", lambda p: title_file(s, d).write.text(p))), ["position"], "place"
+        ).select("place", "title"),
+        "select row_number() over (order by c_custkey) as place, c_name as title from customer",
     )
     c.add(
         "parse_day_fields",
@@ -190,8 +205,8 @@ def register(c: Catalog) -> None:
     )
     c.add(
         "concat_join_list",
-        lambda s, d: pv.join_list(pv.rank_by_total(t.daily(s, d), customer_titles(s, d))),
-        f"select cast(0 as bigint) as part, string_agg(title, ',' order by rank) as line from ({total_rank})",
+        lambda s, d: pv.join_list(pv.rank_by_total(t.daily(s, d), customer_titles(s, d)), 40),
+        f"select (rank - 1) // 40 as part, string_agg(title, ',' order by rank) as line from ({total_rank}) group by 1",
     )
     c.add(
         "top_with_zero_first_day",
@@ -204,6 +219,14 @@ def register(c: Catalog) -> None:
         marked as (select title, day, sum(case when up then 0 else 1 end) over (partition by title order by day) as run from steps),
         best as (select title, max(n) as run_days from (select title, run, count(*) as n from marked group by title, run) group by title)
         """
+    c.add(
+        "closed_run",
+        lambda s, d: pv.longest_increasing_run(t.daily(s, d), drop_open_run=True),
+        runs.replace("best as (select", "ends as (select title, max(run) as open from marked group by title), best as (select").replace(
+            "from marked group by title, run)", "from marked where run < (select open from ends where ends.title = marked.title) group by title, run)"
+        )
+        + "select cast(max(run_days) as int) as run_days, count(*) as titles from best where run_days = (select max(run_days) from best)",
+    )
     c.add(
         "longest_increasing_run",
         lambda s, d: pv.longest_increasing_run(t.daily(s, d)),

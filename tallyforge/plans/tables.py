@@ -67,11 +67,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part to order, some links more than once.  Orders above the part ids are dangling, parts
+    without such an order have no in-links."""
+    return table(spark, sf_dir, "lineitem").selectExpr("l_partkey as src", "l_orderkey as dst")
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part to order.  Orders above the part ids are dangling, parts without such an order have
-    no in-links."""
-    links = table(spark, sf_dir, "lineitem").selectExpr("l_partkey as src", "l_orderkey as dst")
-    return links.distinct()
+    return links(spark, sf_dir).distinct()
 
 
 def userinfo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +129,11 @@ def titled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("title"), "text")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as documents: texts with tags."""
+    return table(spark, sf_dir, "pages").selectExpr("page_id as title", "html as text")
+
+
 # The same views as SQL for the oracle, in the order they build on each other.
 VIEWS = {
     "pagecounts": f"""select {PROJECT.replace("string", "varchar")}, {TITLE.replace("string", "varchar")},
@@ -171,8 +179,17 @@ VIEWS = {
   replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '\\n', chr(10))), '[^a-z]+', ' ', 'g')), ' ')) as word from documents""",
     "tf": "select word, title, count(*) as tf from doc_words where word <> '' group by word, title",
     "df": "select word, count(*) as df from tf group by word",
+    "follow_blocks": """select userid, followed, (row_number() over (partition by userid order by followed) - 1) // 4 as part
+  from follows""",
+    "raw_tf": """select word, title, count(*) as tf from (select page_id as title,
+  unnest(string_split(trim(regexp_replace(lower(replace(html, '\\n', chr(10))), '[^a-z]+', ' ', 'g')), ' ')) as word from pages)
+  where word <> '' group by word, title""",
+    "plain_tf": """select word, title, count(*) as tf from (select page_id as title, unnest(string_split(trim(regexp_replace(lower(
+  replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\n', chr(10))), '[^a-z]+', ' ', 'g')), ' ')) as word from pages)
+  where word <> '' group by word, title""",
     "feed": """select f.userid, f.followed, u.username as name, i.time, i.url from follows f
   join userimage i on i.userid = f.followed left join userinfo u on u.userid = f.followed""",
+    "feed_blocks": """select *, (row_number() over (partition by userid order by time, name, url) - 1) // 3 as part from feed""",
 }
 
 
@@ -187,7 +204,8 @@ def with_views(sql: str) -> str:
                 need(VIEWS[name])
 
     need(sql)
-    ctes = [f"{name} as ({text})" for name, text in VIEWS.items() if name in needed]
+    # Views with a count or a row number behind them are read in several places: computed once.
+    ctes = [f"{name} as materialized ({text})" for name, text in VIEWS.items() if name in needed]
     if not ctes:
         return sql
     body = sql.strip()

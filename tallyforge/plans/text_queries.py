@@ -52,8 +52,8 @@ def register(c: Catalog) -> None:
         lambda s, d: t.lines(s, d)
         .select(clean_text("value").alias("line"))
         .where("line <> ''")
-        .select(F.explode(ngrams(F.split("line", " "), 3)).alias("phrase")),
-        """select unnest(flatten(list_transform(range(1, least(3, len(tk)) + 1), lambda k:
+        .select(F.explode(ngrams(F.split("line", " "), 5)).alias("phrase")),
+        """select unnest(flatten(list_transform(range(1, least(5, len(tk)) + 1), lambda k:
         list_transform(range(1, len(tk) - k + 2), lambda i: array_to_string(tk[i:i + k - 1], ' '))))) as phrase from line_tokens""",
     )
     c.add(
@@ -118,8 +118,13 @@ def register(c: Catalog) -> None:
         lambda s, d: rounded(tm.tfidf(t.titled_docs(s, d), integer_idf=True), "tfidf"),
         score.format(ratio="total // df.df"),
     )
+    # On pages, where it matters whether tags count.
+    tagged = """select tf.word, tf.title, tf.tf, df.df, round(tf.tf * log10(total / df.df), 6) as tfidf from {tf} tf
+        join (select word, count(*) as df from {tf} group by word) df on df.word = tf.word
+        cross join (select count(distinct page_id) as total from pages)"""
     c.add(
         "tfidf_term",
-        lambda s, d: rounded(tm.tfidf(t.titled_docs(s, d), term="the"), "tfidf"),
-        score.format(ratio="total / df.df") + " where tf.word = 'the'",
+        lambda s, d: rounded(tm.tfidf(t.pages(s, d), term="div", strip_markup=False), "tfidf"),
+        tagged.format(tf="raw_tf") + " where tf.word = 'div'",
     )
+    c.add("tfidf_all_tagged", lambda s, d: rounded(tm.tfidf(t.pages(s, d)), "tfidf"), tagged.format(tf="plain_tf"))

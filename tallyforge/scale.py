@@ -20,8 +20,6 @@ HEAVY_ROWS = 1_000_000
 # ... and more than 1/MAX_HEAVY_KEYS of all rows, so there are fewer than MAX_HEAVY_KEYS of
 # them whatever the input size.  That bound is what makes broadcasting them safe.
 MAX_HEAVY_KEYS = 1_000_000
-# Longest list put into one output row.
-MAX_ITEMS = 1_000_000
 
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
 
@@ -145,27 +143,50 @@ def with_position(
     )
 
 
-def pack_sorted(
-    df: DataFrame, keys: Sequence[str], items: Sequence[str], max_items: int = MAX_ITEMS
+def numbered(
+    df: DataFrame,
+    keys: Sequence[str],
+    items: Sequence[str],
+    min_rows: int = HEAVY_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """One sorted array of ``items`` structs per key, as ``(keys, part, items)``.
+    """``(keys, items, position)``: each row's place, from 0, among its key's rows in item order.
 
-    Ordinary keys give a single row with part 0.  A key with more than ``max_items`` rows gives
-    consecutive parts of at most ``max_items``; reading them by part yields the full order.
+    Heavy keys are numbered over sorted ranges and the others within one task; the result does not
+    depend on which was chosen.  ``counted`` is a cheaper table to look for heavy keys in: one in
+    which every key has at least as many rows as in ``df``.
     """
     keys, items = list(keys), list(items)
     needed = df.select(*keys, *items)
-    packed = F.sort_array(F.collect_list(F.struct(*items))).alias("items")
-    light, heavy = split_heavy(needed, keys, min_rows=max_items)
-    out = light.groupBy(*keys).agg(packed).select(*keys, F.lit(0).cast("bigint").alias("part"), "items")
+    heavy = _find_heavy(needed if counted is None else counted.select(*keys), keys, min_rows)
+    order = Window.partitionBy(*keys).orderBy(*items)
+    place = (F.row_number().over(order) - 1).cast("bigint")
     if heavy is None:
-        return out
-    ordered = with_position(heavy, keys + items)
-    starts = ordered.groupBy(*keys).agg(F.min("position").alias("first"))
-    parts = ordered.join(F.broadcast(starts), keys).withColumn(
-        "part", F.floor((F.col("position") - F.col("first")) / max_items)
-    )
-    return out.unionByName(parts.groupBy(*keys, "part").agg(packed))
+        return needed.withColumn("position", place)
+    light = needed.join(heavy, keys, "left_anti").withColumn("position", place)
+    ordered = with_position(needed.join(heavy, keys, "left_semi"), keys + items)
+    starts = ordered.groupBy(*keys).agg(F.min("position").alias("first"))  # one row per heavy key
+    placed = ordered.join(F.broadcast(starts), keys).withColumn("position", F.col("position") - F.col("first"))
+    return light.unionByName(placed.drop("first"))
+
+
+def pack_sorted(
+    df: DataFrame,
+    keys: Sequence[str],
+    items: Sequence[str],
+    block_items: int,
+    min_rows: int = HEAVY_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Sorted arrays of ``items`` structs, as ``(keys, part, items)``.
+
+    Part p of a key holds its items p * ``block_items`` up to (p + 1) * ``block_items`` - 1 in their
+    order, whatever the number of rows; so a list never has more than ``block_items`` entries.
+    """
+    placed = numbered(df, keys, items, min_rows, counted)
+    part = F.floor(F.col("position") / block_items).alias("part")
+    packed = F.sort_array(F.collect_list(F.struct(*items))).alias("items")
+    return placed.groupBy(*keys, part).agg(packed)
 
 
 def carry_forward(

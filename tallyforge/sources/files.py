@@ -94,7 +94,7 @@ def read_title_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ini_log(spark: SparkSession, path: str) -> DataFrame:
-    """Load-test logs ``[Minute N]`` / ``host=rps`` to ``(minute, host, rps)``.
+    """Load-test logs ``[Minute N]`` / ``host=rps`` to ``(test, minute, host, rps)``, test being the file.
 
     A header applies to the lines below it.  It is carried down inside each input split first,
     then from split to split (one row each), so a large file is not gathered into one task.
@@ -122,6 +122,7 @@ def read_ini_log(spark: SparkSession, path: str) -> DataFrame:
         local.join(carried, ["file", "block"])
         .where(section.startswith("[Minute") & F.col("line").contains("=") & ~F.col("line").startswith(";"))
         .select(
+            F.col("file").alias("test"),
             F.regexp_extract(section, r"(\d+)", 1).try_cast("int").alias("minute"),
             F.trim(F.substring_index("line", "=", 1)).alias("host"),
             F.trim(F.substring_index("line", "=", -1)).try_cast("double").alias("rps"),

@@ -8,12 +8,11 @@ from tallyforge.sinks import writers
 from tallyforge.sources import files, records
 
 INI = """; a comment = ignored
-[Test]
-type=horizontal
-testId=14
+[Settings]
+kind=steady
 
 [Minute 1]
-host-a=598.10
+host-a=612.5
 
 [Minute 2]
 host-a=2100.5
@@ -64,19 +63,29 @@ def test_read_tsv_positions_and_short_lines(spark, rows, tmp_path):
 
 
 def test_read_title_list_keeps_order(spark, tmp_path):
-    path = write(tmp_path / "q", "Google\n Amazon.com \r\n\nZ\n")
+    path = write(tmp_path / "q", "Alder\n Birch.org \r\n\nZ\n")
     listed = files.read_title_list(spark, path).orderBy("position")
-    assert [r["title"] for r in listed.collect()] == ["Google", "Amazon.com", "Z"]
+    assert [r["title"] for r in listed.collect()] == ["Alder", "Birch.org", "Z"]
 
 
 def test_read_ini_log(spark, rows, tmp_path):
     path = write(tmp_path / "test.log", INI)
     log = files.read_ini_log(spark, path)
-    assert rows(log) == [(1, "host-a", 598.1), (2, "host-a", 2100.5), (2, "host-b", 1900.0), (3, "host-a", 4000.0)]
-    assert rows(rps_per_minute(log)) == [
-        (1, 598.1, True, 2), (2, 4000.5, False, 2), (3, 4000.0, False, 2)
+    plain = log.drop("test")
+    assert rows(plain) == [(1, "host-a", 612.5), (2, "host-a", 2100.5), (2, "host-b", 1900.0), (3, "host-a", 4000.0)]
+    assert rows(rps_per_minute(log).drop("test")) == [
+        (1, 612.5, True, 2), (2, 4000.5, False, 2), (3, 4000.0, False, 2)
+    ]
+    assert rows(rps_per_minute(log, target=9000).drop("test"))[0] == (1, 612.5, True, None)
+
+
+def test_tests_with_equal_minutes_stay_apart(spark, rows, tmp_path):
+    for name, rps in (("a.log", 1000), ("b.log", 3500)):
+        write(tmp_path / name, f"[Minute 1]\nh={rps}\n")
+    log = files.read_ini_log(spark, str(tmp_path))
+    assert rows(rps_per_minute(log, 3000).selectExpr("right(test, 5)", "rps", "below_target", "first_minute_at_target")) == [
+        ("a.log", 1000.0, True, None), ("b.log", 3500.0, False, 1)
     ]
-    assert rows(rps_per_minute(log, target=9000))[0] == (1, 598.1, True, None)
 
 
 def test_read_ini_log_over_several_splits(spark, rows, tmp_path):
@@ -89,7 +98,7 @@ def test_read_ini_log_over_several_splits(spark, rows, tmp_path):
     try:
         log = files.read_ini_log(spark, str(tmp_path))
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
-        found = rows(log)
+        found = rows(log.drop("test"))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     expected = [(m, f"h{h}", float(m * 1000 + h)) for m in range(1, 30) for h in range(40)] * 2

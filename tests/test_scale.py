@@ -37,7 +37,8 @@ def test_position_numbers_all_rows(skewed, rows):
 
 
 def test_pack_sorted_splits_the_hot_key_in_order(skewed, rows):
-    packed = scale.pack_sorted(skewed, ["k"], ["n"], max_items=300)
+    packed = scale.pack_sorted(skewed, ["k"], ["n"], 300, min_rows=500)
+    assert rows(packed) == rows(scale.pack_sorted(skewed, ["k"], ["n"], 300))
     hot = packed.where("k = 0").orderBy("part").collect()
     assert [len(r["items"]) for r in hot] == [300, 300, 300, 100]
     assert [r["part"] for r in hot] == [0, 1, 2, 3]
@@ -47,6 +48,16 @@ def test_pack_sorted_splits_the_hot_key_in_order(skewed, rows):
     assert rows(flat) == rows(skewed)
 
 
+def test_lists_are_bounded_whatever_counts_as_heavy(spark, rows):
+    """Three keys of 1,000 rows, none of them above a share: lists of 10 all the same."""
+    three = spark.range(3000).selectExpr("id % 3 as k", "id as n")
+    packed = scale.pack_sorted(three, ["k"], ["n"], 10)
+    assert {len(r["items"]) for r in packed.collect()} == {10} and packed.count() == 300
+    numbered = scale.numbered(three, ["k"], ["n"], min_rows=100)
+    assert rows(numbered) == rows(three.selectExpr("k", "n", "(n - k) div 3 as position"))
+    assert rows(scale.numbered(three, ["k"], ["n"], min_rows=100, counted=three)) == rows(numbered)
+
+
 def test_carry_forward_equals_one_window(skewed, rows):
     df = skewed.withColumn("put", F.when(F.xxhash64("n") % 40 == 0, F.col("n")))
     upto = Window.partitionBy("k").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
@@ -101,12 +112,12 @@ def test_latest_by_key_tie_on_time(spark, rows):
 
 def test_long_lists_get_parts(spark, rows):
     follows = spark.createDataFrame([(1, i) for i in range(5)] + [(2, 9)], "userid long, followed long")
-    assert rows(adjacency_line(follows)) == [(1, 0, "1\t0:1:2:3:4"), (2, 0, "2\t9")]
-    assert rows(adjacency_line(follows, max_items=2)) == [
+    assert rows(adjacency_line(follows, 5)) == [(1, 0, "1\t0:1:2:3:4"), (2, 0, "2\t9")]
+    assert rows(adjacency_line(follows, 2)) == [
         (1, 0, "1\t0:1"), (1, 1, "1\t2:3"), (1, 2, "1\t4"), (2, 0, "2\t9"),
     ]
     edges = follows.toDF("src", "dst").unionAll(follows.toDF("src", "dst"))
-    assert rows(collect_neighbours(edges, max_items=3)) == [(1, 0, [0, 1, 2]), (1, 1, [3, 4]), (2, 0, [9])]
+    assert rows(collect_neighbours(edges, 3)) == [(1, 0, [0, 1, 2]), (1, 1, [3, 4]), (2, 0, [9])]
 
 
 def test_feed_parts(spark, rows):
@@ -114,21 +125,21 @@ def test_feed_parts(spark, rows):
         [(1, "t2", "b", "u2"), (1, "t1", None, "u1"), (1, "t1", "a", "u0")],
         "userid long, time string, name string, url string",
     )
-    parts = feed_sort(feed, max_items=2).orderBy("part").collect()
+    parts = feed_sort(feed, 2).orderBy("part").collect()
     assert [[p["url"] for p in r["photos"]] for r in parts] == [["u1", "u0"], ["u2"]]
     owners = spark.createDataFrame([(1, "me"), (2, "other")], "userid long, username string")
-    assert rows(feed_json(feed, owners)) == [
+    assert rows(feed_json(feed, 9, owners)) == [
         (1, 0, '{"name":"me","photos":[{"url":"u1","time":"t1","name":null},'
                '{"url":"u0","time":"t1","name":"a"},{"url":"u2","time":"t2","name":"b"}]}'),
         (2, 0, '{"name":"other","photos":[]}'),
     ]
-    assert feed_json(feed, max_items=2).count() == 2
+    assert feed_json(feed, 2).count() == 2
 
 
 def test_join_list_parts(spark, rows):
     ranked = spark.createDataFrame([(i + 1, f"t{i}") for i in range(5)], "rank long, title string")
-    assert rows(join_list(ranked)) == [(0, "t0,t1,t2,t3,t4")]
-    assert rows(join_list(ranked, max_items=2)) == [(0, "t0,t1"), (1, "t2,t3"), (2, "t4")]
+    assert rows(join_list(ranked, 5)) == [(0, "t0,t1,t2,t3,t4")]
+    assert rows(join_list(ranked, 2)) == [(0, "t0,t1"), (1, "t2,t3"), (2, "t4")]
 
 
 def test_pagerank_with_sharded_hub(spark):

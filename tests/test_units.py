@@ -59,6 +59,16 @@ def test_dense_days(daily, rows):
     assert pageviews.dense_days(daily, [D(2024, 1, 1)]).count() == 4
 
 
+def test_stray_dates_and_repeated_days(spark, daily, rows):
+    stray = daily.unionByName(spark.createDataFrame([("odd", D(1, 1, 1), 5)], daily.schema))
+    with pytest.raises(Exception, match="name the days to report"):
+        pageviews.dense_days(stray).count()
+    assert pageviews.dense_days(stray, [D(2024, 1, 1)]).count() == 5
+    twice = daily.unionByName(daily)
+    doubled = daily.withColumn("views", daily["views"] * 2)
+    assert rows(pageviews.dense_days(twice)) == rows(pageviews.dense_days(doubled))
+
+
 def test_peak_takes_the_earliest_day(daily, rows):
     assert rows(pageviews.peak_day(daily, "gap")) == [("gap", D(2024, 1, 2), 7)]
     assert rows(pageviews.days_a_beats_b(daily, "open", "gap")) == [(2,)]
@@ -86,10 +96,10 @@ def test_month_total_is_the_sum_of_days(daily, rows):
 
 def test_packed_score(spark, rows):
     packed = spark.createDataFrame(
-        [("a", "2014-04-19,100,100,100;2014-04-20,1,5,2;2015-03-20,2,3,9;2015-03-21,100,100,100"), ("b", "2013-01-01,1,1,1")],
+        [("a", "2021-06-02,100,100,100;2021-06-03,1,5,2;2022-01-09,2,3,9;2022-01-10,100,100,100"), ("b", "2013-01-01,1,1,1")],
         "id string, packed string",
     )
-    assert rows(pageviews.packed_score(packed, "2014-04-20", "2015-03-20")) == [("a", 3 + 5 + 9), ("b", 0)]
+    assert rows(pageviews.packed_score(packed, "2021-06-03", "2022-01-09")) == [("a", 3 + 5 + 9), ("b", 0)]
 
 
 def test_drop_bad_numbers(spark, rows):
@@ -173,6 +183,9 @@ def test_tfidf_counts_letterless_documents(spark, rows):
     assert term == {"a": (3, 2, 0.90309), "b": (1, 2, 0.30103)}
     everything = textmodels.tfidf(docs).where("word = 'cloud'")
     assert rows(everything) == rows(textmodels.tfidf(docs, term="cloud"))
+    tagged = spark.createDataFrame([("a", "x <cloud> y"), ("b", "sun")], "title string, text string")
+    assert textmodels.tfidf(tagged, term="cloud").count() == 0
+    assert [r["tf"] for r in textmodels.tfidf(tagged, term="cloud", strip_markup=False).collect()] == [1]
     three = docs.where("title <> 'd'")
     whole = {r["title"]: round(r["tfidf"], 6) for r in textmodels.tfidf(three, integer_idf=True).where("word = 'cloud'").collect()}
     assert whole == {"a": 0.0, "b": 0.0}
