@@ -48,6 +48,38 @@ def credential_join(requests: DataFrame, userinfo: DataFrame) -> DataFrame:
     return joined.withColumn("name", F.coalesce("username", F.lit("Unauthorized"))).drop("username")
 
 
+def name_json(requests: DataFrame, userinfo: DataFrame) -> DataFrame:
+    """``(request, doc)``: the name each login gets, as ``{"name":...}``."""
+    named = credential_join(requests, userinfo)
+    return named.select("request", F.to_json(F.struct("name")).alias("doc"))
+
+
+def friends_json(adjacency: DataFrame) -> DataFrame:
+    """``(userid, part, doc)``: ``{"friends":[{"userid":...},...]}`` for each adjacency line."""
+    listed = friends_array(adjacency)
+    return listed.select("userid", "part", F.to_json(F.struct("friends")).alias("doc"))
+
+
+def image_json(userimage: DataFrame) -> DataFrame:
+    """``(userid, doc)``: each user's own image as ``{"time":...,"url":...}``."""
+    return userimage.select("userid", F.to_json(F.struct(F.col("time").cast("string").alias("time"), "url")).alias("doc"))
+
+
+def requested_feed_json(requests: DataFrame, userinfo: DataFrame, documents: DataFrame) -> DataFrame:
+    """``(request, userid, part, doc)``: the feed documents of each request that may see them.
+
+    ``documents`` has (userid, part, doc).  A request with a wrong password gets the name
+    ``Unauthorized`` and no photos.
+    """
+    named = credential_join(requests, userinfo).select("request", "userid", "name")
+    allowed = named.where(F.col("name") != "Unauthorized")
+    none = F.from_json(F.lit("[]"), "array<struct<url: string>>").alias("photos")
+    refused = named.where(F.col("name") == "Unauthorized")
+    return allowed.join(documents, "userid").select("request", "userid", "part", "doc").unionByName(
+        refused.select("request", "userid", F.lit(0).cast("bigint").alias("part"), F.to_json(F.struct("name", none)).alias("doc"))
+    )
+
+
 def feed_join(
     follows: DataFrame, userinfo: DataFrame, userimage: DataFrame, min_rows: int = HEAVY_ROWS
 ) -> DataFrame:

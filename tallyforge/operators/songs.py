@@ -25,6 +25,17 @@ def column_contains(df: DataFrame, column: str, needle: str) -> DataFrame:
     return df.where(F.col(column).contains(needle))
 
 
+def column_matches(df: DataFrame, column: str, pattern: str, ci: bool = False) -> DataFrame:
+    """Rows whose ``column`` has a match of the regular expression."""
+    return df.where(F.col(column).rlike(f"(?i){pattern}" if ci else pattern))
+
+
+def last_of_each(df: DataFrame, key: str, order: str) -> DataFrame:
+    """One row per key, the one highest by ``order`` (a column without ties within a key)."""
+    row = F.struct(*df.columns)
+    return df.groupBy(key).agg(F.max_by(row, order).alias("_row")).select("_row.*")
+
+
 def range_and_threshold(
     songs: DataFrame, lo: int = 1970, hi: int = 1989, min_hot: float = 0.8
 ) -> DataFrame:
@@ -53,10 +64,18 @@ def average(df: DataFrame, column: str, blanks_as_zero: bool = False) -> DataFra
 
 
 def join_sales_songs(sales: DataFrame, songs: DataFrame, how: str = "inner") -> DataFrame:
-    """Sales with their song; ``how='left'`` keeps sales of unknown tracks."""
+    """Sales with their song; ``how='left'`` keeps sales of unknown tracks.
+
+    A track listed several times gives a row for each; see ``lookup_last`` for the other reading.
+    """
     return sales.join(songs, "track_id", how)
 
 
+def lookup_last(sales: DataFrame, songs: DataFrame, order: str) -> DataFrame:
+    """Sales with the last song of their track by ``order``; sales of unknown tracks are kept."""
+    return sales.join(last_of_each(songs, "track_id", order).drop(order), "track_id", "left")
+
+
 def sales_per_track(sales: DataFrame) -> DataFrame:
     """One row per track.  Joining this instead of single sales moves far less data and leaves
     no track heavier than another."""

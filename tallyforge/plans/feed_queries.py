@@ -106,11 +106,26 @@ def test_name(column):
     return F.regexp_extract(column, "(test=[ab])", 1)
 
 
+def alarms(s, d, name, threshold, n, below):
+    """The alarm states of all closed hours, as the streaming alarm wrote them."""
+    folder = st.new_folder(s, name)
+    averages = st.stream_period_avg(event_stream(s, d), "1 hour", "ts", "value", "1 hour")
+    st.start_alarm(averages, folder, threshold, "1 hour", n, below).awaitTermination()
+    return st.read_alarms(s, folder)
+
+
 HOURS = "select date_trunc('hour', ts) as h, {agg} as x from events group by 1"
 CLOSED = " where h + interval 1 hour <= (select max(ts) from events) - interval 1 hour"
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
 
+# An alarm: the breach has lasted n hours that all exist.
+alarm_sql = """with hours as ({hours}), marked as (select h, x, case when {breach} then 1 else 0 end as b from hours)
+    select strftime(h, '%Y-%m-%d %H:%M:%S') as period_start, round(x, 6) as average,
+    sum(b) over (order by h range between interval '1 hour' * ({n} - 1) preceding and current row) = {n} as alarm
+    from marked {closed}"""
+
+
 def register(c: Catalog) -> None:
     # Social
     c.add(
@@ -158,6 +173,35 @@ def register(c: Catalog) -> None:
         f"""select u.userid, coalesce(p.part, 0) as part, '{{"name":"' || u.username || '","photos":' || coalesce(p.photos, '[]') || '}}' as doc
         from userinfo u left join ({photos}) p on p.userid = u.userid""",
     )
+    c.add(
+        "name_json",
+        lambda s, d: so.name_json(login_requests(s, d), t.userinfo(s, d)),
+        """select o_orderkey as request, '{"name":"' || case when o_orderpriority like '1%' or o_orderpriority = c_mktsegment
+        then c_name else 'Unauthorized' end || '"}' as doc from orders join customer on c_custkey = o_custkey""",
+    )
+    c.add(
+        "friends_json",
+        lambda s, d: so.friends_json(so.adjacency_line(t.follows(s, d), 4)),
+        """select userid, part, '{"friends":[' || string_agg('{"userid":"' || followed || '"}', ',' order by followed) || ']}' as doc
+        from follow_blocks group by userid, part""",
+    )
+    c.add(
+        "image_json",
+        lambda s, d: so.image_json(t.userimage(s, d)),
+        """select userid, '{"time":"' || time || '","url":"' || url || '"}' as doc from userimage""",
+    )
+    c.add(
+        "requested_feed_json",
+        lambda s, d: so.requested_feed_json(
+            login_requests(s, d), t.userinfo(s, d), so.feed_json(feed(s, d), 3, t.userinfo(s, d), t.follows(s, d))
+        ),
+        f"""with asked as (select o_orderkey as request, o_custkey as userid,
+          o_orderpriority like '1%' or o_orderpriority = c_mktsegment as allowed from orders join customer on c_custkey = o_custkey)
+        select a.request, a.userid, coalesce(p.part, 0) as part,
+        case when a.allowed then '{{"name":"' || u.username || '","photos":' || coalesce(p.photos, '[]') || '}}'
+        else '{{"name":"Unauthorized","photos":[]}}' end as doc
+        from asked a join userinfo u on u.userid = a.userid left join ({photos}) p on p.userid = a.userid and a.allowed""",
+    )
     # Records and key-value log
     c.add("parse_records", lambda s, d: parse_records(payloads(s, d), "payload"), "select target_id, line from targets")
     c.add(
@@ -192,6 +236,13 @@ def register(c: Catalog) -> None:
         select {STAMP.format('a.h')} as period_start, round(a.x, 6) as average, a.x >= 30 and coalesce(b.x >= 30, false) as alarm
         from hours a left join hours b on b.h = a.h - interval 1 hour""",
     )
+    c.add(
+        "alarm_below",
+        lambda s, d: text_times(
+            rounded(lt.alarm_consecutive(t.table(s, d, "events"), "ts", "value", 60, "1 hour", 3, below=True), "average"), "period_start"
+        ),
+        alarm_sql.format(hours=HOURS.format(agg="avg(value)"), breach="x <= 60", closed="", n=3),
+    )
     # Files written and read back
     c.add(
         "write_text_tsv",
@@ -237,6 +288,16 @@ def register(c: Catalog) -> None:
         from per_minute cross join (select unnest(['a', 'b']) as t)""",
     )
     # Streaming
+    for name, threshold, n, below in (("stream_alarm", 30, 2, False), ("stream_alarm_below", 60, 3, True)):
+        c.add(
+            name,
+            lambda s, d, name=name, threshold=threshold, n=n, below=below: text_times(
+                rounded(alarms(s, d, name, threshold, n, below), "average"), "period_start"
+            ),
+            alarm_sql.format(
+                hours=HOURS.format(agg="avg(value)"), breach=f"x {'<=' if below else '>='} {threshold}", closed=CLOSED, n=n
+            ),
+        )
     c.add(
         "stream_latest_by_key",
         lambda s, d: st.merge_latest(streamed(s, "latest", st.stream_latest_by_key(kv_stream(s, d)), "update")),

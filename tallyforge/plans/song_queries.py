@@ -16,6 +16,18 @@ def per_track(s, d):
     return sg.join_sales_songs(sg.sales_per_track(t.sales(s, d)), t.songs(s, d))
 
 
+def known_years(s, d):
+    """Songs whose year is null where it is not known."""
+    return t.songs(s, d).withColumn("year", F.nullif("year", F.lit(0)))
+
+
+def relisted_songs(s, d):
+    """Songs of known year; those of even years are listed a second time, under another release."""
+    songs = t.songs(s, d).where("year <> 0").withColumn("listing", F.lit(1))
+    again = songs.where("year % 2 = 0").withColumns({"release": F.concat(F.lit("again "), "release"), "listing": F.lit(2)})
+    return songs.unionByName(again)
+
+
 def register(c: Catalog) -> None:
     c.add(
         "grep_any_column",
@@ -28,6 +40,28 @@ def register(c: Catalog) -> None:
         lambda s, d: sg.column_contains(t.songs(s, d), "artist_name", "00005"),
         f"select {SONG} from songs where contains(artist_name, '00005')",
     )
+    c.add(
+        "column_matches",
+        lambda s, d: sg.column_matches(t.songs(s, d), "release", "brand#[12][3-5]$", ci=True),
+        f"select {SONG} from songs where regexp_matches(release, 'brand#[12][3-5]$', 'i')",
+    )
+    c.add(
+        "column_matches_cs",
+        lambda s, d: sg.column_matches(t.songs(s, d), "artist_name", "^Supplier#0+[1-3]$"),
+        f"select {SONG} from songs where regexp_matches(artist_name, '^Supplier#0+[1-3]$')",
+    )
+    c.add(
+        "average_blanks",
+        lambda s, d: rounded(sg.average(known_years(s, d), "year", blanks_as_zero=True), "average"),
+        "select round(avg(cast(year as double)), 6) as average from songs",
+    )
+    c.add(
+        "lookup_left_last",
+        lambda s, d: text_days(sg.lookup_last(t.sales(s, d), relisted_songs(s, d), "listing"), "sale_date"),
+        """select sa.track_id, cast(sa.sale_date as varchar) as sale_date, sa.sales_count, so.title,
+        case when so.year % 2 = 0 then 'again ' || so.release else so.release end as release, so.artist_id, so.artist_name,
+        so.duration, so.artist_hotttnesss, so.year from sales sa left join (select * from songs where year <> 0) so on so.track_id = sa.track_id""",
+    )
     c.add(
         "range_and_threshold",
         lambda s, d: sg.range_and_threshold(t.songs(s, d), 1970, 1989, 0.3),

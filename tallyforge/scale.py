@@ -25,11 +25,15 @@ _SLOT_BITS = 33  # monotonically_increasing_id keeps the in-partition row number
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written tables; a temporary one on a local master."""
+    """The shared folder for checkpoints and written tables.
+
+    Only a session whose executors are this very process (``local``, ``local[...]``) gets a temporary
+    one when none is set.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="tallyforge-ckpt-")
     if context.getCheckpointDir() is None:

@@ -9,6 +9,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming state on disk rather than on the heap: it has one row per key.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Checkpoints written between iterations are removed once their DataFrame is collected.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

@@ -74,6 +74,9 @@ def start_alarm(
         last = seen.agg(F.max("period_start")).scalar()
         kept = seen.where(F.col("period_start") > last - span)
         kept.write.mode("overwrite").parquet(f"{folder}/tail/batch={batch_id}")
+        # A batch starts when the one before is committed: a replay needs its tail and no more.
+        remove(spark, f"{folder}/averages/batch={batch_id - 1}")
+        remove(spark, f"{folder}/tail/batch={batch_id - 2}")
 
     return (
         averages.writeStream.outputMode("append")
@@ -84,6 +87,21 @@ def start_alarm(
     )
 
 
+ALARMS = "period_start timestamp, average double, alarm boolean"
+
+
+def read_alarms(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``start_alarm`` has found so far, nothing if no period is closed yet."""
+    spark.createDataFrame([], ALARMS).write.mode("overwrite").parquet(f"{folder}/alarms/batch=-1")
+    return spark.read.schema(ALARMS).parquet(f"{folder}/alarms/batch=*")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any storage; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for the state and output of one streaming run, on shared storage."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -106,6 +124,8 @@ def run_to_files(df: DataFrame, mode: str, folder: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
+    # So that there is something to read when nothing was emitted.
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{folder}/out/batch=-1")
     return df.sparkSession.read.schema(df.schema).option("basePath", f"{folder}/out").parquet(
         f"{folder}/out"
     )

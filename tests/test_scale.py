@@ -174,8 +174,9 @@ def test_checkpoint_folder_is_temporary_only_on_a_local_master():
     local = _Session("local[2]")
     folder = scale.checkpoint_dir(local)
     assert folder and scale.checkpoint_dir(local) == folder == local.sparkContext.folder
-    with pytest.raises(ValueError):
-        scale.checkpoint_dir(_Session("yarn"))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            scale.checkpoint_dir(_Session(master))
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
