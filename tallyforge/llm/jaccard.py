@@ -15,7 +15,8 @@ orders.  All orders put rare tokens first and differ among tokens of about the s
    orders too are verified, and linked sets form components.
 4. Meetings whose sets are in different components by then are resolved in full: everything
    outside the main component of the meeting is paired with all others there.  Pairs within a
-   component are never listed, so a group of n copies costs n pairs.
+   component are never listed, so a group of n copies costs n pairs; and pairs that differ too much
+   by what the comparisons with their common leader told are left out, which is exact.
 """
 
 from __future__ import annotations
@@ -314,6 +315,7 @@ def prefixes(similarity: Similarity):
                     "token": np.concatenate(found).view(np.int64) if found else [],
                     "id": np.repeat(batch["id"].to_numpy(), many),
                     "n": np.repeat(batch["n"].to_numpy(), many),
+                    "own": np.repeat(batch["n"].to_numpy() - np.array([len(t) // 8 for t in batch["tokens"]], dtype=np.int32), many),
                 }
             )
 
@@ -323,42 +325,74 @@ def prefixes(similarity: Similarity):
 ORDERS = (1, 2)  # besides order 0, under which sets meet
 
 
-def linked(similarity: Similarity):
-    """Pairs of sets: those that share prefix tokens in all orders and are similar."""
+SKETCH = 4  # longs of a sketch
+_P, _Q = [f"p{i}" for i in range(SKETCH)], [f"q{i}" for i in range(SKETCH)]
+
+
+def sketch(tokens: np.ndarray) -> list[int]:
+    """A bitmap of tokens; sets that differ in a bit differ in a token."""
+    bits = np.zeros(64 * SKETCH, dtype=np.uint8)
+    bits[(mix(tokens) % np.uint64(len(bits))).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8").tolist()
+
+
+def compare(similarity: Similarity):
+    """For pairs of sets: ``linked`` if they share prefix tokens in all orders and are similar.
+
+    ``p`` is the sketch of what only the first has, ``q`` of what only the second has.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = []
-            for n_a, n_b, a, b in zip(batch["n_a"], batch["n_b"], batch["tokens_a"], batch["tokens_b"]):
+            rows = []
+            for id_a, id_b, n_a, n_b, a, b in zip(*(batch[c] for c in ("a", "b", "n_a", "n_b", "tokens_a", "tokens_b"))):
                 a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 met = all(
                     np.intersect1d(prefix(a, n_a, k, similarity), prefix(b, n_b, k, similarity), assume_unique=True).size
                     for k in ORDERS
                 )
-                both = np.intersect1d(a, b, assume_unique=True).size if met else 0
-                keep.append(met and similarity.similar(n_a, n_b, both))
-            yield batch.loc[keep, ["a", "b"]]
+                both = np.intersect1d(a, b, assume_unique=True)
+                linked = bool(met and similarity.similar(n_a, n_b, both.size))
+                only = [sketch(np.setdiff1d(x, both, assume_unique=True)) for x in (a, b)]
+                rows.append((id_a, id_b, linked, *only[0], *only[1]))
+            yield pd.DataFrame(rows, columns=["a", "b", "linked", *_P, *_Q])
 
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """The links among distinct pairs (a, b) of set ids."""
+def compared(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
+    """The distinct pairs (a, b) of set ids of possible sizes, as ``compare`` says."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("tokens_a"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("tokens_b"))
     met = pairs.join(left, "a").join(right, "b").where(
         (F.col("n_a") * similarity.percent <= F.col("n_b") * 100) & (F.col("n_b") * similarity.percent <= F.col("n_a") * 100)
     )
-    return written(met.mapInPandas(linked(similarity), "a long, b long"), "links")
+    schema = "a long, b long, linked boolean, " + ", ".join(f"{c} long" for c in _P + _Q)
+    return written(met.mapInPandas(compare(similarity), schema), "compared")
 
 
 def ordered_pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def may_be_similar(similarity: Similarity) -> str:
+    """SQL: whether sets x and y of one meeting can be similar, by what is known of both.
+
+    ``own`` counts tokens no other set has.  When both were compared with one leader, what x has
+    more than the leader and y has not, and what y lacks of the leader and x has not, is in x alone.
+    """
+
+    def alone(x: str, y: str) -> str:
+        more = " + ".join(f"bit_count({x}.p{i} & ~{y}.p{i}) + bit_count({y}.q{i} & ~{x}.q{i})" for i in range(SKETCH))
+        return f"{x}.own + if({x}.leader = {y}.leader, coalesce({more}, 0), 0)"
+
+    both = f"least(x.n - ({alone('x', 'y')}), y.n - ({alone('y', 'x')}))"
+    return f"100 * {both} >= {similarity.percent} * (x.n + y.n - {both})"
+
+
 def set_components(sets: DataFrame, similarity: Similarity) -> DataFrame:
     """(id, component) of the sets that are linked to others."""
-    rows = sets.select("id", "n", "tokens").mapInPandas(prefixes(similarity), "token long, id long, n int")
+    rows = sets.select("id", "n", "tokens").mapInPandas(prefixes(similarity), "token long, id long, n int, own int")
     # A token that a single set has in its prefix brings no pair; counting is cheap and exact.
     shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
     meetings = written(rows.join(shared, "token", "left_semi").withColumn("size", F.expr(similarity.size_class())), "meetings")
@@ -367,21 +401,29 @@ def set_components(sets: DataFrame, similarity: Similarity) -> DataFrame:
     near = near.groupBy("token", "size").agg(F.collect_set("leader").alias("leaders"))  # two at most
     stars = join_unique(meetings, near, ["token", "size"]).select("id", F.explode("leaders").alias("leader"))
     stars = stars.where("id <> leader").select(*ordered_pair("id", "leader")).distinct()
-    links = verified(stars, sets, similarity)
+    seen = compared(stars, sets, similarity)
+    links = seen.where("linked").select("a", "b")
     found = components(links)
     # What the stars left open: meetings with several components.
     labelled = meetings.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    labelled = written(labelled.select("token", "id", "size", "component"), "labelled")
+    labelled = written(labelled, "labelled")
     groups = labelled.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m"))
     main = groups.groupBy("token").agg(F.max(F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("k"))
     main = main.where("k > 1").select("token", F.col("main.component").alias("main"))
-    outside = join_unique(labelled, main, ["token"]).where("component <> main")
-    outside = outside.select("token", F.col("id").alias("x"), F.col("size").alias("size_x"), F.col("component").alias("component_x"))
-    cross = outside.join(labelled, "token").where(
-        (F.col("component_x") != F.col("component")) & (F.abs(F.col("size_x") - F.col("size")) <= 1)
+    open_rows = join_unique(join_unique(labelled, main, ["token"]), leaders, ["token", "size"])
+    # What each set and its leader have alone.
+    one = seen.select(F.col("a").alias("id"), F.col("b").alias("leader"), *_P, *_Q)
+    two = seen.select(F.col("b").alias("id"), F.col("a").alias("leader"), *(F.col(q).alias(p) for p, q in zip(_P + _Q, _Q + _P)))
+    known = open_rows.join(one.unionByName(two), ["id", "leader"], "left")
+    known = known.withColumns({c: F.when(F.col("id") == F.col("leader"), F.lit(0)).otherwise(F.col(c)) for c in _P + _Q})
+    known = written(known, "open")
+    cross = known.where("component <> main").alias("x").join(
+        known.alias("y"),
+        F.expr("x.token = y.token and x.component <> y.component and abs(x.size - y.size) <= 1")
+        & F.expr(may_be_similar(similarity)),
     )
-    more = verified(cross.select(*ordered_pair("x", "id")).distinct(), sets, similarity)
-    return components(links.unionByName(more))
+    more = compared(cross.select(*ordered_pair("x.id", "y.id")).distinct(), sets, similarity)
+    return components(links.unionByName(more.where("linked").select("a", "b")))
 
 
 def jaccard_components(
