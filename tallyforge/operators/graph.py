@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.scale import MAX_HEAVY_KEYS, pack_sorted, stable
+from tallyforge.scale import MAX_HEAVY_KEYS, new_path, pack_sorted, remove, stored, stored_by
 
-MIN_LINKS_PER_PARTITION = 100_000
 LINKS_PER_SHARD = 1_000_000
+# Links in one stored file, and the most files Spark makes for a table by hash.
+LINKS_PER_PART = 5_000_000
+MAX_PARTS = 100_000
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:
@@ -74,13 +76,6 @@ def with_titles(ranks: DataFrame, titles: DataFrame) -> DataFrame:
     return titles.join(ranks, "page").select("title", "score")
 
 
-def _partitions(spark: SparkSession, n_links: int) -> int:
-    """The session's shuffle partitions, so aggregates line up with the stored tables; fewer
-    only when there is too little data to fill them."""
-    wanted = max(spark.sparkContext.defaultParallelism, n_links // MIN_LINKS_PER_PARTITION)
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
-
-
 def pagerank(
     edges: DataFrame,
     rounds: int = 10,
@@ -93,39 +88,42 @@ def pagerank(
     By default only pages that received a contribution live on to the next round, so pages
     without in-links disappear; ``keep_sourceless=True`` keeps them and the scores sum to N.
 
-    The links are laid out once, by source, and read in place every round: a round moves only
+    The links are stored once, by source, and read in place every round: a round moves only
     one row per page and the partly summed contributions.  The links of a big source are dealt
-    over shards of about ``links_per_shard``; its score is repeated once per shard.
+    over shards of about ``links_per_shard``; its score is repeated once per shard.  Links and all
+    rounds but the last are deleted again.
     """
-    links = stable(distinct_edges(edges))
-    n_links = links.count()
-    parts = _partitions(edges.sparkSession, n_links)
+    spark = edges.sparkSession
+    n_rows = edges.count()  # repeated links included: an upper bound that needs no shuffle
+    parts = min(MAX_PARTS, max(spark.sparkContext.defaultParallelism, -(-n_rows // LINKS_PER_PART)))
     # Keeps the sources with several shards below MAX_HEAVY_KEYS, so their list can be broadcast.
-    links_per_shard = max(links_per_shard, math.ceil(n_links / MAX_HEAVY_KEYS))
-
-    degree = links.groupBy(F.col("src").alias("page")).agg(F.count(F.lit(1)).alias("links"))
-    pages = stable(
-        all_pages(links)
-        .join(degree, "page", "left")
-        .select("page", F.coalesce("links", F.lit(0)).alias("links"))
-        .withColumn("shards", F.ceil(F.col("links") / links_per_shard).cast("int"))
-        .repartition(parts, "page")
-        .sortWithinPartitions("page"),
-        keep_layout=True,
-    )
-    n_pages = pages.count()
+    links_per_shard = max(links_per_shard, math.ceil(n_rows / MAX_HEAVY_KEYS))
+    big = edges.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / links_per_shard).cast("int").alias("shards"))
+    big = F.broadcast(big.where("shards > 1"))
 
-    big = pages.where(F.col("shards") > 1).select(F.col("page").alias("src"), "shards")
     dealt = F.pmod(F.xxhash64("dst"), F.coalesce("shards", F.lit(1))).cast("int")
-    laid_out = stable(
-        links.join(F.broadcast(big), "src", "left")
-        .select("src", "dst", dealt.alias("shard"))
-        .repartition(parts, "src", "shard")
-        .sortWithinPartitions("src", "shard"),
-        keep_layout=True,
+    sharded = edges.join(big, "src", "left").select("src", "dst", dealt.alias("shard"))
+    links_path, pages_path = new_path(spark, "links"), new_path(spark, "pages")
+    # The exchange that lays the links out also brings the repeated ones together.
+    distinct = sharded.repartition(parts, "src", "shard").distinct()
+    laid_out = stored_by(distinct, links_path, ["src", "shard"], parts)
+
+    ends = laid_out.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("src").alias("page"), F.lit(1).alias("link")),
+                F.struct(F.col("dst").alias("page"), F.lit(0).alias("link")),
+            )
+        )
     )
+    degrees = ends.groupBy("page").agg(F.sum("link").alias("links"))
+    counted = degrees.join(big.withColumnRenamed("src", "page"), "page", "left")
+    pages = stored_by(
+        counted.select("page", "links", F.coalesce("shards", F.lit(1)).alias("shards")), pages_path, ["page"], parts
+    )
+    n_pages = pages.count()
 
-    ranks = pages.withColumn("score", F.lit(1.0))
+    ranks, paths = pages.withColumn("score", F.lit(1.0)), []
     for _ in range(rounds):
         loose = ranks.where(F.col("links") == 0)
         mass = loose.agg(F.coalesce(F.sum("score"), F.lit(0.0))).scalar()
@@ -134,12 +132,20 @@ def pagerank(
             F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
             (F.col("score") / F.col("links")).alias("share"),
         )
+        # Hashing the shares, one row per source and shard, spares sorting the links every round.
+        sent = shares.repartition(parts, "src", "shard").hint("shuffle_hash")
         incoming = (
-            laid_out.join(shares.repartition(parts, "src", "shard"), ["src", "shard"])
+            laid_out.join(sent, ["src", "shard"])
             .groupBy(F.col("dst").alias("page"))
             .agg(F.sum("share").alias("incoming"))
         )
         received = pages.join(incoming, "page", "left" if keep_sourceless else "inner")
         score = (1 - d) + d * (F.coalesce("incoming", F.lit(0.0)) + mass / n_pages)
-        ranks = stable(received.select("page", "links", "shards", score.alias("score")))
+        paths.append(new_path(spark, "ranks"))
+        ranks = stored(received.select("page", "links", "shards", score.alias("score")), paths[-1])
+        if len(paths) > 1:
+            remove(spark, paths[-2])
+    if paths:
+        for path in (links_path, pages_path):
+            remove(spark, path)
     return ranks.select("page", "score")

@@ -9,6 +9,7 @@ are too heavy, with a bound on how many there can be, and treat those rows by so
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,24 +42,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stable(df: DataFrame, keep_layout: bool = False) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the files.
+def stable(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` and continue from the files."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-    ``keep_layout`` keeps the partitioning and order of ``df`` known to the planner, so that a
-    later join on the same keys needs no exchange and no sort of this side.  An adaptive plan
-    does not report its layout, so this one plan is made without.
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}_{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` in compressed columns and continue from the files."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_by(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``stored``, one file for each of ``buckets`` hash ranges of ``keys``.
+
+    A join on the keys with a side repartitioned to as many parts reads the files in place.  The
+    table stays in the session's catalog, under the folder's name, until ``remove``.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    if not keep_layout:
-        return df.checkpoint(eager=True)
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        # A new DataFrame, as an adaptive plan of this one may be cached already.
-        return df.select("*").checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    write = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("compression", "zstd")
+    write.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any storage, and its table; a missing one is no error."""
+    spark.sql(f"drop table if exists `{path.rsplit('/', 1)[1].replace('-', '_').replace('=', '_')}`")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def heavy_keys(

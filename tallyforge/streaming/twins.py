@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyforge.operators.loadtest import consecutive_breaches
-from tallyforge.scale import checkpoint_dir
+from tallyforge.scale import checkpoint_dir, remove
 
 
 def stream_latest_by_key(stream: DataFrame) -> DataFrame:
@@ -96,12 +96,6 @@ def read_alarms(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(ALARMS).parquet(f"{folder}/alarms/batch=*")
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder on any storage; a missing one is no error."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for the state and output of one streaming run, on shared storage."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -45,12 +45,14 @@ def test_article_filter_stays_in_generated_code(spark):
     assert "RLIKE" not in text and re.search(r"\*\(1\) Filter", text)
 
 
-def test_stable_keeps_the_layout(spark, no_broadcast):
-    left = scale.stable(spark.range(1000).repartition(4, "id").sortWithinPartitions("id"), keep_layout=True)
-    joined = left.join(spark.range(500).repartition(4, "id"), "id")
+def test_stored_tables_are_read_in_place(spark, no_broadcast, tmp_path):
+    path = scale.new_path(spark, "t-est")
+    left = scale.stored_by(spark.range(1000), path, ["id"], 5)
+    joined = left.join(spark.range(500).repartition(5, "id").hint("shuffle_hash"), "id")
     text = plan(joined)
-    assert text.count("Exchange") == 1 and text.count("Sort [") == 1
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert text.count("Exchange") == 1 and "Sort [" not in text and joined.count() == 500
+    scale.remove(spark, path)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("t_est")]
 
 
 def test_counting_once_in_tfidf(spark):
