@@ -143,3 +143,18 @@ def test_hot_requester_is_split_by_the_credential_join(spark, small_skew_limits)
     asked = _hot(spark).selectExpr("key as userid", "'p' as password", "row as request")
     users = spark.range(5000).selectExpr("id as userid", "uuid() as username", "'p' as password")
     assert "skew=true" in plan(social.credential_join(asked, users), run=True)
+
+
+def test_feed_is_joined_once(spark, monkeypatch):
+    """What runs before the feed's own job looks at the follow table alone."""
+    looked_at = []
+    plain = scale.heavy_keys
+
+    def noted(df, *args, **options):
+        looked_at.append(plan(df))
+        return plain(df, *args, **options)
+
+    feed = social.feed_join(t.follows(spark, SF_DIR), t.userinfo(spark, SF_DIR), t.userimage(spark, SF_DIR))
+    monkeypatch.setattr(scale, "heavy_keys", noted)
+    social.feed_json(feed, 3, t.userinfo(spark, SF_DIR), t.follows(spark, SF_DIR))
+    assert len(looked_at) == 1 and "Join" not in looked_at[0]
