@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, cotraining, decontamination, jaccard, langid, packing, recompression, rules, sharding, suffixes
+from tallyforge.llm import chat, cotraining, decontamination, jaccard, langid, oracle, packing, recompression, rules, sharding, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,4 +104,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracle.SQL

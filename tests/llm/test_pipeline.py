@@ -2,6 +2,7 @@ import brute
 import pytest
 
 import corpus_pipeline
+from tallyforge.llm import queries
 from tallyforge.llm.common import written
 
 
@@ -83,3 +84,17 @@ def test_nasty_documents_pass(spark, sf_dir, nasty_table):
         if name != "packing":
             assert result.columns == docs.columns
         docs = result
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    import check_oracle
+
+    return check_oracle.oracle(sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, sf_dir, con, name):
+    import check_oracle
+
+    assert check_oracle.compare(spark, con, sf_dir, name, queries.QUERIES[name], queries.SQL[name]) == ""
