@@ -153,6 +153,7 @@ def substring_dedup(
     whole numbers.  Other columns are kept; ones named like a result are replaced.
     """
     spark = docs.sparkSession
+    docs = docs.withColumn(doc_id, F.col(f"`{doc_id}`").cast("long"))
     shift = np.uint64(64 - KEY_BITS)
     blocks = text_blocks(docs, doc_id, text)
     size = blocks.agg(F.sum("bytes")).first()[0] or 0
