@@ -23,10 +23,10 @@ from pyspark.sql.types import StructType
 from tallyforge.llm.common import written
 from tallyforge.llm.wordhash import from_planes, from_steps, planes, steps
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 20_000
 # Hashes that a task of a hash range gets, on average.
-RANGE_HASHES = 4_000_000
+RANGE_HASHES = 2_000_000
 
 SCHEMA = "block long, bytes long, ids binary, known binary, sizes binary, texts binary, rest binary"
 
@@ -61,11 +61,15 @@ def _sink(table: pa.Table) -> bytes:
     return out.getvalue().to_pybytes()
 
 
-def text_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` as written blocks.  Columns besides id and text (and the id as it was) are kept in ``rest``."""
-    names = docs.columns
+def text_blocks(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int | None = None
+) -> DataFrame:
+    """``docs``, whose ids are longs, as written blocks of ``block_bytes`` (BLOCK_BYTES), or one longer text.
+
+    The columns besides the text are kept in ``rest``.
+    """
+    names, most = docs.columns, block_bytes or BLOCK_BYTES
     id_at, text_at = names.index(doc_id), names.index(text)
-    source = docs.withColumn(f"{doc_id}", F.col(f"`{doc_id}`").cast("long"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=3).compress
@@ -76,7 +80,7 @@ def text_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             ends = np.cumsum(sizes)
             a = 0
             while a < batch.num_rows:
-                limit = ends[a] - sizes[a] + BLOCK_BYTES
+                limit = ends[a] - sizes[a] + most
                 b = max(a + 1, min(int(np.searchsorted(ends, limit, side="right")), a + BLOCK_DOCS))
                 part = batch.slice(a, b - a)
                 ids = part.column(id_at)
@@ -98,7 +102,7 @@ def text_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     arrow_schema = pa.schema(
         [("block", pa.int64()), ("bytes", pa.int64()), *((n, pa.binary()) for n in ("ids", "known", "sizes", "texts", "rest"))]
     )
-    return written(source.mapInArrow(cut, SCHEMA), "blocks")
+    return written(docs.mapInArrow(cut, SCHEMA), "blocks")
 
 
 def blocks_in(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[Block, dict]]:

@@ -33,9 +33,10 @@ from tallyforge.llm.wordhash import from_planes, from_steps, mix, planes, powers
 SPREAD = 64  # grams of a window; a context has at most so many windows, one bit each in an answer
 KEY_BITS = 48
 HOT_CONTEXTS = 4096  # different contexts of an anchor from which on its windows are sent one by one
-PIECE_BYTES = 1 << 20
-SORT_BYTES = 4 << 20  # bytes whose suffixes are sorted at once
-PART_BYTES = 16 << 20  # text for each task that compares contexts, on average
+BLOCK_BYTES = 4 << 20
+PIECE_BYTES = 1 << 18  # bytes hashed at once
+SORT_BYTES = 1 << 20  # bytes whose suffixes are sorted at once
+PART_BYTES = 8 << 20  # text for each task that compares contexts, on average
 
 _BYTES = np.random.default_rng(20240301).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -187,6 +188,7 @@ class Chosen:
             is_hot = hot[at[hit]] > 0 if len(known) else np.zeros(0, dtype=bool)
             if is_hot.any():
                 c.split(is_hot)
+            del c.hashed  # holds a number for each byte
             parts.append(c)
         join = lambda name, kind: np.concatenate([np.empty(0, dtype=kind), *(getattr(c, name) for c in parts)])
         self.key, self.print = join("key", np.uint64), join("print", np.uint64)
@@ -265,7 +267,8 @@ def suffix_dedup(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", tex
     if length < SPREAD + 16:
         raise ValueError(f"length must be {SPREAD + 16} or more")
     spark = docs.sparkSession
-    blocks = text_blocks(docs, doc_id, text)
+    docs = docs.withColumn(doc_id, F.col(f"`{doc_id}`").cast("long"))
+    blocks = text_blocks(docs, doc_id, text, BLOCK_BYTES)
     size = blocks.agg(F.sum("bytes")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
 
@@ -330,18 +333,25 @@ def suffix_dedup(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", tex
         # Of equal contexts in the block, all but the first repeat it.
         mask = np.full(len(c.key), _FULL)
         mask[c.first] = masks
-        hit = np.flatnonzero(mask)
-        own = np.repeat(hit, c.n[hit])
-        bit = np.arange(len(own)) - np.repeat(np.cumsum(c.n[hit]) - c.n[hit], c.n[hit])
-        gone = (mask[own] >> bit.astype(np.uint64)) & np.uint64(1) > 0
-        doc, start = c.doc[own[gone]], c.start[own[gone]] + bit[gone]
+        # Stretches of windows to remove: whole contexts, and single windows of others.
+        full = _FULL >> (np.uint64(64) - c.n.astype(np.uint64))
+        whole = np.flatnonzero((mask & full) == full)
+        rest = np.flatnonzero(((mask & full) != full) & ((mask & full) > 0))
+        own = np.repeat(rest, c.n[rest])
+        bit = np.arange(len(own)) - np.repeat(np.cumsum(c.n[rest]) - c.n[rest], c.n[rest])
+        one = (mask[own] >> bit.astype(np.uint64)) & np.uint64(1) > 0
+        own, bit = own[one], bit[one]
+        doc = np.concatenate([c.doc[whole], c.doc[own]])
+        start = np.concatenate([c.start[whole], c.start[own] + bit])
+        to = np.concatenate([c.start[whole] + c.n[whole], c.start[own] + bit + 1]) + length - 1
         order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
+        doc, start, to = doc[order], start[order], to[order]
+        # Windows are in one context each, so stretches that start later also end later.
         new = np.ones(len(doc), dtype=bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + length)
+        new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > to[:-1])
         heads = np.flatnonzero(new)
         span_doc, span_from = doc[heads], start[heads]
-        span_to = start[np.append(heads[1:], len(doc)) - 1] + length if len(heads) else start
+        span_to = to[np.append(heads[1:], len(doc)) - 1] if len(heads) else to
         cuts = np.searchsorted(span_doc, np.arange(len(block.texts) + 1)).tolist()
         out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
         for i, text in enumerate(block.texts):

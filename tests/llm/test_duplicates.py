@@ -89,7 +89,7 @@ def test_hot_anchors_and_long_texts_are_split(spark, nasty, nasty_table, monkeyp
     monkeypatch.setattr(suffixes, "HOT_CONTEXTS", 1)
     monkeypatch.setattr(suffixes, "PIECE_BYTES", 700)
     monkeypatch.setattr(suffixes, "SORT_BYTES", 500)
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 3000)
     for module in (suffixes, blocks):
         cloudpickle.register_pickle_by_value(module)
     try:
