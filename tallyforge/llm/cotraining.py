@@ -184,26 +184,25 @@ def train(
                 part = batch.iloc[done : done + len(group)]
                 done += len(group)
                 row, bucket, value = content_view(group, s)
-                cuts = np.searchsorted(row, np.arange(1, len(group)))
                 out = part.drop(columns="text").reset_index(drop=True)
-                out["bucket"] = np.split(bucket.astype(np.int32), cuts)
-                out["value"] = np.split(value.astype(np.float32), cuts)
-                out["shape"] = [list(map(float, layout(t))) for t in group]
+                out["bucket"] = ngrams.packed(row, bucket.astype(np.int32), len(group))
+                out["value"] = ngrams.packed(row, value.astype(np.float32), len(group))
+                out["shape"] = [np.array(layout(t), dtype=float).tobytes() for t in group]
                 yield out
 
     kind_fields = "".join(f"kind{i} string, " for i in range(len(kinds)))
-    schema = f"id {dict(wanted.dtypes)['id']}, {kind_fields}label int, bucket array<int>, value array<float>, shape array<double>"
+    schema = f"id {dict(wanted.dtypes)['id']}, {kind_fields}label int, bucket binary, value binary, shape binary"
     found = sample.select("id", "text", *(f"kind{i}" for i in range(len(kinds))), "label").mapInPandas(views, schema).toPandas()
     if not len(found) or (found["label"] >= 0).sum() == 0:
         return None
     key = [zlib.crc32(str(i).encode()) for i in found["id"]]  # mixes the classes, and fixes the order
     found = found.assign(key=key).sort_values(["key", "id"], kind="stable")
-    shape = np.array(found["shape"].tolist())
+    shape = np.stack([np.frombuffer(x, dtype=float) for x in found["shape"]])
     cuts = np.linspace(0, 1, s.bins + 1)[1:-1]
     edges = np.quantile(shape, cuts, axis=0).T
     at = metadata_view(shape, [found[f"kind{i}"].tolist() for i in range(len(kinds))], edges, s)
     ones = np.ones(at.shape[1])
-    by_content = [(np.asarray(b), np.asarray(v, dtype=float)) for b, v in zip(found["bucket"], found["value"])]
+    by_content = [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32)) for b, v in zip(found["bucket"], found["value"])]
     by_metadata = [(row, ones) for row in at]
     widths = (1 << s.bits, N_LAYOUT * (s.bins + 1) + KINDS * len(kinds))
     weights, scales = co_train((by_content, by_metadata), found["label"].to_numpy(), widths, s)

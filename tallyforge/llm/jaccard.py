@@ -38,10 +38,10 @@ from tallyforge.llm.wordhash import from_planes, from_steps, grouped, mix, plane
 from tallyforge.scale import join_unique
 
 HASH_BITS = 48  # of a token; two of a pair's tokens meet by chance once in 10**14 / (their number)
-BLOCK_BYTES = 16 << 20  # text in one block
+BLOCK_BYTES = 4 << 20  # text in one block
 BLOCK_DOCS = 60_000  # and documents, numbered by 16 bits
 BLOCK_HOT = 32  # documents of a block from which on it sends a token as a count
-PART_BYTES = 24 << 20  # text whose tokens one counting task gets, on average
+PART_BYTES = 8 << 20  # text whose tokens one counting task gets, on average
 
 # Kinds of rows between the tasks.
 TOKENS, HOT_COUNTS, DOCS, HOT_PLACES, SHARED, HOT_SHARED = range(6)

@@ -2,8 +2,8 @@
 
 1. Document frequencies of hashed n-grams over all training documents: every task sums its own,
    one row per bucket leaves it.
-2. A bounded sample of training documents, ``per_language`` of each language in the order of a
-   hash, is fitted by follow-the-regularised-leader with an elastic net.
+2. A bounded sample of training documents, ``per_language`` of each language chosen by a hash, is
+   fitted by follow-the-regularised-leader with an elastic net.
 3. The part of the sample that was not fitted on sets the temperature of the softmax.
 4. All documents are scored where they are read; the model is the only thing sent to the tasks,
    and has at most 2**bits rows.
@@ -23,6 +23,7 @@ from tallyforge.llm import ngrams
 from tallyforge.llm.common import free_name, without
 
 UNKNOWN = "und"
+LANGUAGES = 10_000  # most languages learned, the most frequent ones
 
 
 @dataclass(frozen=True)
@@ -147,31 +148,36 @@ def train(rows: DataFrame, text: str, language: str, settings: Settings = Settin
     if not n_rows:
         return None
     idf = np.log((1 + n_rows) / (1 + held)) + 1
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(11), "text"), "text")
-    sample = usable.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= settings.per_language)
+    # Rows are thinned by a hash where they are read, to some four times those wanted, so that the
+    # task which picks a language's sample does not get more from a larger corpus.
+    counts = usable.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "label").limit(LANGUAGES)
+    chance = F.pmod(F.xxhash64(F.lit(13), "text", F.monotonically_increasing_id()), F.lit(1 << 30)) / (1 << 30)
+    thin = usable.withColumn("chance", chance).join(F.broadcast(counts), "label")
+    thin = thin.where(F.col("chance") < 4 * settings.per_language / F.col("rows"))
+    order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(11), "text"), "text", "chance")
+    sample = thin.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= settings.per_language)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             done = 0
             for group in ngrams.slices(batch["text"]):
                 row, bucket, value = features(group, idf, settings)
-                cuts = np.searchsorted(row, np.arange(1, len(group)))
                 part = batch.iloc[done : done + len(group)]
                 done += len(group)
                 yield pd.DataFrame(
                     {
                         "label": part["label"].to_numpy(),
                         "turn": part["turn"].to_numpy(),
-                        "bucket": np.split(bucket.astype(np.int32), cuts),
-                        "value": np.split(value.astype(np.float32), cuts),
+                        "bucket": ngrams.packed(row, bucket.astype(np.int32), len(group)),
+                        "value": ngrams.packed(row, value.astype(np.float32), len(group)),
                     }
                 )
 
-    schema = "label string, turn int, bucket array<int>, value array<float>"
+    schema = "label string, turn int, bucket binary, value binary"
     found = sample.mapInPandas(vectors, schema).toPandas().sort_values(["turn", "label"], kind="stable")
     languages = sorted(found["label"].unique())
     labels = np.searchsorted(languages, found["label"])
-    pairs = [(np.asarray(b), np.asarray(v, dtype=float)) for b, v in zip(found["bucket"], found["value"])]
+    pairs = [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32)) for b, v in zip(found["bucket"], found["value"])]
     fitted = np.ones(len(pairs), dtype=bool)
     every = max(2, round(1 / settings.calibration_share))
     if len(pairs) >= 4 * every:  # too few: fit on all, leave the temperature at 1

@@ -7,8 +7,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 # Texts are handled in slices of about this many characters, so memory does not follow the batch.
-SLICE_CHARS = 1 << 20
-SLICE_TEXTS = 128
+SLICE_CHARS = 1 << 18
+SLICE_TEXTS = 32
 
 _ODD = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
 
@@ -28,6 +28,11 @@ def slices(texts: Iterable[str | None]) -> Iterator[list[str]]:
         yield group
 
 
+def packed(row: np.ndarray, values: np.ndarray, rows: int) -> list[bytes]:
+    """The values of each row as bytes: small on their way to the driver, unlike lists of objects."""
+    return [part.tobytes() for part in np.split(values, np.searchsorted(row, np.arange(1, rows)))]
+
+
 def counts(texts: list[str], bits: int, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, bucket, count) of the n-grams of 1 to ``longest`` lower-cased characters.
 

@@ -24,7 +24,7 @@ PLAIN_PIECES = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|
 PLAIN = re.compile(r"[\x00-\x1b\x20-\x7f\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧]*")
 
 # Pieces kept by a worker process; some 200 bytes each.  Beyond that it starts anew.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 500_000
 
 
 def cut(text: str) -> list[str]:

@@ -91,12 +91,12 @@ def runs_of(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
-def grouped(texts, limit: int = 1 << 20) -> Iterator[list[bytes]]:
+def grouped(texts, limit: int = 1 << 18) -> Iterator[list[bytes]]:
     """Consecutive texts as UTF-8 (null: empty), in groups of about ``limit`` bytes."""
     return in_groups((b"" if text is None else text.encode() for text in texts), limit)
 
 
-def in_groups(texts, limit: int = 1 << 20) -> Iterator[list[bytes]]:
+def in_groups(texts, limit: int = 1 << 18) -> Iterator[list[bytes]]:
     """Consecutive texts in groups of about ``limit`` bytes; a longer text is a group of its own."""
     group: list[bytes] = []
     size = 0
