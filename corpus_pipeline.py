@@ -54,7 +54,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their ids and the checksum of these."""
-    pieces = packing.pack(docs, tokenizer_path())
+    pieces = packing.pack(docs, tokenizer_path(), kept_pieces=100_000)  # other stages need the memory too
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from tallyforge.llm.common import written
-from tallyforge.llm.tokens import encoder
+from tallyforge.llm.tokens import KEPT_PIECES, encoder
 
 END = 1  # the id that ends each document
 TEXTS_AT_ONCE = 64
@@ -175,7 +175,7 @@ def plan(histogram: dict[int, int], window: int, max_gap: int = 16) -> list[tupl
 # -- the job -----------------------------------------------------------------------------------
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, window: int, doc_id: str, text: str) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer: str, window: int, doc_id: str, text: str, kept_pieces: int) -> DataFrame:
     """Full windows and remainders of all documents, written once."""
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,7 +190,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, window: int, doc_id: str, text: s
                     chars += len(texts[end])
                     end += 1
                 rows = []
-                for doc, found in zip(ids[at:end], encoder(tokenizer).encode(texts[at:end])):
+                for doc, found in zip(ids[at:end], encoder(tokenizer).encode(texts[at:end], kept_pieces)):
                     found += END.to_bytes(4, "little")
                     for b in range(0, len(found), step):
                         part = found[b : b + step]
@@ -217,17 +217,24 @@ def pieces_of(docs: DataFrame, tokenizer: str, window: int, doc_id: str, text: s
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, window: int = 2048, max_gap: int = 16, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    window: int = 2048,
+    max_gap: int = 16,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    kept_pieces: int = KEPT_PIECES,
 ) -> DataFrame:
     """One row per piece: doc_id, doc_tokens, start, length, ids, sequence_id, offset.
 
     ``ids`` are little-endian unsigned 32-bit numbers.  Each document gives its tokens and an end
     mark (a null or empty text just that), every id lies in exactly one piece, a sequence holds at
     most ``window`` ids and is gapless from offset 0.  Rows are packed one by one: repeated
-    documents and ids are no special case.  Other columns are not carried.
+    documents and ids are no special case.  Other columns are not carried.  ``kept_pieces`` bounds
+    what a worker process remembers of the tokenizer's answers, also after this job.
     """
     spark = docs.sparkSession
-    pieces = pieces_of(docs, tokenizer, window, doc_id, text)
+    pieces = pieces_of(docs, tokenizer, window, doc_id, text, kept_pieces)
     sizes = pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     schema = "length int, first long, end long, cut long, tokens int, sequence long, offset long"

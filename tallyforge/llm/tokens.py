@@ -24,7 +24,7 @@ PLAIN_PIECES = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|
 PLAIN = re.compile(r"[\x00-\x1b\x20-\x7f\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧]*")
 
 # Pieces kept by a worker process; some 200 bytes each.  Beyond that it starts anew.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 1_000_000
 
 
 def cut(text: str) -> list[str]:
@@ -48,9 +48,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str], kept: int = KEPT_PIECES) -> list[bytes]:
         pieces = [cut(t) for t in texts]
-        if len(self.known) > KEPT_PIECES:
+        if len(self.known) > kept:
             self.known.clear()
         new = list(set().union(*pieces).difference(self.known))
         for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
