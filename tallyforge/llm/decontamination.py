@@ -6,7 +6,7 @@ differ in at most radius // 4 bits of some block, so tables of all block values
 item's find every such pair.  Pairs within the radius are verified: the similarity of their
 weighted shingle sets (weight: occurrences; sum of the lesser weights over sum of the greater)
 must reach ``least``.  A window without any shingle of the benchmark cannot, and gets no
-fingerprint.
+fingerprint.  A document of fewer words than the item is one window as a whole.
 
 Benchmark items go to the tasks in groups of bounded size, one pass over the documents for each
 group; documents are read where they are and not moved.
@@ -151,6 +151,7 @@ class Items:
             hits, doc = hits[inside], doc[inside]
             for d in np.unique(doc).tolist():
                 self._find_in(best[d], words, runs, hits[doc == d], int(first[d]), int(first[d + 1]), width)
+                self._find_whole(best[d], words, runs, int(first[d]), int(first[d + 1]), width)
         return [sorted((item, s, -at) for item, (s, at) in b.items()) for b in best]
 
     def _find_in(self, best, words, runs, hits, begin, end, width) -> None:
@@ -171,12 +172,22 @@ class Items:
                         near = np.searchsorted(hits, starts + c.n - width, side="right") > np.searchsorted(hits, starts)
                         starts = starts[near]
                     if len(starts):
-                        self._verify(best, c, starts, fingerprints(here, starts - at, c.n, sums), runs, begin)
+                        self._verify(best, c, starts, c.n, fingerprints(here, starts - at, c.n, sums), runs, begin)
 
-    def _verify(self, best, c, starts, prints, runs, begin) -> None:
+    def _find_whole(self, best, words, runs, begin, end, width) -> None:
+        """The whole document as a window, for the items that have more words than it."""
+        size, prints = end - begin, None
+        for c in self.classes.values():
+            if c.width == width and c.n > size and size - width + 1 >= self.settings.least * (c.n - width + 1):
+                if prints is None:
+                    prints = fingerprints(words[begin:end], np.zeros(1, dtype=np.int64), size)
+                self._verify(best, c, np.array([begin]), size, prints, runs, begin)
+
+    def _verify(self, best, c, starts, size, prints, runs, begin) -> None:
+        """Windows of ``size`` words against the items of a class."""
         for w, i in zip(*(x.tolist() for x in c.candidates(prints, self.settings.radius))):
             start = int(starts[w])
-            alike = similarity(Counter(runs[start : start + c.n - c.width + 1].tolist()), c.shingles[i])
+            alike = similarity(Counter(runs[start : start + size - c.width + 1].tolist()), c.shingles[i])
             if alike >= self.settings.least:
                 item = c.ids[i]
                 best[item] = max(best.get(item, (0.0, 0)), (alike, begin - start))

@@ -88,7 +88,10 @@ _MARKS = str.maketrans({c: " " for c in string.punctuation})
 
 
 def leaks(docs, items, width=5, least=0.8):
-    """{(doc, item): (similarity, first word)} over all windows, without any fingerprint."""
+    """{(doc, item): (similarity, first word)} over all windows, without any fingerprint.
+
+    A document of fewer words than the item is one window.
+    """
     out = {}
     plain = lambda t: words(None if t is None else t.lower().translate(_MARKS))
     for item, text in items:
@@ -100,10 +103,11 @@ def leaks(docs, items, width=5, least=0.8):
         want = Counter(tuple(w[a : a + k]) for a in range(n - k + 1))
         for doc, body in docs:
             d = plain(body)
-            for a in range(len(d) - n + 1):
-                have = Counter(tuple(d[b : b + k]) for b in range(a, a + n - k + 1))
+            for a in range(max(1, len(d) - n + 1)):
+                window = d[a : a + n]
+                have = Counter(tuple(window[b : b + k]) for b in range(len(window) - k + 1))
                 both = sum((want & have).values())
-                alike = both / (2 * (n - k + 1) - both)
+                alike = both / (n - k + 1 + sum(have.values()) - both)
                 if alike >= least and alike > out.get((doc, item), (0, 0))[0]:
                     out[doc, item] = (alike, a)
     return out

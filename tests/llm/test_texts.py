@@ -169,6 +169,23 @@ def test_leaks_in_nasty_rows(spark, nasty, nasty_table):
     assert {r.doc_id for r in left.collect()} - {None} == {i for i, _ in nasty} - bad
 
 
+def found_in(texts, items):
+    """As brute.leaks, by the operator's search of one group of items."""
+    prepared = decontamination.Items(items, decontamination.Settings())
+    found = prepared.find([decontamination.normal(t) for _, t in texts])
+    return {(d, i): (s, at) for (d, _), leaks in zip(texts, found) for i, s, at in leaks}
+
+
+def test_documents_shorter_than_the_item_leak():
+    item = [f"w{i}" for i in range(37)]
+    cuts = [item[:-1], item[1:], item[2:-2], item[:30], item[:31], item[:4], [*item[:20], "other", *item[20:-1]], item]
+    texts = [(k, " ".join(c)) for k, c in enumerate(cuts)] + [(99, "")]
+    items = [(1, " ".join(item)), (2, "w0 w1 w2 w3 w4 w5"), (3, "w0 w1 w2 w3 x")]
+    found = found_in(texts, items)
+    assert found == brute.leaks(texts, items)
+    assert found[0, 1] == (32 / 33, 0) and {d for d, i in found if i == 1} == {0, 1, 2, 4, 7}
+
+
 def test_benchmark_in_groups(spark, nasty_table, monkeypatch):
     items = [(i, f"w{i} w{i + 1}") for i in range(30)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
