@@ -5,8 +5,12 @@ their words.  Fingerprints are cut into four blocks; two that differ in at most
 differ in at most radius // 4 bits of some block, so tables of all block values that near to an
 item's find every such pair.  Pairs within the radius are verified: the similarity of their
 weighted shingle sets (weight: occurrences; sum of the lesser weights over sum of the greater)
-must reach ``least``.  A window without any shingle of the benchmark cannot, and gets no
-fingerprint.  A document of fewer words than the item is one window as a whole.
+must reach ``least``.  A window with fewer shingles of the benchmark than that takes cannot, and
+gets no fingerprint.  A document of fewer words than the item is one window as a whole.
+
+No radius is near enough for every similar pair (texts of few different words tip many bits at
+once), so none is left to it: a similar window lacks few shingles of the item, so one of its first
+is the item's, and pairs found by those are verified too.
 
 Benchmark items go to the tasks in groups of bounded size, one pass over the documents for each
 group; documents are read where they are and not moved.
@@ -14,6 +18,7 @@ group; documents are read where they are and not moved.
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,7 +45,7 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum
 class Settings:
     shingle: int = 5
     least: float = 0.8
-    radius: int = 11
+    radius: int = 23  # five flips of a block; the similarity 0.8 is some 10 bits away on average
 
 
 def normal(text: str | None) -> bytes:
@@ -63,12 +68,11 @@ def bit_sums(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def near_values(value: int, flips: int, width: int) -> set[int]:
-    """All numbers of ``width`` bits that differ in at most ``flips`` bits."""
-    found = {value}
-    for _ in range(flips):
-        found |= {v ^ (1 << k) for v in found for k in range(width)}
-    return found
+@functools.cache
+def near_zero(flips: int, width: int) -> np.ndarray:
+    """All numbers of ``width`` bits with at most ``flips`` bits set: what near numbers differ in."""
+    every = np.arange(1 << width)
+    return every[np.bitwise_count(every) <= flips]
 
 
 class SizeClass:
@@ -82,15 +86,31 @@ class SizeClass:
         self.shingles: list[Counter] = []
         self.tables = np.zeros((BLOCKS, 1 << (BITS // BLOCKS)), dtype=bool)
         self.flips = settings.radius // BLOCKS
+        self.least = settings.least
+        self.holders: dict[int, list[int]] = {}  # shingle: places of the items that have it
 
     def add(self, item: int, words: np.ndarray) -> None:
         value = int(fingerprints(words, np.zeros(1, dtype=np.int64), self.n)[0])
         self.ids.append(item)
         self.prints.append(value)
         self.shingles.append(Counter(runs_of(words, self.width).tolist()))
+        for shingle in self.shingles[-1]:
+            self.holders.setdefault(shingle, []).append(len(self.ids) - 1)
         for b in range(BLOCKS):
             block = (value >> (16 * b)) & 0xFFFF
-            self.tables[b, list(near_values(block, self.flips, BITS // BLOCKS))] = True
+            self.tables[b, block ^ near_zero(self.flips, BITS // BLOCKS)] = True
+
+    def needed(self, size: int) -> int:
+        """Shingles that a similar window of ``size`` words shares at least with the item."""
+        every = self.n + size - 2 * (self.width - 1)
+        both = max(1, int(self.least * every / (1 + self.least)) - 1)
+        while both < every - both and both / (every - both) < self.least:
+            both += 1
+        return both
+
+    def sharing(self, shingles: list[int], needed: int) -> set[int]:
+        """Items that can have ``needed`` of the shingles: as many lack at most the others."""
+        return {i for s in set(shingles[: len(shingles) - needed + 1]) for i in self.holders.get(s, ())}
 
     def candidates(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of all pairs within the radius."""
@@ -151,7 +171,7 @@ class Items:
             hits, doc = hits[inside], doc[inside]
             for d in np.unique(doc).tolist():
                 self._find_in(best[d], words, runs, hits[doc == d], int(first[d]), int(first[d + 1]), width)
-                self._find_whole(best[d], words, runs, int(first[d]), int(first[d + 1]), width)
+                self._find_whole(best[d], words, runs, int((doc == d).sum()), int(first[d]), int(first[d + 1]), width)
         return [sorted((item, s, -at) for item, (s, at) in b.items()) for b in best]
 
     def _find_in(self, best, words, runs, hits, begin, end, width) -> None:
@@ -169,28 +189,35 @@ class Items:
                         continue
                     starts = np.arange(at, min(to, end - c.n + 1))
                     if len(starts):
-                        near = np.searchsorted(hits, starts + c.n - width, side="right") > np.searchsorted(hits, starts)
-                        starts = starts[near]
+                        known = np.searchsorted(hits, starts + c.n - width, side="right") - np.searchsorted(hits, starts)
+                        starts = starts[known >= c.needed(c.n)]
                     if len(starts):
                         self._verify(best, c, starts, c.n, fingerprints(here, starts - at, c.n, sums), runs, begin)
 
-    def _find_whole(self, best, words, runs, begin, end, width) -> None:
+    def _find_whole(self, best, words, runs, known, begin, end, width) -> None:
         """The whole document as a window, for the items that have more words than it."""
         size, prints = end - begin, None
         for c in self.classes.values():
-            if c.width == width and c.n > size and size - width + 1 >= self.settings.least * (c.n - width + 1):
+            if c.width == width and c.n > size and known >= c.needed(size):
                 if prints is None:
                     prints = fingerprints(words[begin:end], np.zeros(1, dtype=np.int64), size)
                 self._verify(best, c, np.array([begin]), size, prints, runs, begin)
 
     def _verify(self, best, c, starts, size, prints, runs, begin) -> None:
         """Windows of ``size`` words against the items of a class."""
+        needed = c.needed(size)
+        near: dict[int, set[int]] = {}
         for w, i in zip(*(x.tolist() for x in c.candidates(prints, self.settings.radius))):
-            start = int(starts[w])
-            alike = similarity(Counter(runs[start : start + size - c.width + 1].tolist()), c.shingles[i])
-            if alike >= self.settings.least:
-                item = c.ids[i]
-                best[item] = max(best.get(item, (0.0, 0)), (alike, begin - start))
+            near.setdefault(w, set()).add(i)
+        for w, start in enumerate(starts.tolist()):
+            shingles = runs[start : start + size - c.width + 1].tolist()
+            items = near.get(w, set()) | c.sharing(shingles, needed)
+            have = Counter(shingles) if items else None
+            for i in items:
+                alike = similarity(have, c.shingles[i])
+                if alike >= self.settings.least:
+                    item = c.ids[i]
+                    best[item] = max(best.get(item, (0.0, 0)), (alike, begin - start))
 
 
 def item_groups(benchmark: DataFrame, item_id: str, text: str):

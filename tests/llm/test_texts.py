@@ -186,6 +186,27 @@ def test_documents_shorter_than_the_item_leak():
     assert found[0, 1] == (32 / 33, 0) and {d for d, i in found if i == 1} == {0, 1, 2, 4, 7}
 
 
+def test_leaks_just_above_the_similarity():
+    """One end or both replaced up to the least similarity, and texts of two words, whose fingerprints are far."""
+    rng = np.random.default_rng(11)
+    say = lambda n: [f"v{k}" for k in rng.integers(0, 10**6, n)]
+    items, texts = [], []
+    for i, n in enumerate(rng.integers(13, 122, 200).tolist()):
+        words, lost = say(n), (n - 4) // 9
+        front = (0, lost, lost // 2)[i % 3]
+        copy = [*say(front), *words[front : n - lost + front], *say(lost - front)]
+        items.append((i, " ".join(words)))
+        texts.append((i, " ".join(say(7) + copy + say(9)) if i % 2 else " ".join(copy)))
+    items.append((1000, " ".join(["a", "b"] * 50 + ["a"])))
+    texts.append((1000, " ".join(["b", "a"] * 50 + ["b"])))
+    found = found_in(texts, items)
+    assert {i for _, i in found} == {i for i, _ in items}
+    assert all(0.8 <= s < 0.9 for (_, i), (s, _) in found.items() if i < 1000)
+    words = dict(items)
+    for text in texts:  # items of one text have no words in common with the others
+        assert {k: v for k, v in found.items() if k[0] == text[0]} == brute.leaks([text], [(text[0], words[text[0]])])
+
+
 def test_benchmark_in_groups(spark, nasty_table, monkeypatch):
     items = [(i, f"w{i} w{i + 1}") for i in range(30)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
