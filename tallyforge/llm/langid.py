@@ -2,8 +2,8 @@
 
 1. Document frequencies of hashed n-grams over all training documents: every task sums its own,
    one row per bucket leaves it.
-2. A bounded sample of training documents, ``per_language`` of each language chosen by a hash, is
-   fitted by follow-the-regularised-leader with an elastic net.
+2. A bounded sample of training documents, ``per_language`` different texts of each language chosen
+   by a hash, is fitted by follow-the-regularised-leader with an elastic net.
 3. The part of the sample that was not fitted on sets the temperature of the softmax.
 4. All documents are scored where they are read; the model is the only thing sent to the tasks,
    and has at most 2**bits rows.
@@ -139,6 +139,22 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return best
 
 
+def sampled(usable: DataFrame, per_language: int) -> DataFrame:
+    """(label, text, turn): different texts of each label, at most ``per_language``, by a hash.
+
+    Copies count once, however many there are.  Texts are thinned by a hash where they are read, to
+    some four times those wanted, so that the task which picks a language's sample does not get
+    more from a larger corpus.
+    """
+    texts = F.approx_count_distinct(F.xxhash64("text")).alias("texts")
+    counts = usable.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), texts).orderBy(F.desc("rows"), "label").limit(LANGUAGES)
+    chance = F.pmod(F.xxhash64(F.lit(13), "text"), F.lit(1 << 30)) / (1 << 30)
+    thin = usable.join(F.broadcast(counts), "label").where(chance < 4 * per_language / F.col("texts"))
+    order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(11), "text"), "text")
+    turns = thin.select("label", "text").distinct().withColumn("turn", F.row_number().over(order))
+    return turns.where(F.col("turn") <= per_language)
+
+
 def train(rows: DataFrame, text: str, language: str, settings: Settings = Settings()) -> Model | None:
     """Fit on the rows with text and language; None when there are none."""
     usable = rows.where(F.col(f"`{text}`").isNotNull() & F.col(f"`{language}`").isNotNull()).select(
@@ -148,14 +164,7 @@ def train(rows: DataFrame, text: str, language: str, settings: Settings = Settin
     if not n_rows:
         return None
     idf = np.log((1 + n_rows) / (1 + held)) + 1
-    # Rows are thinned by a hash where they are read, to some four times those wanted, so that the
-    # task which picks a language's sample does not get more from a larger corpus.
-    counts = usable.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "label").limit(LANGUAGES)
-    chance = F.pmod(F.xxhash64(F.lit(13), "text", F.monotonically_increasing_id()), F.lit(1 << 30)) / (1 << 30)
-    thin = usable.withColumn("chance", chance).join(F.broadcast(counts), "label")
-    thin = thin.where(F.col("chance") < 4 * settings.per_language / F.col("rows"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(11), "text"), "text", "chance")
-    sample = thin.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= settings.per_language)
+    sample = sampled(usable, settings.per_language)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

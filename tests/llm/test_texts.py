@@ -379,6 +379,15 @@ def test_language_of_nasty_rows(spark, nasty, nasty_table, empty_table):
     assert {r.lang_pred for r in langid.language_id(unlabelled).collect()} == {"und"}
 
 
+def test_copies_do_not_crowd_out_the_sample(spark):
+    """Nine of ten rows are copies of a few texts; all different texts fit into the sample, or fill it."""
+    rows = spark.range(20_000).selectExpr("'xx' as label", "if(id % 10 > 0, concat('copy ', id % 3), concat('text ', id)) as text")
+    texts = [r.text for r in langid.sampled(rows, 2400).collect()]
+    assert len(texts) == len(set(texts)) == 2003
+    few = langid.sampled(rows, 300).collect()
+    assert len({r.text for r in few}) == 300 and sorted(r.turn for r in few) == list(range(1, 301))
+
+
 def test_temperature_is_sound():
     rng = np.random.default_rng(0)
     truth = rng.normal(0, 2, (4000, 3))
