@@ -10,9 +10,9 @@ longest previous factor of a suffix is at least ``length`` long, over all docume
 2. The windows of one anchor follow each other; their bytes together are its context.  Each block
    sends its distinct contexts of such anchors to the anchor's task, with the first place of each.
    An anchor with very many different contexts is split: each window goes its own way.
-3. The task keeps the first of equal contexts.  Where contexts of an anchor differ, it sorts their
-   suffixes and takes the longest-previous-factor array: the neighbours with smaller positions in
-   suffix order hold the longest earlier match.
+3. The task keeps the first of equal contexts.  Where contexts of an anchor differ, it ranks their
+   suffixes to the depth ``length`` and marks all but the first of equal ranks.  The array of
+   longest previous factors is not built, only the question answered whether one is long enough.
 4. The answers say which windows start earlier elsewhere; blocks cut out what these cover.
 """
 
