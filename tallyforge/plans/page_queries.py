@@ -43,9 +43,8 @@ def raw_tsv(s, d):
 
 
 def title_file(s, d):
-    """Titles in one file, in order of the key, every one with white space around and a blank line after."""
-    names = t.table(s, d, "customer").orderBy("c_custkey").selectExpr("' ' || c_name || ' \n ' as value")
-    return names.coalesce(1)
+    """Titles in order of the key, a file for each range, every one with white space around and a blank line after."""
+    return t.table(s, d, "customer").orderBy("c_custkey").selectExpr("' ' || c_name || ' \n ' as value")
 
 
 def count_texts(s, d):

@@ -88,9 +88,21 @@ def parse_title_list(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_title_list(spark: SparkSession, path: str) -> DataFrame:
-    """``(position, title)``; position grows with the line number but has gaps."""
-    lines = read_lines(spark, path).withColumn("position", F.monotonically_increasing_id())
-    return parse_title_list(lines)
+    """``(position, title)``; position grows with the line number but has gaps.
+
+    Lines of several files follow each other in order of the files' paths.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    # One row per input split: small enough for an unpartitioned window and a broadcast.
+    splits = lines.select("file", "block").distinct().withColumn("split", F.row_number().over(Window.orderBy("file", "block")))
+    at = F.shiftleft(F.col("split").cast("bigint"), 33) + F.col("place").bitwiseAND((1 << 33) - 1)
+    placed = lines.join(F.broadcast(splits), ["file", "block"]).withColumn("position", at)
+    return parse_title_list(placed.select("value", "position"))
 
 
 def read_ini_log(spark: SparkSession, path: str) -> DataFrame:

@@ -62,6 +62,17 @@ def test_read_tsv_positions_and_short_lines(spark, rows, tmp_path):
     assert rows(files.parse_tsv(lines, {"a": 0}, trim=True)) == [("",), ("0",), ("1",)]
 
 
+def test_read_title_list_of_several_files(spark, tmp_path):
+    """In order of their names, however their sizes deal them to tasks."""
+    titles = [f"T{i}" for i in range(600)]
+    cuts = [0, 3, 10, 300, 301, 600]
+    (tmp_path / "titles").mkdir()
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        (tmp_path / "titles" / f"part-{k:05}.txt").write_text("\n".join(titles[a:b]) + "\n")
+    listed = files.read_title_list(spark, str(tmp_path / "titles"))
+    assert [r.title for r in listed.orderBy("position").collect()] == titles
+
+
 def test_read_title_list_keeps_order(spark, tmp_path):
     path = write(tmp_path / "q", "Alder\n Birch.org \r\n\nZ\n")
     listed = files.read_title_list(spark, path).orderBy("position")
