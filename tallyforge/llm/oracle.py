@@ -70,9 +70,51 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
   not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and lost <= 0.5 * word_chars as kept from measured"""
 
+# Words by piece of text; every phrase of up to five words, and the counts of all its parts.
+COLLOCATIONS = rf"""with pieces as (select coalesce(lang, 'und') as lang, doc_id, unnest(range(1, len(p) + 1)) as piece, unnest(p) as said from (
+  select lang, doc_id, regexp_split_to_array(translate(text, '{CAPITALS}', '{CAPITALS.lower()}'), '[.,;:!?\x0A-\x0D]') as p from documents)),
+words as (select lang, regexp_extract_all(said, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+phrases as (select lang, size, phrase, count(*) as a from (select lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+  lambda i: array_to_string(w[i:i + size - 1], ' '))) as phrase from words, (select unnest(range(1, 6)) as size)) group by all having count(*) >= 100),
+cuts as (select lang, phrase, size, a, k, array_to_string(w[1:k], ' ') as head, array_to_string(w[k + 1:], ' ') as tail
+  from (select *, string_split(phrase, ' ') as w, unnest(range(1, size)) as k from phrases where size > 1)),
+scored as (select c.lang, c.phrase, c.size, c.a, x.a as l, y.a as r, n,
+    cast(1000::hugeint * c.a::hugeint * n::hugeint // (x.a::hugeint * y.a::hugeint) as bigint) as score
+  from cuts c join phrases x on x.lang = c.lang and x.phrase = head join phrases y on y.lang = c.lang and y.phrase = tail join totals t on t.lang = c.lang
+  qualify row_number() over (partition by c.lang, c.phrase order by score, k) = 1),
+kept as (select * from scored s where not exists (select 1 from phrases p where p.lang = s.lang and p.size > s.size and p.a >= s.a
+  and contains(' ' || p.phrase || ' ', ' ' || s.phrase || ' '))),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000"""
+
+# CRC-32 has no function in DuckDB: a table of the 256 byte steps, made by eight shifts, and a fold
+# over the bytes of each different word.
+RESAMPLING = rf"""with recursive shifts as (select range as byte, range as v, 0 as k from range(256) union all
+  select byte, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from shifts where k < 8),
+steps as (select list(v order by byte) as t from shifts where k = 8),
+docs as (select doc_id, coalesce(regexp_extract_all(translate(text, '{CAPITALS}', '{CAPITALS.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w from documents),
+items as (select unnest(regexp_extract_all(translate(text, '{CAPITALS}', '{CAPITALS.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from benchmark),
+words as (select doc_id, unnest(w) as word from docs),
+known as (select word, hex(encode(word)) as h from (select word from words union select word from items)),
+hashed as (select word, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::bigint)),
+  lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 as bucket from known, steps),
+source as (select bucket, count(*) as s from words join hashed using (word) group by bucket),
+target as (select bucket, count(*) as t from items join hashed using (word) group by bucket),
+gains as (select bucket, cast(floor(1000 * ln((coalesce(t, 0) + 1)::double * ((select count(*) from words) + 10000)
+  / ((coalesce(s, 0) + 1)::double * ((select count(*) from items) + 10000)))) as bigint) as gain from source full join target using (bucket)),
+weights as (select doc_id, cast(floor(sum(gain)::double / count(*)) as bigint) as weight from words join hashed using (word) join gains using (bucket) group by doc_id),
+scored as (select d.doc_id, cast(len(w) as bigint) as n_features, coalesce(weight, 0) as weight,
+  coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((('0x' || sha256('2024:' || d.doc_id)[1:8])::bigint + 0.5::double) / 4294967296))) as bigint) as score
+  from docs d left join weights using (doc_id)),
+ranked as (select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as able from scored where n_features >= 20)
+select s.doc_id, n_features, weight, score, case when rank <= 10 * able // 100 then rank end as rank from scored s left join ranked using (doc_id)"""
+
 SQL = {
     "op2_chat_formatting": CHAT,
     "op3_ngram_jaccard_join": JACCARD,
     "op5_substring_dedup": SUBSTRINGS,
     "op7_quality_rules": RULES,
+    "op11_phrase_collocation_mining": COLLOCATIONS,
+    "op12_target_distribution_importance_resampling": RESAMPLING,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, cotraining, decontamination, jaccard, langid, oracle, packing, recompression, rules, sharding, suffixes
+from tallyforge.llm import chat, collocations, cotraining, decontamination, jaccard, langid, oracle, packing, recompression, resampling, rules, sharding, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_target_distribution_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weighted = resampling.importance_weights(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    return resampling.draw(weighted, percent=10, seed=2024).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # here, as it takes its helpers from this module
 
@@ -101,6 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
+    "op11_phrase_collocation_mining": op11_phrase_collocation_mining,
+    "op12_target_distribution_importance_resampling": op12_target_distribution_importance_resampling,
     "pipeline": pipeline,
 }
 
