@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyforge.llm import secretscan
 from tallyforge.llm.rules import BOILERPLATE, NAVIGATION
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -110,6 +111,61 @@ scored as (select d.doc_id, cast(len(w) as bigint) as n_features, coalesce(weigh
 ranked as (select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as able from scored where n_features >= 20)
 select s.doc_id, n_features, weight, score, case when rank <= 10 * able // 100 then rank end as rank from scored s left join ranked using (doc_id)"""
 
+
+
+def _occurrences(name: str, pattern: str, least: str = "true") -> str:
+    """Common table (doc_id, start, said, stop) of the matches of a pattern in ``docs``."""
+    pattern = pattern.replace("'", "''")
+    return f"""{name}_lists as (select doc_id, regexp_extract_all(text, '{pattern}') as m, list_transform(regexp_split_to_array(text, '{pattern}'), lambda g: length(g)) as gaps from docs),
+{name} as (select *, start + length(said) as stop from (select doc_id, unnest(m) as said, unnest(list_transform(range(1, len(m) + 1), lambda i:
+  list_sum(gaps[1:i]) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)))::bigint as start from {name}_lists) where {least})"""
+
+
+def _tail(z: str) -> str:
+    x = f"greatest(abs({z}), 1e-6)"
+    upper = f"((1 - exp(-1.4 * {x})) * exp(-{x} * {x} / 2) / (1.135 * 2.5066282746310002 * {x}))"
+    return f"(case when {z} >= 0 then {upper} else 1 - {upper} end)"
+
+
+_ASSIGN = secretscan.ASSIGN.replace("(?i:", "(?:")
+for _word in ("password", "passwd", "secret", "token", "api", "key"):
+    _ASSIGN = _ASSIGN.replace(_word, "".join(f"[{c.upper()}{c}]" for c in _word), 1)
+_VALUE = _ASSIGN.replace("'", "''")
+_ALPHABETS = ", ".join(f"({k}, '{a}')" for k, a in enumerate(secretscan.ALPHABETS))
+
+# The same battery; parts of very long runs are left out, as no table has them.
+SECRETS = rf"""with docs as (select doc_id, coalesce(text, '') as text from documents),
+{_occurrences("assigned", _ASSIGN, f"length(regexp_extract(said, '{_VALUE}', 2)) >= 8")},
+{_occurrences("access", secretscan.ACCESS)},
+{_occurrences("hexes", secretscan.HEX)},
+{_occurrences("runs", "[A-Za-z0-9+/_-]{20,}={0,2}", "not regexp_full_match(said, '[0-9a-f]{32,}|AKIA[A-Z0-9]{12,}')")},
+coded as (select *, rtrim(said, '=') as body from runs, (values {_ALPHABETS}) t(k, alphabet)
+  where regexp_full_match(rtrim(said, '='), '[' || replace(alphabet, '-', '\-') || ']+') qualify row_number() over (partition by doc_id, start order by k) = 1),
+symbols as (select doc_id, start, stop, length(body)::double as n, length(alphabet)::double as k,
+  list_transform(range(1, length(body) + 1), lambda i: strpos(alphabet, body[i])::double) as v,
+  list_sum(list_transform(range(1, length(alphabet) + 1), lambda i: power(length(body) - length(replace(body, alphabet[i], '')), 2)))::double as squares from coded),
+centred as (select *, list_transform(v, lambda x: x - list_avg(v)) as c, list_transform(v, lambda x: x > k // 2) as up from symbols),
+measured as (select *, k / n * squares - n as chi, len(list_filter(up, lambda x: x))::double as high,
+  1 + len(list_filter(range(1, len(v)), lambda i: up[i] <> up[i + 1])) as changes, list_sum(list_transform(c, lambda x: x * x)) as own,
+  list_sum(list_transform(range(1, len(v)), lambda i: c[i] * c[i + 1])) as pairs from centred),
+scores as (select *, (chi - (k - 1)) / sqrt(2 * (k - 1) * (1 - 1 / n)) as z1, 1 + 2 * high * (n - high) / n as want,
+  case when own > 0 then abs(pairs / own + 1 / (n - 1)) * sqrt(n) end as z3, n * greatest(k * 0.062 - 1, 0.5) as away from measured),
+tests as (select *, abs(changes - want) / sqrt(greatest((want - 1) * (want - 2) / (n - 1), 1e-9)) as z2, (k - 1 + away - chi) / sqrt(2 * (k - 1) + 6 * away) as z4 from scores),
+chances as (select *, -(ln(greatest({_tail("z1")}, 1e-300)) + ln(greatest(2 * {_tail("z2")}, 1e-300)) + ln(greatest(coalesce(2 * {_tail("z3")}, 0), 1e-300))) as y,
+  {_tail("z4")} as plain from tests),
+steps as (select doc_id, start, stop, n, case when exp(-y) * (1 + y + y * y / 2) >= 0.01
+  then floor(-20 * ln(greatest(plain, 1e-300)) / 2.302585092994046) else 0 end as step from chances),
+weighted as (select *, power(10.0, -step / 20.0) * (select sum(n) / count(*) from steps) / n as chance from steps),
+cut as (select max(chance) as most from (select chance, count(*) over (order by chance range unbounded preceding) as upto, count(*) over () as n from weighted)
+  where chance * n <= 0.01 * upto),
+spans as (select doc_id, start, 0 as kind, 'assign' as name, stop from assigned union all select doc_id, start, 1, 'access', stop from access
+  union all select doc_id, start, 2, 'hex', stop from hexes union all select doc_id, start, 3, 'random', stop from weighted, cut where chance <= most),
+listed as (select doc_id, kind, start, concat(name, ':', start, ':', stop) as span from spans)
+select d.doc_id, count_if(kind = 0)::bigint as n_assign, count_if(kind = 1)::bigint as n_access, count_if(kind = 2)::bigint as n_hex,
+  sha256(coalesce(string_agg(span, ',' order by start, kind) filter (kind < 3), '')) as base_sha256,
+  coalesce(string_agg(span, ',' order by start, kind), '') as spans
+from docs d left join listed l using (doc_id) group by d.doc_id"""
+
 SQL = {
     "op2_chat_formatting": CHAT,
     "op3_ngram_jaccard_join": JACCARD,
@@ -117,4 +173,5 @@ SQL = {
     "op7_quality_rules": RULES,
     "op11_phrase_collocation_mining": COLLOCATIONS,
     "op12_target_distribution_importance_resampling": RESAMPLING,
+    "op13_secret_scans": SECRETS,
 }

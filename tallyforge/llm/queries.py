@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, collocations, cotraining, decontamination, jaccard, langid, oracle, packing, recompression, resampling, rules, sharding, suffixes
+from tallyforge.llm import chat, collocations, cotraining, decontamination, jaccard, langid, oracle, packing, recompression, resampling, rules, secretscan, sharding, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +94,11 @@ def op12_target_distribution_importance_resampling(spark: SparkSession, sf_dir:
     return resampling.draw(weighted, percent=10, seed=2024).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # here, as it takes its helpers from this module
 
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_phrase_collocation_mining": op11_phrase_collocation_mining,
     "op12_target_distribution_importance_resampling": op12_target_distribution_importance_resampling,
+    "op13_secret_scans": op13_secret_scans,
     "pipeline": pipeline,
 }
 
