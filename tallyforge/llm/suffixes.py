@@ -10,9 +10,9 @@ longest previous factor of a suffix is at least ``length`` long, over all docume
 2. The windows of one anchor follow each other; their bytes together are its context.  Each block
    sends its distinct contexts of such anchors to the anchor's task, with the first place of each.
    An anchor with very many different contexts is split: each window goes its own way.
-3. The task keeps the first of equal contexts.  Where contexts of an anchor differ, it ranks their
-   suffixes to the depth ``length`` and marks all but the first of equal ranks.  The array of
-   longest previous factors is not built, only the question answered whether one is long enough.
+3. The task keeps the first of equal contexts.  Where contexts of an anchor differ, it lays them
+   out by position and takes the array of longest previous factors over them, up to ``length``; a
+   window repeats an earlier one where its factor has that length.
 4. The answers say which windows start earlier elsewhere; blocks cut out what these cover.
 """
 
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm import wordhash
 from tallyforge.llm.blocks import Block, answered, asked, blocks_in, contains, finished, text_blocks, with_answers
+from tallyforge.llm.factors import factors
 from tallyforge.llm.wordhash import from_planes, from_steps, mix, planes, powers, steps
 
 SPREAD = 64  # grams of a window; a context has at most so many windows, one bit each in an answer
@@ -35,57 +36,14 @@ KEY_BITS = 48
 HOT_CONTEXTS = 4096  # different contexts of an anchor from which on its windows are sent one by one
 BLOCK_BYTES = 4 << 20
 PIECE_BYTES = 1 << 18  # bytes hashed at once
-SORT_BYTES = 1 << 20  # bytes whose suffixes are sorted at once
-PART_BYTES = 8 << 20  # text for each task that compares contexts, on average
+SORT_BYTES = 1 << 19  # bytes whose suffixes are sorted at once
+PART_BYTES = 4 << 20  # text for each task that compares contexts, on average
 
 _BYTES = np.random.default_rng(20240301).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
 _FULL = np.uint64(2**64 - 1)
 
 
-# -- suffix order --------------------------------------------------------------------------------
-
-
-def ranks(buffer: np.ndarray, length: int, starts: np.ndarray) -> np.ndarray:
-    """Rank of the first ``length`` (at least 16) bytes at each start, by prefix doubling."""
-    n = len(buffer) - 7
-    rank = np.zeros(n, dtype=np.uint64)
-    for k in range(8):
-        rank = (rank << np.uint64(8)) | buffer[k : k + n]
-    size = 8
-    while True:
-        step = min(size, length - size)  # the second half may overlap the first
-        last = 2 * size >= length
-        at = starts if last else np.arange(len(rank) - step)
-        head, tail = rank[at], rank[at + step]
-        if size == 8:
-            order = np.lexsort((tail, head))
-        else:
-            both = (head << np.uint64(32)) | tail
-            order = np.argsort(both, kind="stable")
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (head[order[1:]] != head[order[:-1]]) | (tail[order[1:]] != tail[order[:-1]])
-        rank = np.empty(len(order), dtype=np.uint64)
-        rank[order] = np.cumsum(new).astype(np.uint64)
-        size += step
-        if last:
-            return rank
-
-
-def repeats_earlier(buffer: np.ndarray, length: int, starts: np.ndarray) -> np.ndarray:
-    """Whether the longest previous factor at each start (ascending) has ``length`` bytes or more.
-
-    In suffix order, suffixes that agree in ``length`` bytes are neighbours.  Ordered by position
-    within such a stretch, the previous smaller position of every suffix but the first is its
-    neighbour, which matches it; the next smaller one lies beyond the stretch and matches less.
-    """
-    rank = ranks(buffer, length, starts)
-    order = np.lexsort((starts, rank))
-    out = np.zeros(len(starts), dtype=bool)
-    out[order[1:]] = rank[order[1:]] == rank[order[:-1]]
-    return out
-
-
 # -- windows, anchors, contexts ------------------------------------------------------------------
 
 
@@ -173,6 +131,24 @@ def heads_of(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def first_of_equal(order: np.ndarray, bytes_of, *columns: np.ndarray) -> np.ndarray:
+    """The first, in ``order``, of the rows that are equal: in the sorted columns and then in their bytes.
+
+    Bytes are compared with those of the first row of the same hash; a row of other bytes is first itself.
+    """
+    heads = heads_of(*(c[order] for c in columns))
+    many = np.diff(np.append(heads, len(order)))
+    first = np.zeros(len(order), dtype=bool)
+    first[heads] = True
+    leader = order[np.repeat(heads, many)]
+    last, said = -1, b""
+    for k in np.flatnonzero(~first).tolist():
+        if leader[k] != last:
+            last, said = leader[k], bytes_of(leader[k])
+        first[k] = bytes_of(order[k]) != said
+    return order[first]
+
+
 class Chosen:
     """A block's contexts of revealed anchors; ``first`` are the distinct ones' first places, by key."""
 
@@ -197,9 +173,8 @@ class Chosen:
         self.group = np.repeat(np.arange(len(parts)), [len(c.key) for c in parts]).astype(np.int64)
         self.data = [c.data for c in parts]
         self.ids = block.ids[self.doc]
-        self.order = np.lexsort((self.start, self.ids, self.print, self.key))
-        self.heads = heads_of(self.key[self.order], self.print[self.order])
-        self.first = self.order[self.heads]
+        order = np.lexsort((self.start, self.ids, self.print, self.key))
+        self.first = first_of_equal(order, self.bytes, self.key, self.print)
 
     def bytes(self, i: int) -> bytes:
         return self.data[self.group[i]][self.begin[i] : self.end[i]]
@@ -208,11 +183,10 @@ class Chosen:
 ROW = "part int, block long, keys binary, ids binary, starts binary, n binary, bytes binary"
 
 
-def compare(keys, ids, starts, n, texts: list[bytes], length: int) -> np.ndarray:
+def compare(keys, ids, starts, n, whole: bytes, length: int) -> np.ndarray:
     """For each context a mask: bit j is set if its j-th window starts earlier than there."""
     size = n + length - 1
     begin = np.cumsum(size) - size
-    whole = b"".join(texts)
     prints = np.concatenate(
         [np.empty(0, dtype=np.uint64)]
         + [
@@ -221,8 +195,7 @@ def compare(keys, ids, starts, n, texts: list[bytes], length: int) -> np.ndarray
         ]
     )
     order = np.lexsort((starts, ids, prints, keys))
-    heads = heads_of(keys[order], prints[order])
-    first = order[heads]
+    first = first_of_equal(order, lambda i: whole[begin[i] : begin[i] + size[i]], keys, prints)
     mask = np.full(len(keys), _FULL)
     mask[first] = 0
     # A key with one context is done.
@@ -239,7 +212,7 @@ def compare(keys, ids, starts, n, texts: list[bytes], length: int) -> np.ndarray
         at = np.cumsum(size[part]) - size[part]
         own = np.repeat(np.arange(len(part)), n[part])
         bit = np.arange(len(own)) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
-        found = repeats_earlier(buffer, length, at[own] + bit)
+        found = factors(buffer, length, at[own] + bit) >= length
         bits = np.where(found, np.uint64(1) << bit.astype(np.uint64), np.uint64(0))
         mask[part] = np.add.reduceat(bits, np.flatnonzero(bit == 0))
     return mask
@@ -320,7 +293,9 @@ def suffix_dedup(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", tex
                 texts.append(expand(r.bytes))
         if got:
             arrays = [np.concatenate([g[k] for g in got]) for k in range(2, 6)]
-            mask = compare(*arrays, texts, length)
+            whole = b"".join(texts)
+            texts.clear()
+            mask = compare(*arrays, whole, length)
             at = 0
             for part, block, keys, *_ in got:
                 yield pd.DataFrame({"part": [part], "block": [block], "masks": [planes(mask[at : at + len(keys)])]})
