@@ -1,16 +1,18 @@
 """Benchmark decontamination: SimHash of item-sized windows, then an exact check.
 
-For every benchmark item of n words, the windows of n words of each document get a 64-bit SimHash of
-their words.  Fingerprints are cut into four blocks; two that differ in at most ``radius`` bits
-differ in at most radius // 4 bits of some block, so tables of all block values that near to an
-item's find every such pair.  Pairs within the radius are verified: the similarity of their
-weighted shingle sets (weight: occurrences; sum of the lesser weights over sum of the greater)
-must reach ``least``.  A window with fewer shingles of the benchmark than that takes cannot, and
-gets no fingerprint.  A document of fewer words than the item is one window as a whole.
-
-No radius is near enough for every similar pair (texts of few different words tip many bits at
-once), so none is left to it: a similar window lacks few shingles of the item, so one of its first
-is the item's, and pairs found by those are verified too.
+For every benchmark item of n words, windows of n words of each document get a 64-bit SimHash of
+their shingles.  Fingerprints are cut into four blocks; two that differ in at most ``radius`` bits
+differ in at most radius // 4 bits of some block.  Every block value that near to an item's is
+listed with the item, so looking up a window's four blocks brings all items within the radius, and
+no window is compared with an item that it does not meet there.  Pairs within the radius are
+verified: the similarity of their weighted shingle sets (weight: occurrences; sum of the lesser
+weights over sum of the greater) must reach ``least``.
+
+A window that has not half of the shingles that a similar one shares with the benchmark gets no
+fingerprint.  A document of fewer words than the item is one window as a whole.  Which pairs are
+verified is decided by the fingerprints alone: a similar pair farther apart than the radius is
+missed.  At the similarity 0.8 that is some 10 bits on average, with a spread near 3.  Items that
+mostly repeat one passage have no steady fingerprint and are compared with every such window.
 
 Benchmark items go to the tasks in groups of bounded size, one pass over the documents for each
 group; documents are read where they are and not moved.
@@ -29,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import free_name, without
+from tallyforge.llm.crcspans import ranges
 from tallyforge.llm.wordhash import in_groups, runs_of, word_arrays
 
 BITS, BLOCKS = 64, 4
-GROUP_ITEMS = 5_000  # benchmark items sent to the tasks at once ...
+GROUP_ITEMS = 1_000  # benchmark items sent to the tasks at once ...
 GROUP_BYTES = 16 << 20  # ... and bytes of their texts (a longer item makes a group of its own)
 STRETCH = 1 << 14  # windows fingerprinted at once
 FILTER_BITS = 22
@@ -45,25 +48,25 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum
 class Settings:
     shingle: int = 5
     least: float = 0.8
-    radius: int = 23  # five flips of a block; the similarity 0.8 is some 10 bits away on average
+    radius: int = 19  # four flips of a block
 
 
 def normal(text: str | None) -> bytes:
     return b"" if text is None else text.lower().encode().translate(_LOWER)
 
 
-def fingerprints(words: np.ndarray, starts: np.ndarray, n: int, sums: np.ndarray | None = None) -> np.ndarray:
-    """SimHash of the n words from each start: a bit is set if more words have it than not."""
+def fingerprints(shingles: np.ndarray, starts: np.ndarray, n: int, sums: np.ndarray | None = None) -> np.ndarray:
+    """SimHash of the n shingles from each start: a bit is set if more of them have it than not."""
     if sums is None:
-        sums = bit_sums(words)
+        sums = bit_sums(shingles)
     votes = 2 * (sums[starts + n] - sums[starts]) > n
     return np.packbits(votes, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def bit_sums(words: np.ndarray) -> np.ndarray:
-    """For each place and bit, how many words before it have the bit."""
-    bits = np.unpackbits(words.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    out = np.zeros((len(words) + 1, BITS), dtype=np.int32)
+def bit_sums(shingles: np.ndarray) -> np.ndarray:
+    """For each place and bit, how many shingles before it have the bit."""
+    bits = np.unpackbits(shingles.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    out = np.zeros((len(shingles) + 1, BITS), dtype=np.int32)
     np.cumsum(bits, axis=0, out=out[1:], dtype=np.int32)
     return out
 
@@ -76,7 +79,7 @@ def near_zero(flips: int, width: int) -> np.ndarray:
 
 
 class SizeClass:
-    """The items of one number of words."""
+    """The items of one number of words, to be looked up by fingerprint."""
 
     def __init__(self, n: int, settings: Settings) -> None:
         self.n = n
@@ -84,21 +87,19 @@ class SizeClass:
         self.ids: list[int] = []
         self.prints: list[int] = []
         self.shingles: list[Counter] = []
-        self.tables = np.zeros((BLOCKS, 1 << (BITS // BLOCKS)), dtype=bool)
         self.flips = settings.radius // BLOCKS
         self.least = settings.least
-        self.holders: dict[int, list[int]] = {}  # shingle: places of the items that have it
+        self.loose: list[int] = []  # items that mostly repeat themselves: many bits hang on one shingle
+        self.listed: list[np.ndarray] | None = None
 
     def add(self, item: int, words: np.ndarray) -> None:
-        value = int(fingerprints(words, np.zeros(1, dtype=np.int64), self.n)[0])
+        runs = runs_of(words, self.width)
         self.ids.append(item)
-        self.prints.append(value)
-        self.shingles.append(Counter(runs_of(words, self.width).tolist()))
-        for shingle in self.shingles[-1]:
-            self.holders.setdefault(shingle, []).append(len(self.ids) - 1)
-        for b in range(BLOCKS):
-            block = (value >> (16 * b)) & 0xFFFF
-            self.tables[b, block ^ near_zero(self.flips, BITS // BLOCKS)] = True
+        self.prints.append(int(fingerprints(runs, np.zeros(1, dtype=np.int64), len(runs))[0]))
+        self.shingles.append(Counter(runs.tolist()))
+        if 2 * len(self.shingles[-1]) < len(runs):
+            self.loose.append(len(self.ids) - 1)
+        self.listed = None
 
     def needed(self, size: int) -> int:
         """Shingles that a similar window of ``size`` words shares at least with the item."""
@@ -108,20 +109,29 @@ class SizeClass:
             both += 1
         return both
 
-    def sharing(self, shingles: list[int], needed: int) -> set[int]:
-        """Items that can have ``needed`` of the shingles: as many lack at most the others."""
-        return {i for s in set(shingles[: len(shingles) - needed + 1]) for i in self.holders.get(s, ())}
+    def lists(self) -> list[np.ndarray]:
+        """For each block the near values with their items, ascending: (value << 16) + item."""
+        if self.listed is None:
+            blocks = np.array(self.prints, dtype="<u8").view("<u2").reshape(-1, BLOCKS).astype(np.uint32)
+            near = near_zero(self.flips, BITS // BLOCKS).astype(np.uint32)
+            item = np.arange(len(self.prints), dtype=np.uint32)
+            self.listed = [np.sort((((b[:, None] ^ near) << np.uint32(16)) + item[:, None]).ravel()) for b in blocks.T]
+        return self.listed
 
     def candidates(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) of all pairs within the radius."""
-        blocks = prints.view("<u2").reshape(-1, BLOCKS)
-        hit = np.zeros(len(prints), dtype=bool)
-        for b in range(BLOCKS):
-            hit |= self.tables[b, blocks[:, b]]
-        rows = np.flatnonzero(hit)
-        far = np.bitwise_count(prints[rows, None] ^ np.array(self.prints, dtype=np.uint64)[None, :])
-        window, item = np.nonzero(far <= radius)
-        return rows[window], item
+        """(window, item) of all pairs within the radius, and of all with loose items."""
+        window = np.arange(len(prints))
+        met = [(window << 16) + i for i in self.loose]
+        blocks = prints.view("<u2").reshape(-1, BLOCKS).astype(np.uint64)
+        for values, listed in zip(blocks.T, self.lists()):
+            low = np.searchsorted(listed, (values << np.uint64(16)).astype(np.uint32))
+            high = np.searchsorted(listed, ((values << np.uint64(16)) + np.uint64(0xFFFF)).astype(np.uint32), side="right")
+            of = np.repeat(window, high - low)
+            item = listed[ranges(low, high - low)] & np.uint32(0xFFFF)
+            near = np.bitwise_count(prints[of] ^ np.array(self.prints, dtype=np.uint64)[item]) <= radius
+            met.append((of[near] << 16) + item[near])
+        pairs = np.unique(np.concatenate(met))  # met in several blocks
+        return pairs >> 16, pairs & 0xFFFF
 
 
 def similarity(a: Counter, b: Counter) -> float:
@@ -175,14 +185,14 @@ class Items:
         return [sorted((item, s, -at) for item, (s, at) in b.items()) for b in best]
 
     def _find_in(self, best, words, runs, hits, begin, end, width) -> None:
-        """Windows of one document that hold one of its benchmark shingles, in stretches."""
+        """Windows of one document around its benchmark shingles, in stretches."""
         low = np.maximum(hits - self.longest, begin)
         edges = np.flatnonzero(low[1:] > hits[:-1] + self.longest) + 1
         for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(hits)]):
             left, right = int(low[a]), min(end, int(hits[b - 1]) + self.longest + width)
             for at in range(left, right, STRETCH):
                 to = min(right, at + STRETCH)
-                here = words[at : min(end, to + self.longest)]
+                here = runs[at : min(end, to + self.longest)]
                 sums = bit_sums(here)
                 for c in self.classes.values():
                     if c.width != width:
@@ -190,44 +200,40 @@ class Items:
                     starts = np.arange(at, min(to, end - c.n + 1))
                     if len(starts):
                         known = np.searchsorted(hits, starts + c.n - width, side="right") - np.searchsorted(hits, starts)
-                        starts = starts[known >= c.needed(c.n)]
+                        starts = starts[2 * known >= c.needed(c.n)]
                     if len(starts):
-                        self._verify(best, c, starts, c.n, fingerprints(here, starts - at, c.n, sums), runs, begin)
+                        self._verify(best, c, starts, c.n, fingerprints(here, starts - at, c.n - width + 1, sums), runs, begin)
 
     def _find_whole(self, best, words, runs, known, begin, end, width) -> None:
         """The whole document as a window, for the items that have more words than it."""
         size, prints = end - begin, None
         for c in self.classes.values():
-            if c.width == width and c.n > size and known >= c.needed(size):
+            if c.width == width and c.n > size and 2 * known >= c.needed(size):
                 if prints is None:
-                    prints = fingerprints(words[begin:end], np.zeros(1, dtype=np.int64), size)
+                    prints = fingerprints(runs[begin : end - width + 1], np.zeros(1, dtype=np.int64), size - width + 1)
                 self._verify(best, c, np.array([begin]), size, prints, runs, begin)
 
     def _verify(self, best, c, starts, size, prints, runs, begin) -> None:
-        """Windows of ``size`` words against the items of a class."""
-        needed = c.needed(size)
-        near: dict[int, set[int]] = {}
+        """Windows of ``size`` words against the items of a class that they meet."""
+        last, have = -1, None
         for w, i in zip(*(x.tolist() for x in c.candidates(prints, self.settings.radius))):
-            near.setdefault(w, set()).add(i)
-        for w, start in enumerate(starts.tolist()):
-            shingles = runs[start : start + size - c.width + 1].tolist()
-            items = near.get(w, set()) | c.sharing(shingles, needed)
-            have = Counter(shingles) if items else None
-            for i in items:
-                alike = similarity(have, c.shingles[i])
-                if alike >= self.settings.least:
-                    item = c.ids[i]
-                    best[item] = max(best.get(item, (0.0, 0)), (alike, begin - start))
+            start = int(starts[w])
+            if w != last:
+                last, have = w, Counter(runs[start : start + size - c.width + 1].tolist())
+            alike = similarity(have, c.shingles[i])
+            if alike >= self.settings.least:
+                item = c.ids[i]
+                best[item] = max(best.get(item, (0.0, 0)), (alike, begin - start))
 
 
 def item_groups(benchmark: DataFrame, item_id: str, text: str):
-    """The benchmark in groups of bounded size, in order of id."""
+    """The benchmark in groups of bounded size, in order of id; one id's texts are in one group."""
     rows = benchmark.where(F.col(f"`{text}`").isNotNull() & F.col(f"`{item_id}`").isNotNull()).select(
         F.col(f"`{item_id}`").cast("long"), F.col(f"`{text}`")
     )
     group, size = [], 0
     for item, words in rows.orderBy(*range(1, 3)).toLocalIterator():
-        if group and (len(group) >= GROUP_ITEMS or size + len(words) > GROUP_BYTES):
+        if group and item != group[-1][0] and (len(group) >= GROUP_ITEMS or size + len(words) > GROUP_BYTES):
             yield group
             group, size = [], 0
         group.append((item, words))
@@ -264,7 +270,8 @@ def with_leaks(
 
     Each with the similarity of its most similar window, and that window's first word (the first
     such window).  Null and empty texts have no leaks; items without words, text or id are left
-    out; an empty benchmark finds nothing.  Repeated rows get equal results.
+    out; an empty benchmark finds nothing.  Repeated rows get equal results; an item whose id repeats
+    is found by any of its texts, the most similar counting.
     """
     out = without(docs, ["leaks"])
     found = []
