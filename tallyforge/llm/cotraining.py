@@ -2,12 +2,13 @@
 
 A logistic regression on hashed character n-grams sees the content; another sees source, language
 and layout (sizes, line shapes, shares of marks and repeated words) in quantile bins.  In each
-round both classify a pool of unlabelled documents, and each hands the ones it is surest of to the
-other as pseudo-labels.  Both are then calibrated on labelled documents that were not fitted on,
-and their log-odds are averaged to score every document.
+round both score every document, and each hands unlabelled ones it is surest of, by quantiles of
+the score in each source, to the other as pseudo-labels.  Both are then calibrated on labelled
+documents that were not fitted on, and their log-odds are averaged to score every document.
 
-Fitting uses bounded samples (``Settings.labelled`` and ``Settings.pool`` documents, in the order
-of a hash) on the driver; scoring covers all documents, where they are read.
+What the views see of each document is written once, and read in each round.  Bin edges are
+quantiles over all documents.  Only the fit runs on the driver, on ``Settings.labelled`` labelled
+documents and ``Settings.pseudo`` more for each view and round, in the order of a hash of the id.
 """
 
 from __future__ import annotations
@@ -18,11 +19,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyforge.llm import langid, ngrams
-from tallyforge.llm.common import free_name, without, words_of
+from tallyforge.llm.common import free_name, without, words_of, written
+from tallyforge.llm.wordhash import from_planes, planes
 
 KINDS = 64  # buckets of each categorical column
 MARKS = "#*$%&|<>"
@@ -31,9 +36,9 @@ MARKS = "#*$%&|<>"
 @dataclass(frozen=True)
 class Settings:
     labelled: int = 2400  # most labelled documents used, a quarter of them for calibration
-    pool: int = 2400  # most unlabelled documents used
     rounds: int = 4
-    share: float = 0.05  # of the pool, handed over by each view in each round
+    share: float = 0.05  # of each source, at either end, from which pseudo-labels are picked in a round
+    pseudo: int = 240  # most pseudo-labels that a view hands over in a round
     sure: float = 0.9  # least probability of a pseudo-label
     bits: int = 13
     longest: int = 3
@@ -126,37 +131,104 @@ def calibration(odds: np.ndarray, labels: np.ndarray) -> float:
     return 1 / langid.fit_temperature(both, labels)
 
 
-def co_train(views, labels: np.ndarray, widths, s: Settings) -> tuple[list[np.ndarray], tuple[float, float]]:
-    """``views``: for each view the examples; ``labels``: 1, 0, or -1 for the pool."""
-    known = np.flatnonzero(labels >= 0)
-    checked = known[3::4] if len(known) >= 16 else known[:0]
-    fitted = np.setdiff1d(known, checked)
-    truth = [dict(zip(fitted, labels[fitted])) for _ in views]
-    pool = set(np.flatnonzero(labels < 0))
-    for _ in range(s.rounds + 1):
-        weights = []
-        for view, given, width in zip(views, truth, widths):
-            rows = np.array(sorted(given), dtype=np.int64)
-            y = np.array([given[i] for i in rows], dtype=np.int64)
-            weights.append(binary_fit([view[i] for i in rows], y, width, s))
-        rest = np.array(sorted(pool), dtype=np.int64)
-        if not len(rest):
-            break
-        most = max(1, int(s.share * (labels < 0).sum()))
-        for v, view in enumerate(views):
-            chance = 1 / (1 + np.exp(-odds_of([view[i] for i in rest], weights[v])))
-            # both classes in the proportion in which the view finds them, at least one each
-            bad = max(1, round(most * float((chance < 0.5).mean())))
-            order = np.argsort(chance, kind="stable")
-            picks = [(i, 0) for i in order[:bad] if chance[i] <= 1 - s.sure]
-            picks += [(i, 1) for i in order[::-1][: max(1, most - bad)] if chance[i] >= s.sure]
-            for i, y in picks:
-                truth[1 - v].setdefault(rest[i], y)
-                pool.discard(rest[i])
-    scales = (1.0, 1.0)
-    if len(checked):
-        scales = tuple(calibration(odds_of([view[i] for i in checked], w), labels[checked]) for view, w in zip(views, weights))
-    return weights, scales
+class View:
+    """Examples of one view, and the labels it was given: by the table of labels, then by the other view."""
+
+    def __init__(self, examples: dict[int, tuple], labels: dict[int, int], width: int) -> None:
+        self.examples, self.labels, self.width = examples, labels, width
+
+    def fit(self, s: Settings) -> np.ndarray:
+        rows = sorted(self.labels, key=lambda r: zlib.crc32(str(r).encode()))  # mixes the classes, and fixes the order
+        return binary_fit([self.examples[r] for r in rows], np.array([self.labels[r] for r in rows], dtype=np.int64), self.width, s)
+
+    def take(self, examples: dict[int, tuple], labels: dict[int, int]) -> None:
+        """Pseudo-labels; what has a label keeps it."""
+        for row, label in labels.items():
+            if row not in self.labels:
+                self.labels[row], self.examples[row] = label, examples[row]
+
+
+def documents_seen(docs: DataFrame, kinds: Sequence[str], doc_id: str, text: str, s: Settings) -> DataFrame:
+    """(row, id, kind0.., shape, buckets, counts): what both views see of each document, written once."""
+    names = [f"kind{i}" for i in range(len(kinds))]
+    source = docs.where(F.col(f"`{text}`").isNotNull()).select(
+        F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("string").alias("id"),
+        *(F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("None")).alias(n) for k, n in zip(kinds, names)),
+    )
+
+    def see(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, seen = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            for a in range(0, batch.num_rows, ngrams.SLICE_TEXTS):
+                part = batch.slice(a, ngrams.SLICE_TEXTS)
+                shapes, buckets, counts = [], [], []
+                for group in ngrams.slices(part.column(0).to_pylist()):
+                    row, bucket, count = ngrams.counts(group, s.bits, s.longest)
+                    cuts = np.searchsorted(row, np.arange(1, len(group)))
+                    buckets += [planes(b.astype("<u2")) for b in np.split(bucket, cuts)]
+                    counts += [planes(c.astype("<u4")) for c in np.split(count, cuts)]
+                    shapes += [layout(t) for t in group]
+                rows = pa.array(np.arange(base + seen, base + seen + part.num_rows))
+                seen += part.num_rows
+                own = [pa.array(shapes, pa.list_(pa.float64())), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())]
+                yield pa.RecordBatch.from_arrays([rows, *part.columns[1:], *own], ["row", "id", *names, "shape", "buckets", "counts"])
+
+    fields = "".join(f"{n} string, " for n in names)
+    return written(source.mapInArrow(see, f"row long, id string, {fields}shape array<double>, buckets binary, counts binary"), "seen")
+
+
+def content_of(buckets: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The content view of one document, as ``content_view`` gives it."""
+    value = 1 + np.log(from_planes(counts, "<u4"))
+    return from_planes(buckets, "<u2"), value / max(float(np.sqrt((value * value).sum())), 1e-12)
+
+
+def scored_by_views(seen: DataFrame, names: list[str], model: Model) -> DataFrame:
+    """(row, id, source, chance0, chance1) of every document: probability of label 1 by content, by metadata."""
+    s = model.settings
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            content = [content_of(b.as_py(), c.as_py()) for b, c in zip(batch.column("buckets"), batch.column("counts"))]
+            by_content = odds_of(content, model.content)
+            shape = np.asarray(batch.column("shape").flatten()).reshape(-1, N_LAYOUT)
+            at = metadata_view(shape, [batch.column(n).to_pylist() for n in names], model.edges, s)
+            by_metadata = model.metadata[at].sum(axis=1) + model.metadata[-1]
+            chances = [pa.array(1 / (1 + np.exp(-np.clip(odds, -40, 40)))) for odds in (by_content, by_metadata)]
+            source = batch.column(names[0]) if names else pa.array([""] * batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), source, *chances], ["row", "id", "source", "chance0", "chance1"])
+
+    schema = "row long, id string, source string, chance0 double, chance1 double"
+    return written(seen.mapInArrow(score, schema), "chances")
+
+
+def surest(scored: DataFrame, given: DataFrame, s: Settings) -> DataFrame:
+    """(view, label, row): for each view the unlabelled documents it is surest of, one row for each id.
+
+    Of every source the ``share`` with the least and that with the greatest probability can be picked,
+    if sure enough.  At most ``pseudo`` go on for a view, both labels in the proportion in which it
+    finds them in all documents, dealt out over the sources in turn.
+    """
+    edge = lambda v: F.percentile_approx(f"chance{v}", [s.share, 1 - s.share], 10_000).alias(f"edge{v}")
+    edges = scored.groupBy("source").agg(edge(0), edge(1))
+    found = scored.agg(*(F.avg((F.col(f"chance{v}") < 0.5).cast("int")).alias(f"bad{v}") for v in (0, 1))).first()
+    marked = scored.where("id is not null").join(edges, "source")
+    picks = []
+    for v in (0, 1):
+        chance, edge_of = F.col(f"chance{v}"), F.col(f"edge{v}")
+        bad = chance <= F.least(edge_of[0], F.lit(1 - s.sure))
+        good = chance >= F.greatest(edge_of[1], F.lit(s.sure))
+        quota = max(1, round(s.pseudo * found[v])) if found[v] is not None else 1
+        limit = F.when(bad, quota).otherwise(max(1, s.pseudo - quota))
+        picks.append(marked.where(bad | good).select(F.lit(v).alias("view"), F.when(bad, 0).otherwise(1).alias("label"), "source", "id", "row", limit.alias("quota")))
+    every = picks[0].unionByName(picks[1])
+    once = every.groupBy("view", "label", "id").agg(F.min(F.struct("row", "source", "quota")).alias("pick")).select("view", "label", "id", "pick.*")
+    fresh = once.join(given.select("id"), "id", "left_anti").withColumn("turn", F.xxhash64(F.lit(5), "id"))
+    in_source = Window.partitionBy("view", "label", "source").orderBy("turn", "row")
+    dealt = fresh.withColumn("nth", F.row_number().over(in_source)).where(F.col("nth") <= s.pseudo)
+    of_all = Window.partitionBy("view", "label").orderBy("nth", "turn", "row")
+    taken = dealt.withColumn("place", F.row_number().over(of_all)).where(f"place <= {s.pseudo}").where("place <= quota")
+    return taken.select("view", "label", "row")
 
 
 def train(
@@ -164,48 +236,50 @@ def train(
 ) -> Model | None:
     """None when no document with a text has a label."""
     given = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{doc_id}`").isNotNull())
-    given = given.groupBy(F.col(f"`{doc_id}`").alias("id")).agg(F.min(F.col(f"`{label}`")).cast("int").alias("label"))
-    turn = F.xxhash64(F.lit(5), F.col("id").cast("string"))
-    ids = docs.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{doc_id}`").alias("id")).distinct()
-    some = ids.join(given, "id", "left_semi").join(given, "id").withColumn("turn", turn).orderBy("turn", "id").limit(s.labelled)
-    others = ids.join(given, "id", "left_anti").withColumn("turn", turn).orderBy("turn", "id").limit(s.pool)
-    # At most labelled + pool rows.
-    chosen = F.broadcast(some.select("id", "label").unionByName(others.select("id", F.lit(-1).alias("label"))))
-    wanted = docs.select(
-        F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"),
-        *(F.col(f"`{k}`").cast("string").alias(f"kind{i}") for i, k in enumerate(kinds)),
-    ).where(F.col("text").isNotNull())
-    sample = wanted.join(chosen, "id").limit(2 * (s.labelled + s.pool))  # repeated ids may add rows
-
-    def views(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            done = 0
-            for group in ngrams.slices(batch["text"]):
-                part = batch.iloc[done : done + len(group)]
-                done += len(group)
-                row, bucket, value = content_view(group, s)
-                out = part.drop(columns="text").reset_index(drop=True)
-                out["bucket"] = ngrams.packed(row, bucket.astype(np.int32), len(group))
-                out["value"] = ngrams.packed(row, value.astype(np.float32), len(group))
-                out["shape"] = [np.array(layout(t), dtype=float).tobytes() for t in group]
-                yield out
-
-    kind_fields = "".join(f"kind{i} string, " for i in range(len(kinds)))
-    schema = f"id {dict(wanted.dtypes)['id']}, {kind_fields}label int, bucket binary, value binary, shape binary"
-    found = sample.select("id", "text", *(f"kind{i}" for i in range(len(kinds))), "label").mapInPandas(views, schema).toPandas()
-    if not len(found) or (found["label"] >= 0).sum() == 0:
+    given = given.groupBy(F.col(f"`{doc_id}`").cast("string").alias("id")).agg(F.min(F.col(f"`{label}`")).cast("int").alias("label"))
+    seen = documents_seen(docs, kinds, doc_id, text, s)
+    names = [f"kind{i}" for i in range(len(kinds))]
+    first = seen.where("id is not null").groupBy("id").agg(F.min("row").alias("row"))  # one row for each id
+    sample = first.join(given, "id").orderBy(F.xxhash64(F.lit(5), "id"), "id").limit(s.labelled).select("row", "label")
+    cuts = [float(q) for q in np.linspace(0, 1, s.bins + 1)[1:-1]]
+    edges = seen.agg(*(F.percentile_approx(F.col("shape")[j], cuts, 10_000).alias(f"m{j}") for j in range(N_LAYOUT))).first()
+    if edges is None or edges[0] is None:
+        return None
+    edges = np.array([list(e) for e in edges], dtype=float)
+
+    def fetched(rows: DataFrame) -> tuple[dict, dict, dict]:
+        """Examples of both views, and labels, of a bounded number of rows."""
+        found = seen.join(F.broadcast(rows), "row").toPandas()
+        shape = np.array(found["shape"].tolist(), dtype=float).reshape(-1, N_LAYOUT)
+        at = metadata_view(shape, [found[n].tolist() for n in names], edges, s)
+        number = found["row"].tolist()
+        content = dict(zip(number, map(content_of, found["buckets"], found["counts"])))
+        metadata = dict(zip(number, ((row, np.ones(len(row))) for row in at)))
+        return content, metadata, dict(zip(number, found["label"].tolist()))
+
+    content, metadata, truth = fetched(sample)
+    if not truth:
         return None
-    key = [zlib.crc32(str(i).encode()) for i in found["id"]]  # mixes the classes, and fixes the order
-    found = found.assign(key=key).sort_values(["key", "id"], kind="stable")
-    shape = np.stack([np.frombuffer(x, dtype=float) for x in found["shape"]])
-    cuts = np.linspace(0, 1, s.bins + 1)[1:-1]
-    edges = np.quantile(shape, cuts, axis=0).T
-    at = metadata_view(shape, [found[f"kind{i}"].tolist() for i in range(len(kinds))], edges, s)
-    ones = np.ones(at.shape[1])
-    by_content = [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32)) for b, v in zip(found["bucket"], found["value"])]
-    by_metadata = [(row, ones) for row in at]
+    known = sorted(truth, key=lambda r: (zlib.crc32(str(r).encode()), r))
+    checked = known[3::4] if len(known) >= 16 else []
+    fitted = {r: truth[r] for r in known if r not in set(checked)}
     widths = (1 << s.bits, N_LAYOUT * (s.bins + 1) + KINDS * len(kinds))
-    weights, scales = co_train((by_content, by_metadata), found["label"].to_numpy(), widths, s)
+    views = [View(dict(examples), dict(fitted), width) for examples, width in zip((content, metadata), widths)]
+    weights = [view.fit(s) for view in views]
+    for _ in range(s.rounds):
+        chances = scored_by_views(seen, names, Model(s, edges, *weights, (1.0, 1.0)))
+        picks = surest(chances, given, s).collect()  # at most 2 * pseudo + 2 rows
+        if not picks:
+            break
+        rows = docs.sparkSession.createDataFrame([(r,) for r in sorted({p.row for p in picks})], "row long")
+        more = fetched(rows.withColumn("label", F.lit(-1)))
+        for v, view in enumerate(views):  # what the other view is sure of
+            view.take(more[v], {p.row: p.label for p in picks if p.view == 1 - v})
+        weights = [view.fit(s) for view in views]
+    scales = (1.0, 1.0)
+    if checked:
+        y = np.array([truth[r] for r in checked])
+        scales = tuple(calibration(odds_of([examples[r] for r in checked], w), y) for examples, w in zip((content, metadata), weights))
     return Model(s, edges, weights[0], weights[1], scales)
 
 
@@ -222,7 +296,9 @@ def quality_classifier(
 
     Scores are probabilities of label 1.  A document without a word (null, empty, white space)
     scores 0 and is rejected; with no labels at all, scores are null and the rest is accepted.
-    Repeated rows get equal results; columns of the input with these names are replaced.
+    Repeated rows get equal results; of rows with one id one is fitted, and a label is the least of
+    those its id has.  Rows without an id, and ids without a label, are scored alike.  Columns of the
+    input with these names are replaced.
     """
     names = ["content_score", "metadata_score", "score", "accepted"]
     base = without(docs, names)
