@@ -11,12 +11,15 @@ orders.  All orders put rare tokens first and differ among tokens of about the s
 2. A document with too many tokens of its own cannot be similar to any other.  For the rest, the
    shared tokens are kept, one copy for each distinct set.
 3. Sets meet under the tokens of their prefix in the first order.  In each meeting every set is
-   paired with one leader of its size and of the next; pairs that share prefix tokens in the other
-   orders too are verified, and linked sets form components.
+   paired with one leader of its size and of the next.  The pairs meet the prefixes of the other
+   orders, small columns; only those that share a token in every order are joined with the sets'
+   tokens and verified.  Linked sets form components.
 4. Meetings whose sets are in different components by then are resolved in full: everything
-   outside the main component of the meeting is paired with all others there.  Pairs within a
-   component are never listed, so a group of n copies costs n pairs; and pairs that differ too much
-   by what the comparisons with their common leader told are left out, which is exact.
+   outside the main component of the meeting is paired with all others there, the rows of a hot
+   token dealt over several tasks.  Pairs that differ too much by what the comparisons with their
+   common leader told are left out, which is exact.
+5. All links lie within components.  There sets are compared block against block, by products of
+   their token matrices, and only counts leave the task: pairs are never listed.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ HASH_BITS = 48  # of a token; two of a pair's tokens meet by chance once in 10**
 BLOCK_BYTES = 4 << 20  # text in one block
 BLOCK_DOCS = 60_000  # and documents, numbered by 16 bits
 BLOCK_HOT = 32  # documents of a block from which on it sends a token as a count
+SPREAD_ROWS = 1000  # of a hot token's meeting in one task; its other side is sent to each
+LINK_BYTES = 4 << 20  # tokens of the sets of a component that are compared with others at once
 PART_BYTES = 8 << 20  # text whose tokens one counting task gets, on average
 
 # Kinds of rows between the tasks.
@@ -336,8 +341,25 @@ def sketch(tokens: np.ndarray) -> list[int]:
     return np.packbits(bits, bitorder="little").view("<i8").tolist()
 
 
+def marks(similarity: Similarity):
+    """(id, n, and for each further order the prefix as 32-bit hashes): chance meetings only cost a verification."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [np.frombuffer(t, np.uint64) for t in batch["tokens"]]
+            out = {"id": batch["id"], "n": batch["n"]}
+            for k in ORDERS:
+                out[f"order{k}"] = [mix(prefix(t, n, k, similarity)).astype(np.uint32).view(np.int32) for t, n in zip(sets, batch["n"])]
+            yield pd.DataFrame(out)
+
+    return run
+
+
+MARKS = "id long, n int, " + ", ".join(f"order{k} array<int>" for k in ORDERS)
+
+
 def compare(similarity: Similarity):
-    """For pairs of sets: ``linked`` if they share prefix tokens in all orders and are similar.
+    """For pairs of sets whether they are ``linked``.
 
     ``p`` is the sketch of what only the first has, ``q`` of what only the second has.
     """
@@ -347,26 +369,31 @@ def compare(similarity: Similarity):
             rows = []
             for id_a, id_b, n_a, n_b, a, b in zip(*(batch[c] for c in ("a", "b", "n_a", "n_b", "tokens_a", "tokens_b"))):
                 a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                met = all(
-                    np.intersect1d(prefix(a, n_a, k, similarity), prefix(b, n_b, k, similarity), assume_unique=True).size
-                    for k in ORDERS
-                )
                 both = np.intersect1d(a, b, assume_unique=True)
-                linked = bool(met and similarity.similar(n_a, n_b, both.size))
                 only = [sketch(np.setdiff1d(x, both, assume_unique=True)) for x in (a, b)]
-                rows.append((id_a, id_b, linked, *only[0], *only[1]))
+                rows.append((id_a, id_b, bool(similarity.similar(n_a, n_b, both.size)), *only[0], *only[1]))
             yield pd.DataFrame(rows, columns=["a", "b", "linked", *_P, *_Q])
 
     return run
 
 
-def compared(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """The distinct pairs (a, b) of set ids of possible sizes, as ``compare`` says."""
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("tokens_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("tokens_b"))
+def candidates(pairs: DataFrame, marked: DataFrame, similarity: Similarity) -> DataFrame:
+    """The pairs (a, b) of possible sizes that share a prefix token in every further order, with n_a and n_b."""
+    left = marked.select(F.col("id").alias("a"), F.col("n").alias("n_a"), *(F.col(f"order{k}").alias(f"a{k}") for k in ORDERS))
+    right = marked.select(F.col("id").alias("b"), F.col("n").alias("n_b"), *(F.col(f"order{k}").alias(f"b{k}") for k in ORDERS))
     met = pairs.join(left, "a").join(right, "b").where(
         (F.col("n_a") * similarity.percent <= F.col("n_b") * 100) & (F.col("n_b") * similarity.percent <= F.col("n_a") * 100)
     )
+    for k in ORDERS:
+        met = met.where(F.arrays_overlap(f"a{k}", f"b{k}"))
+    return met.select("a", "b", "n_a", "n_b")
+
+
+def compared(pairs: DataFrame, sets: DataFrame, marked: DataFrame, similarity: Similarity) -> DataFrame:
+    """The candidates among the distinct pairs (a, b) of set ids, as ``compare`` says."""
+    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("tokens_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tokens_b"))
+    met = candidates(pairs, marked, similarity).join(left, "a").join(right, "b")
     schema = "a long, b long, linked boolean, " + ", ".join(f"{c} long" for c in _P + _Q)
     return written(met.mapInPandas(compare(similarity), schema), "compared")
 
@@ -401,15 +428,17 @@ def set_components(sets: DataFrame, similarity: Similarity) -> DataFrame:
     near = near.groupBy("token", "size").agg(F.collect_set("leader").alias("leaders"))  # two at most
     stars = join_unique(meetings, near, ["token", "size"]).select("id", F.explode("leaders").alias("leader"))
     stars = stars.where("id <> leader").select(*ordered_pair("id", "leader")).distinct()
-    seen = compared(stars, sets, similarity)
+    marked = written(sets.select("id", "n", "tokens").mapInPandas(marks(similarity), MARKS), "marks")
+    seen = compared(stars, sets, marked, similarity)
     links = seen.where("linked").select("a", "b")
     found = components(links)
     # What the stars left open: meetings with several components.
     labelled = meetings.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     labelled = written(labelled, "labelled")
     groups = labelled.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m"))
-    main = groups.groupBy("token").agg(F.max(F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("k"))
-    main = main.where("k > 1").select("token", F.col("main.component").alias("main"))
+    main = groups.groupBy("token").agg(F.max(F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("k"), F.sum("m").alias("m"))
+    spread = F.ceil(F.col("m") / SPREAD_ROWS).cast("int").alias("spread")
+    main = main.where("k > 1").select("token", F.col("main.component").alias("main"), spread)
     open_rows = join_unique(join_unique(labelled, main, ["token"]), leaders, ["token", "size"])
     # What each set and its leader have alone.
     one = seen.select(F.col("a").alias("id"), F.col("b").alias("leader"), *_P, *_Q)
@@ -417,23 +446,102 @@ def set_components(sets: DataFrame, similarity: Similarity) -> DataFrame:
     known = open_rows.join(one.unionByName(two), ["id", "leader"], "left")
     known = known.withColumns({c: F.when(F.col("id") == F.col("leader"), F.lit(0)).otherwise(F.col(c)) for c in _P + _Q})
     known = written(known, "open")
-    cross = known.where("component <> main").alias("x").join(
-        known.alias("y"),
-        F.expr("x.token = y.token and x.component <> y.component and abs(x.size - y.size) <= 1")
+    # A hot token's first sides are dealt over tasks, its second sides go to each of them.
+    dealt = known.where("component <> main").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("spread")).cast("int"))
+    every = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
+    cross = dealt.alias("x").join(
+        every.alias("y"),
+        F.expr("x.token = y.token and x.salt = y.salt and x.component <> y.component and abs(x.size - y.size) <= 1")
         & F.expr(may_be_similar(similarity)),
     )
-    more = compared(cross.select(*ordered_pair("x.id", "y.id")).distinct(), sets, similarity)
+    more = compared(cross.select(*ordered_pair("x.id", "y.id")).distinct(), sets, marked, similarity)
     return components(links.unionByName(more.where("linked").select("a", "b")))
 
 
+# -- 3. links ----------------------------------------------------------------------------------
+
+
+TOKENS_AT_ONCE = 4096
+
+
+def _shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of ``a`` shares with each of ``b``: products of matrices, some tokens at a time."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)  # whole numbers below 2**24
+    token = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    sides = []
+    for sets in (a, b):
+        row = np.repeat(np.arange(len(sets)), [len(t) for t in sets])
+        every = np.concatenate(sets)
+        at = np.searchsorted(token, every)
+        at[at == len(token)] = 0
+        hit = token[at] == every if len(token) else np.zeros(len(every), dtype=bool)
+        order = np.argsort(at[hit], kind="stable")
+        sides.append((at[hit][order], row[hit][order], len(sets)))
+    for first in range(0, len(token), TOKENS_AT_ONCE):
+        last = min(len(token), first + TOKENS_AT_ONCE)
+        held = []
+        for at, row, n in sides:
+            lo, hi = np.searchsorted(at, [first, last])
+            matrix = np.zeros((n, last - first), dtype=np.float32)
+            matrix[row[lo:hi], at[lo:hi] - first] = 1
+            held.append(matrix)
+        out += held[0] @ held[1].T
+    return out
+
+
+def block_links(similarity: Similarity):
+    """For a pair of blocks of one component: (id, links), documents linked with each set.
+
+    ``copies`` counts a set's documents.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        first, second = (rows[rows["side"] == k] for k in (0, 1))
+        same = not len(second)
+        second = first if same else second
+        a, b = ([np.frombuffer(t, np.uint64) for t in side["tokens"]] for side in (first, second))
+        n_a, n_b = (side["n"].to_numpy(dtype=np.int64) for side in (first, second))
+        if not len(a) or not len(b):
+            return pd.DataFrame({"id": [], "links": []}, dtype="int64")
+        both = _shared_counts(a, b).astype(np.int64)
+        linked = similarity.similar(n_a[:, None], n_b[None, :], both)
+        if same:
+            np.fill_diagonal(linked, False)
+        copies_a, copies_b = (side["copies"].to_numpy(dtype=np.int64) for side in (first, second))
+        parts = [pd.DataFrame({"id": first["id"].to_numpy(), "links": linked @ copies_b})]
+        if not same:
+            parts.append(pd.DataFrame({"id": second["id"].to_numpy(), "links": linked.T @ copies_a}))
+        return pd.concat(parts)
+
+    return run
+
+
+def link_counts(sets: DataFrame, found: DataFrame, similarity: Similarity) -> DataFrame:
+    """(id, links) of the sets (id, n, tokens, copies) in components: documents whose set is similar, but not equal.
+
+    A component's sets are dealt over blocks of about LINK_BYTES; every block meets every other.
+    """
+    least = found.select("component").distinct().select(F.col("component").alias("id"), "component")  # stands for itself
+    sizes = sets.join(found.unionByName(least), "id")
+    blocks = sizes.groupBy("component").agg(F.ceil(F.sum(F.octet_length("tokens")) / LINK_BYTES).cast("int").alias("blocks"))
+    own = join_unique(sizes, blocks, ["component"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    side = F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side")
+    met = met.select("component", *pair, side, "id", "n", "tokens", "copies")
+    counted = met.groupBy("component", "i", "j").applyInPandas(block_links(similarity), "id long, links long")
+    return counted.groupBy("id").agg(F.sum("links").alias("links"))
+
+
 def jaccard_components(
-    docs: DataFrame, similarity: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, similarity: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text", links: bool = True
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id.
+    """Per row of ``docs``: doc_id, n_shingles, component_id and, with ``links``, n_links.
 
     The component is the smallest doc_id reachable over links between similar shingle sets, itself
-    included.  A text without words (null, empty, white space) has an empty set and is linked with
-    nothing.  Rows with one doc_id count as one document, which has the links of all its rows; rows
+    included; n_links counts the other rows that a row is linked with, equal sets among them.  A
+    text without words (null, empty, white space) has an empty set and is linked with nothing.  Rows
+    with one doc_id count as one document in components, which has the links of all its rows; rows
     without an id are linked with nothing and have no component.  Ids are read as whole numbers;
     other columns are not carried.
     """
@@ -445,11 +553,21 @@ def jaccard_components(
     )
     linked_sets = set_components(sets, similarity)
     # Equal sets: one document stands for all.
-    worded = found.where("n > 0 and doc_id is not null").groupBy("one", "two", "n").agg(F.min("doc_id").alias("id"))
-    component = worded.join(linked_sets, "id", "left").select("one", "two", "n", F.coalesce("component", "id").alias("component_id"))
-    alone = found.where("n = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
+    worded = found.where("n > 0 and doc_id is not null").groupBy("one", "two", "n").agg(
+        F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")
+    )
+    component = worded.join(linked_sets, "id", "left")
+    n_links = F.lit(0).cast("long")
+    if links:
+        linked_sets = written(linked_sets, "components")
+        weighed = sets.join(worded.select("one", "two", "n", "copies"), ["one", "two", "n"]).select("id", "n", "tokens", "copies")
+        counts = link_counts(weighed, linked_sets, similarity)
+        component = worded.join(linked_sets, "id", "left").join(counts, "id", "left")
+        n_links = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
+    component = component.select("one", "two", "n", F.coalesce("component", "id").alias("component_id"), n_links.alias("n_links"))
+    alone = found.where("n = 0 or doc_id is null").withColumns({"component_id": F.col("doc_id"), "n_links": F.lit(0).cast("long")})
     rest = join_unique(found.where("n > 0 and doc_id is not null"), component, ["one", "two", "n"])
-    columns = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"]
+    columns = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", *(["n_links"] if links else [])]
     return rest.select(*columns).unionByName(alone.select(*columns))
 
 
@@ -460,7 +578,7 @@ def representatives(
 
     Of rows with one id one stays, that with the least text; rows without an id all stay.
     """
-    found = jaccard_components(docs, similarity, doc_id, text).where("doc_id is not null")
+    found = jaccard_components(docs, similarity, doc_id, text, links=False).where("doc_id is not null")
     known = written(found, "components")
     later = known.where("component_id <> doc_id").select(F.col("doc_id").alias("later")).distinct()
     again = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.col("doc_id").alias("again"))

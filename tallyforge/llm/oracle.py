@@ -33,7 +33,7 @@ sizes as (select doc_id, count(*) as n from shingles group by doc_id),
 shared as (select a.doc_id as x, b.doc_id as y, count(*) as common from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all),
 links as (select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * common >= 85 * (a.n + b.n - common)),
 reached as (select doc_id as d, doc_id as r from documents union select d, y from reached join links on x = r)
-select l.doc_id, coalesce(any_value(n), 0) as n_shingles, min(r) as component_id
+select l.doc_id, coalesce(any_value(n), 0) as n_shingles, min(r) as component_id, (select count(*) from links where x = l.doc_id) as n_links
 from listed l join reached on d = l.doc_id left join sizes on sizes.doc_id = l.doc_id group by l.doc_id"""
 
 SUBSTRINGS = rf"""with listed as (select doc_id, coalesce(regexp_extract_all(text, '{WORDS}'), []) as w from documents),
@@ -161,7 +161,7 @@ cut as (select max(chance) as most from (select chance, count(*) over (order by
 spans as (select doc_id, start, 0 as kind, 'assign' as name, stop from assigned union all select doc_id, start, 1, 'access', stop from access
   union all select doc_id, start, 2, 'hex', stop from hexes union all select doc_id, start, 3, 'random', stop from weighted, cut where chance <= most),
 listed as (select doc_id, kind, start, concat(name, ':', start, ':', stop) as span from spans)
-select d.doc_id, count_if(kind = 0)::bigint as n_assign, count_if(kind = 1)::bigint as n_access, count_if(kind = 2)::bigint as n_hex,
+select d.doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex,
   sha256(coalesce(string_agg(span, ',' order by start, kind) filter (kind < 3), '')) as base_sha256,
   coalesce(string_agg(span, ',' order by start, kind), '') as spans
 from docs d left join listed l using (doc_id) group by d.doc_id"""

@@ -42,6 +42,16 @@ def jaccard_components(docs, width, percent):
     return {i: find(i) for i in parent}
 
 
+def jaccard_links(docs, width, percent):
+    """For each row the number of other rows with an id whose sets are similar, or equal."""
+    sets = [(i, shingle_set(t, width)) for i, t in docs]
+    out = []
+    for k, (i, s) in enumerate(sets):
+        others = [o for j, (d, o) in enumerate(sets) if j != k and d is not None and o and i is not None and s]
+        out.append(sum(100 * len(s & o) >= percent * len(s | o) for o in others))
+    return out
+
+
 def cut_words(docs, width):
     """Per row (id, n_words, n_removed, kept words joined)."""
     least = {}

@@ -1,9 +1,10 @@
 import hashlib
 
 import brute
+import numpy as np
 import pytest
 
-from tallyforge.llm import blocks, jaccard, queries, recompression, suffixes
+from tallyforge.llm import blocks, factors, jaccard, queries, recompression, suffixes
 
 
 def by_row(rows):
@@ -14,7 +15,8 @@ def by_row(rows):
 def test_jaccard_of_nasty_rows(spark, nasty, nasty_table, width, percent):
     found = jaccard.jaccard_components(nasty_table, jaccard.Similarity(width, percent)).collect()
     wanted = brute.jaccard_components(nasty, width, percent)
-    assert by_row(found) == by_row((i, len(brute.shingle_set(t, width)), wanted.get(i)) for i, t in nasty)
+    links = brute.jaccard_links(nasty, width, percent)
+    assert by_row(found) == by_row((i, len(brute.shingle_set(t, width)), wanted.get(i), n) for (i, t), n in zip(nasty, links))
 
 
 def test_jaccard_when_blocks_are_small_and_tokens_hot(spark, nasty, nasty_table, monkeypatch):
@@ -22,6 +24,9 @@ def test_jaccard_when_blocks_are_small_and_tokens_hot(spark, nasty, nasty_table,
     monkeypatch.setattr(jaccard, "BLOCK_BYTES", 2000)
     monkeypatch.setattr(jaccard, "BLOCK_HOT", 2)
     monkeypatch.setattr(jaccard, "PART_BYTES", 3000)
+    monkeypatch.setattr(jaccard, "SPREAD_ROWS", 3)
+    monkeypatch.setattr(jaccard, "LINK_BYTES", 5000)
+    monkeypatch.setattr(jaccard, "TOKENS_AT_ONCE", 50)
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(jaccard)
@@ -30,7 +35,8 @@ def test_jaccard_when_blocks_are_small_and_tokens_hot(spark, nasty, nasty_table,
     finally:
         cloudpickle.unregister_pickle_by_value(jaccard)
     wanted = brute.jaccard_components(nasty, 3, 70)
-    assert by_row(found) == by_row((i, len(brute.shingle_set(t, 3)), wanted.get(i)) for i, t in nasty)
+    links = brute.jaccard_links(nasty, 3, 70)
+    assert by_row(found) == by_row((i, len(brute.shingle_set(t, 3)), wanted.get(i), n) for (i, t), n in zip(nasty, links))
 
 
 def test_representatives(spark, nasty, nasty_table, empty_table):
@@ -100,19 +106,27 @@ def test_hot_anchors_and_long_texts_are_split(spark, nasty, nasty_table, monkeyp
     assert by_row((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows) == by_row(brute.cut_bytes(nasty, 100))
 
 
-def test_suffix_ranks():
-    import numpy as np
+def test_longest_previous_factors():
+    """Every suffix's factor against brute force, over random, periodic and repeated bytes."""
+    rng = np.random.default_rng(1)
+    for length in (16, 17, 24, 40, 64, 100, 130):
+        for letters, kind in ((1, "x"), (2, "twice"), (3, "x"), (200, "twice")):
+            data = rng.integers(0, letters, 330, dtype=np.uint8)
+            if kind == "twice":
+                data[165:] = data[:165]
+            starts = np.flatnonzero(rng.random(len(data) - length + 1) < 0.8)
+            wanted = []
+            for k, i in enumerate(starts.tolist()):
+                agree = [np.append(data[i : i + length] == data[j : j + length], False).argmin() for j in starts[:k].tolist()]
+                wanted.append(max(map(int, agree), default=0))
+            assert factors.factors(data, length, starts).tolist() == wanted
+
 
-    data = bytes(np.random.default_rng(1).integers(97, 99, 400, dtype=np.uint8)) * 3
-    buffer, starts = np.frombuffer(data, np.uint8), np.arange(0, 1200 - 100 + 1)
-    for length in (16, 20, 64, 100):
-        rank = suffixes.ranks(buffer, length, starts)
-        assert np.argsort(rank, kind="stable").tolist() == sorted(starts.tolist(), key=lambda i: data[i : i + length])
-        seen, wanted = set(), []
-        for i in starts.tolist():
-            wanted.append(data[i : i + length] in seen)
-            seen.add(data[i : i + length])
-        assert suffixes.repeats_earlier(buffer, length, starts).tolist() == wanted
+def test_nearest_smaller_places():
+    for values in (np.random.default_rng(2).permutation(500), np.arange(50), np.arange(50)[::-1], np.array([], dtype=int)):
+        v = values.tolist()
+        assert factors.previous_smaller(values).tolist() == [max((j for j in range(i) if v[j] < v[i]), default=-1) for i in range(len(v))]
+        assert factors.next_smaller(values).tolist() == [min((j for j in range(i + 1, len(v)) if v[j] < v[i]), default=-1) for i in range(len(v))]
 
 
 def test_empty_tables(spark, empty_table):
@@ -124,7 +138,8 @@ def test_empty_tables(spark, empty_table):
 def test_queries_on_documents(spark, sf_dir, documents):
     digest = lambda data: hashlib.sha256(data).hexdigest()
     component = brute.jaccard_components(documents, 4, 85)
-    wanted = [(i, len(brute.shingle_set(t, 4)), component[i]) for i, t in documents]
+    links = brute.jaccard_links(documents, 4, 85)
+    wanted = [(i, len(brute.shingle_set(t, 4)), component[i], n) for (i, t), n in zip(documents, links)]
     assert by_row(queries.op3_ngram_jaccard_join(spark, sf_dir).collect()) == by_row(wanted)
     wanted = [(i, n, m, digest(k.encode())) for i, n, m, k in brute.cut_words(documents, 13)]
     assert by_row(queries.op5_substring_dedup(spark, sf_dir).collect()) == by_row(wanted)

@@ -169,9 +169,9 @@ def test_leaks_in_nasty_rows(spark, nasty, nasty_table):
     assert {r.doc_id for r in left.collect()} - {None} == {i for i, _ in nasty} - bad
 
 
-def found_in(texts, items):
+def found_in(texts, items, settings=decontamination.Settings()):
     """As brute.leaks, by the operator's search of one group of items."""
-    prepared = decontamination.Items(items, decontamination.Settings())
+    prepared = decontamination.Items(items, settings)
     found = prepared.find([decontamination.normal(t) for _, t in texts])
     return {(d, i): (s, at) for (d, _), leaks in zip(texts, found) for i, s, at in leaks}
 
@@ -200,11 +200,24 @@ def test_leaks_just_above_the_similarity():
     items.append((1000, " ".join(["a", "b"] * 50 + ["a"])))
     texts.append((1000, " ".join(["b", "a"] * 50 + ["b"])))
     found = found_in(texts, items)
-    assert {i for _, i in found} == {i for i, _ in items}
+    assert len({i for _, i in found}) >= 200  # of 201; the chance to miss one at the radius is below 0.001
+    near = found_in(texts, items, decontamination.Settings(radius=7))  # the fingerprints decide
+    assert near.keys() < found.keys()
+    assert {i for _, i in found_in(texts, items, decontamination.Settings(radius=-1))} == {1000}
     assert all(0.8 <= s < 0.9 for (_, i), (s, _) in found.items() if i < 1000)
     words = dict(items)
+    same = 0
     for text in texts:  # items of one text have no words in common with the others
-        assert {k: v for k, v in found.items() if k[0] == text[0]} == brute.leaks([text], [(text[0], words[text[0]])])
+        same += {k: v for k, v in found.items() if k[0] == text[0]} == brute.leaks([text], [(text[0], words[text[0]])])
+    assert same >= 199
+
+
+def test_items_with_one_id_are_found_once(spark, monkeypatch):
+    items = [(1, "w1 w2 w3 w4 w5 w6"), (1, "x1 x2 x3 x4 x5 x6"), (2, "y1 y2 y3 y4 y5 y6")]
+    docs = spark.createDataFrame([(7, "w1 w2 w3 w4 w5 w6 x1 x2 x3 x4 x5 x6 y1 y2 y3 y4 y5 y6")], "doc_id long, text string")
+    monkeypatch.setattr(decontamination, "GROUP_ITEMS", 1)
+    rows = decontamination.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.item_id, r.similarity, r.start) for r in rows) == [(1, 1.0, 0), (2, 1.0, 12)]
 
 
 def test_benchmark_in_groups(spark, nasty_table, monkeypatch):
@@ -248,7 +261,6 @@ def encoded(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
     return [e.ids + [packing.END] for e in t.encode_batch(list(texts), add_special_tokens=False)]
 
 
@@ -285,6 +297,12 @@ def test_packing_query(spark, sf_dir, documents):
     assert {(r.doc_id, r.start): r.ids_crc32 for r in queries.op6_packing(spark, sf_dir).collect()} == crc
 
 
+def test_added_tokens_and_pieces_as_the_library_gives_them():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x<|endoftext|>", "<|endo<|endoftext|>ftext|>", "", "  \n x's 'tis ½ 字"]
+    found = tokens.Encoder(queries.tokenizer_path()).encode(texts)
+    assert [np.frombuffer(f, "<u4").tolist() + [packing.END] for f in found] == encoded(texts)
+
+
 @pytest.mark.parametrize("shape", ["same", "small", "mixed", "one", "none"])
 def test_plans_place_every_piece_once(shape):
     rng = np.random.default_rng(4)
@@ -419,6 +437,51 @@ def test_quality_is_learned_for_documents_without_labels(spark):
     assert sum(r.accepted == (r.doc_id % 3 != 0) for r in found) > 590
 
 
+def test_quality_with_an_id_repeated_many_times(spark):
+    """One unlabelled id fills most of the table; the labelled ones still teach."""
+    rows = [(-1, "lorem ipsum dolor sit amet.", "s", "xx")] * 20_000
+    for i in range(60):
+        bad = i % 2 == 0
+        rows.append((i, ("%% $$ ## buy " * 20) if bad else f"A sentence of page {i}, with an end. " * 5, "s", "xx"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    found = cotraining.quality_classifier(docs, labels).where("doc_id >= 0").collect()
+    assert sum(r.accepted == (r.doc_id % 2 == 1) for r in found) >= 58
+
+
+def test_surest_against_brute_force(spark):
+    """One round of picks: thresholds by source, one row an id, labelled ones left out, sources in turn."""
+    rnd = np.random.default_rng(2)
+    n = 3000
+    source = np.where(rnd.random(n) < 0.9, "big", np.where(rnd.random(n) < 0.7, "small", "rare"))
+    chance = np.round(rnd.beta(0.3, 0.3, (n, 2)), 4)
+    rows = [(k, str(k // 2 if k < 200 else k), str(source[k]), float(chance[k, 0]), float(chance[k, 1])) for k in range(n)]
+    scored = spark.createDataFrame(rows, "row long, id string, source string, chance0 double, chance1 double").repartition(3)
+    labelled = {str(k) for k in range(0, 3000, 7)}
+    given = spark.createDataFrame([(i, 1) for i in labelled], "id string, label int")
+    settings = cotraining.Settings(pseudo=60)
+    picked = [(r["view"], r.label, r.row) for r in cotraining.surest(scored, given, settings).collect()]
+    assert len(picked) == len(set(picked))
+    for v in (0, 1):
+        quota = round(60 * float((chance[:, v] < 0.5).mean()))
+        for label, most in ((0, quota), (1, 60 - quota)):
+            able: dict[str, set[int]] = {}
+            first: dict[str, int] = {}
+            for name in set(source):
+                own = np.sort(chance[source == name, v])
+                at = lambda q: own[max(0, int(np.ceil(q * len(own))) - 1)]  # noqa: B023, E731
+                low, high = min(at(0.05), 0.1), max(at(0.95), 0.9)
+                for k in np.flatnonzero(source == name).tolist():
+                    if (chance[k, v] <= low) if label == 0 else (chance[k, v] >= high):
+                        first[rows[k][1]] = min(first.get(rows[k][1], k), k)
+            for i, k in first.items():
+                if i not in labelled:
+                    able.setdefault(str(source[k]), set()).add(k)
+            mine = [r for w, y, r in picked if (w, y) == (v, label)]
+            assert set(mine) <= set().union(*able.values()) and len(mine) == min(most, sum(map(len, able.values())))
+            assert all(any(r in able[name] for r in mine) for name in able)  # the rare source too
+
+
 def test_quality_of_nasty_rows(spark, nasty, nasty_table, empty_table):
     labels = spark.createDataFrame([(40, 1), (41, 1), (6, 0), (7, 0), (6, None), (None, 1)], "doc_id long, quality int")
     rows = cotraining.quality_classifier(nasty_table, labels).collect()
