@@ -6,9 +6,9 @@
 2. What is left of a shard is written as the two transforms of a bidirectional FM-index.
 3. Round k extends the frequent phrases of k - 1 words by one word, at the front and at the end in
    turn, where both phrases of k - 1 words inside are frequent, and adds the counts over shards.
-   A frequent phrase is named by its first place in any shard, so equal phrases have one name
-   everywhere, without hashes; a phrase of k words is known by the names of its two inner ones.
-   Shards are told which of their phrases are frequent, and under which name.
+   Frequent phrases get numbers; a phrase of k words is known by those of its two inner ones, so
+   equal phrases meet exactly, without hashes, in sorted and packed keys of a few bytes.  Shards
+   are told which of their phrases are frequent, and under which number.
 4. Frequent phrases meet their inner ones for the counts of all beginnings and ends, which give the
    score, and for the longer ones that make them redundant.
 
@@ -22,6 +22,7 @@ the limits give no rows.  Counts are exact up to 10**15.  A piece of text stays
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,13 +36,14 @@ from pyspark.sql.window import Window
 
 from tallyforge.llm.common import written
 from tallyforge.llm.fmindex import BidirectionalIndex, transforms
+from tallyforge.llm.wordhash import BASE, from_planes, mix, planes
 from tallyforge.scale import new_path, stored_by
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20  # eight for each word
 PART_BYTES = 1 << 20  # of a text, cut into words at once
-SHARDS_A_BUCKET = 8
-# A place is a shard's number and one of its words or phrases; a shard's number is a task's and a count.
-LOCAL_BITS, SEQUENCE_BITS = 28, 16
+SHARDS_A_BUCKET = 2
+PART_TOKENS = 8_000_000  # words of text for each task that adds up counts, on average
+SEQUENCE_BITS = 32  # a shard's number is a task's and a count
 
 BORDER = b"\xff"  # in no UTF-8 text
 _PLAIN = bytearray(range(256))
@@ -130,109 +132,202 @@ def shards_of(docs: DataFrame, text: str, lang: str, shard_bytes: int) -> DataFr
     return written(read.where("text != ''").mapInArrow(cut, SHARD), "shards")
 
 
-def _word_rows(shards: DataFrame) -> DataFrame:
-    """(place, lang, phrase, n): the words of every shard."""
+# -- adding up over shards ------------------------------------------------------------------------
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+# A task sends each of its shards' keys to the task of their part, in ascending order of part and
+# key; ``base`` numbers the first one within the shard.
+SENT = "part int, shard bigint, base int, lang string, keys binary, n binary"
+_SENT = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("base", pa.int32()), ("lang", pa.string()), ("keys", pa.binary()), ("n", pa.binary())])
+# What comes back: for a shard, places of its frequent keys and their numbers; and the table of these.
+FOUND = "shard bigint, local binary, ids binary, id bigint, lang string, phrase string, left bigint, right bigint, total bigint"
+_FOUND = pa.schema(
+    [("shard", pa.int64()), ("local", pa.binary()), ("ids", pa.binary()), ("id", pa.int64()), ("lang", pa.string())]
+    + [("phrase", pa.string()), ("left", pa.int64()), ("right", pa.int64()), ("total", pa.int64())]
+)
+
+
+def _sent(part: int, shard: int, base: int, lang: str | None, keys: bytes, n: np.ndarray) -> pa.RecordBatch:
+    counts = planes(n.astype("<u4"))
+    return pa.RecordBatch.from_pylist([dict(zip(_SENT.names, (part, shard, base, lang, keys, counts)))], schema=_SENT)
+
+
+def _dealt(words: bytes, parts: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """A shard's words, their order by part, and where each part's begin in that order."""
+    said = words.split(b"\n") if words else []
+    part = np.fromiter(map(zlib.crc32, said), np.int64, len(said)) % parts
+    order = np.argsort(part, kind="stable")
+    return said, order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _told(shard: int, local: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    row = {"shard": shard, "local": planes(local.astype("<i4")), "ids": planes(ids.astype("<i8"))}
+    return pa.RecordBatch.from_pylist([row], schema=_FOUND)
+
+
+def _table(**columns) -> Iterator[pa.RecordBatch]:
+    """Rows of the table of frequent phrases."""
+    n = len(columns["id"])
+    for a in range(0, n, 50_000):
+        part = {k: v[a : a + 50_000] for k, v in columns.items()}
+        m = len(part["id"])
+        yield pa.RecordBatch.from_arrays([pa.array(part[f.name], f.type) if f.name in part else pa.nulls(m, f.type) for f in _FOUND], schema=_FOUND)
+
+
+def _frequent_words(shards: DataFrame, parts: int, min_count: int) -> DataFrame:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                said, order, cuts = _dealt(row["words"], parts)
+                n = np.frombuffer(row["counts"], "<i8")
+                for p in np.flatnonzero(np.diff(cuts)).tolist():
+                    at = order[cuts[p] : cuts[p + 1]]
+                    yield _sent(p, row["shard"], int(cuts[p]), row["lang"], b"\n".join([said[i] for i in at.tolist()]), n[at])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, part, totals = [], 0, {}
         for batch in batches:
             for row in batch.to_pylist():
-                words = row["words"].decode().split("\n") if row["words"] else []
-                for a in range(0, len(words), 50_000):
-                    part = words[a : a + 50_000]
-                    places = (row["shard"] << LOCAL_BITS) + np.arange(a, a + len(part))
-                    n = np.frombuffer(row["counts"], "<i8")[a : a + len(part)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(places), pa.array([row["lang"]] * len(part)), pa.array(part), pa.array(n)],
-                        ["place", "lang", "phrase", "n"],
-                    )
-
-    return shards.select("shard", "lang", "words", "counts").mapInArrow(run, "place bigint, lang string, phrase string, n bigint")
-
-
-def _frequent(rows: DataFrame, keys: list[str], min_count: int, tag: str) -> DataFrame:
-    """The rows of the phrases that are frequent over all shards, with total and name, written."""
-    same = Window.partitionBy(*keys)
-    told = rows.select("place", *keys, F.sum("n").over(same).alias("total"), F.min("place").over(same).alias("name"))
-    return written(told.where(F.col("total") >= min_count), tag)
-
-
-def _answers(frequent: DataFrame, name: str, parts: int) -> DataFrame:
-    """(shard, name): which of a shard's phrases are frequent, and their names; at most what it sent."""
-    local = F.col("place").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))
-    shard = F.shiftright("place", LOCAL_BITS).alias("shard")
-    told = frequent.select(shard, F.struct(local.alias("local"), "name").alias("told")).repartition(parts, "shard")
+                part = row["part"]
+                total = totals.setdefault(row["lang"], {})
+                said, n = row["keys"].split(b"\n"), from_planes(row["n"], "<u4").tolist()
+                for word, k in zip(said, n):
+                    total[word] = total.get(word, 0) + k
+                rows.append((row["shard"], row["base"], row["lang"], row["keys"]))
+        ids: dict[str, dict[bytes, int]] = {}
+        number = 0
+        for lang, total in totals.items():
+            often = [w for w, k in total.items() if k >= min_count]
+            ids[lang] = dict(zip(often, ((number + i) * parts + part for i in range(len(often)))))
+            number += len(often)
+            phrases = [w.decode() for w in often]
+            yield from _table(id=list(ids[lang].values()), lang=[lang] * len(often), phrase=phrases, total=[total[w] for w in often])
+        del totals
+        for shard, base, lang, keys in rows:
+            told = [(i, ids[lang][w]) for i, w in enumerate(keys.split(b"\n")) if w in ids[lang]]
+            if told:
+                local, number_of = np.array(told, dtype=np.int64).T
+                yield _told(shard, local + base, number_of)
+
+    sent = shards.select("shard", "lang", "words", "counts").mapInArrow(send, SENT)
+    return written(sent.repartitionById(parts, F.col("part")).mapInArrow(add, FOUND), "frequent_words")
+
+
+def _answers(frequent: DataFrame, name: str, buckets: int) -> DataFrame:
+    """(shard, name): which of a shard's phrases are frequent, and their numbers, in packed lists."""
+    told = frequent.where("shard is not null").select("shard", F.struct("local", "ids").alias("told")).repartition(buckets, "shard")
     return told.groupBy("shard").agg(F.collect_list("told").alias(name))
 
 
-def _told(column: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and names of an answer, by place."""
-    told = column[i].values
-    if told is None:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    local, name = np.asarray(told.field("local")), np.asarray(told.field("name"))
+def _answer(told: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Places, in ascending order, and numbers."""
+    local = np.concatenate([from_planes(t["local"], "<i4") for t in told]).astype(np.int64)
+    ids = np.concatenate([from_planes(t["ids"], "<i8") for t in told])
     order = np.argsort(local)
-    return local[order], name[order]
+    return local[order], ids[order]
 
 
-def _index(shards: DataFrame, words: DataFrame, depth: int, parts: int) -> DataFrame:
+def _index(shards: DataFrame, words: DataFrame, depth: int, parts: int, buckets: int) -> DataFrame:
     """(shard, names, before, after): the FM-index over each shard's frequent words."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, row in enumerate(batch.select(["shard", "seq"]).to_pylist()):
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 seq = np.frombuffer(zstandard.decompress(row["seq"]), "<i4")
-                local, name = _told(batch.column(2), i)
-                number = np.zeros(max(int(seq.max()), int(local.max(initial=0)) + 1) + 1, dtype=np.int32)
-                number[local + 1] = np.arange(1, len(local) + 1)
+                local, names = _answer(row["told"])
+                said, order, _ = _dealt(row["words"], parts)
+                number = np.zeros(len(said) + 1, dtype=np.int32)
+                number[order[local] + 1] = np.arange(1, len(local) + 1)
                 seq = np.append(number[seq], np.int32(0))
                 # Words without a neighbour are in no phrase, and one border is as good as many.
                 filled = np.concatenate([[False], seq > 0, [False]])
-                seq = seq[filled[:-2] | (filled[1:-1] & filled[2:])] if len(seq) > 1 else seq
+                seq = seq[filled[:-2] | (filled[1:-1] & filled[2:])]
                 if not seq.any():
                     continue
                 before, after = transforms(np.append(seq, np.int32(0)), depth)
                 packed = [zstandard.compress(x.astype("<i4").tobytes(), 1) for x in (before, after)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["shard"]]), *(pa.array([v], pa.binary()) for v in (name.astype("<i8").tobytes(), *packed))],
-                    ["shard", "names", "before", "after"],
-                )
+                columns = [pa.array([row["shard"]]), *(pa.array([v], pa.binary()) for v in (planes(names), *packed))]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "names", "before", "after"])
+
+    asked = shards.select("shard", "words", "seq").join(_answers(words, "told", buckets), "shard")
+    return asked.select("shard", "words", "seq", "told").mapInArrow(build, "shard bigint, names binary, before binary, after binary")
 
-    asked = shards.select("shard", "seq").join(_answers(words, "told", parts), "shard")
-    return asked.select("shard", "seq", "told").mapInArrow(build, "shard bigint, names binary, before binary, after binary")
 
+KEY = np.dtype([("left", "<i8"), ("right", "<i8")])
 
-def _phrase_rows(index: DataFrame, rounds: list[DataFrame], parts: int) -> DataFrame:
-    """(place, left, right, n): the phrases one word longer than those of the last round.
 
-    ``left`` and ``right`` name the phrase without the last and without the first word.
+def _frequent_phrases(index: DataFrame, rounds: list[DataFrame], parts: int, buckets: int, min_count: int) -> DataFrame:
+    """The phrases one word longer than those of the last round.
+
+    ``left`` and ``right`` number the phrase without the last and without the first word.
     """
     told, longest = index, len(rounds)
     for k, frequent in enumerate(rounds):
-        told = told.join(_answers(frequent, f"told{k}", parts), "shard")
+        told = told.join(_answers(frequent, f"told{k}", buckets), "shard")
     columns = ["shard", "names", "before", "after", *(f"told{k}" for k in range(longest))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                before, after = (np.frombuffer(zstandard.decompress(batch.column(c)[i].as_py()), "<i4") for c in (2, 3))
-                names = np.frombuffer(batch.column(1)[i].as_py(), "<i8")
+                row = batch.slice(i, 1).to_pylist()[0]
+                before, after = (np.frombuffer(zstandard.decompress(row[c]), "<i4") for c in ("before", "after"))
+                names = from_planes(row["names"], "<i8")
                 fm = BidirectionalIndex(before, after)
                 phrases = fm.words(len(names))
                 for k in range(longest + 1):
-                    side = k % 2
-                    phrases, near, far = fm.extended(phrases, side)
-                    left, right = (names[far], names[near]) if side == 0 else (names[near], names[far])
+                    phrases, near, far = fm.extended(phrases, k % 2)
+                    left, right = (names[far], names[near]) if k % 2 == 0 else (names[near], names[far])
+                    part = (mix(left.astype(np.uint64) * np.uint64(BASE) + right.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+                    order = np.lexsort((right, left, part))
+                    phrases, left, right, part = phrases.at(order), left[order], right[order], part[order]
                     if k < longest:
-                        local, names = _told(batch.column(4 + k), i)
+                        local, names = _answer(row[f"told{k}"])
                         phrases = phrases.at(local)
-                place = (batch.column(0)[i].as_py() << LOCAL_BITS) + np.arange(len(left))
-                table = [place, left, right, phrases.size]
-                for a in range(0, len(place), 200_000):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[a : a + 200_000].astype(np.int64)) for c in table], ["place", "left", "right", "n"]
-                    )
-
-    return told.select(*columns).mapInArrow(run, "place bigint, left bigint, right bigint, n bigint")
+                cuts = np.searchsorted(part, np.arange(parts + 1))
+                for p in np.flatnonzero(np.diff(cuts)).tolist():
+                    a, b = cuts[p], cuts[p + 1]
+                    keys = planes(np.diff(left[a:b], prepend=0)) + planes(right[a:b])
+                    yield _sent(p, row["shard"], int(a), None, zstandard.compress(keys, 1), phrases.size[a:b])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards, bases, keys, n, part = [], [], [], [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                part = row["part"]
+                shards.append(row["shard"])
+                bases.append(row["base"])
+                data = zstandard.decompress(row["keys"])
+                key = np.empty(len(data) // 16, dtype=KEY)
+                key["left"] = np.cumsum(from_planes(data[: len(data) // 2], "<i8"))
+                key["right"] = from_planes(data[len(data) // 2 :], "<i8")
+                keys.append(key)
+                n.append(from_planes(row["n"], "<u4"))
+        if not keys:
+            return
+        many = [len(k) for k in keys]
+        every, n = np.concatenate(keys), np.concatenate(n).astype(np.int64)
+        del keys
+        order = np.lexsort((every["right"], every["left"]))
+        every = every[order]
+        heads = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+        total = np.add.reduceat(n[order], heads)
+        often = total >= min_count
+        ids = np.full(len(heads), -1, dtype=np.int64)
+        ids[often] = np.arange(int(often.sum())) * parts + part
+        first = every[heads[often]]
+        yield from _table(id=ids[often], left=first["left"], right=first["right"], total=total[often])
+        told = np.empty(len(every), dtype=np.int64)
+        told[order] = np.repeat(ids, np.diff(np.append(heads, len(every))))
+        for shard, base, own in zip(shards, bases, np.split(told, np.cumsum(many)[:-1])):
+            local = np.flatnonzero(own >= 0)
+            if len(local):
+                yield _told(shard, local + base, own[local])
+
+    sent = told.select(*columns).mapInArrow(send, SENT).repartitionById(parts, F.col("part"))
+    return written(sent.mapInArrow(add, FOUND), f"frequent_{longest + 2}")
+
+
+# -- scores ---------------------------------------------------------------------------------------
 
 
 def _wide(column: str, digits: int) -> F.Column:
@@ -250,7 +345,7 @@ def _scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
         return F.struct(F.call_function("div", F.col("_whole"), both).alias("score"), k.alias("k"), left.alias("l"), right.alias("r"))
 
     cuts = F.transform(F.sequence(F.lit(1), F.size("heads") - 1), cut)
-    return table.withColumn("_whole", whole).withColumn("_cut", F.array_min(cuts)).select("lang", "phrase", "name", F.col("total").alias("a"), "_cut.l", "_cut.r", "n", "_cut.score")
+    return table.withColumn("_whole", whole).withColumn("_cut", F.array_min(cuts)).select("lang", "phrase", F.col("total").alias("a"), "_cut.l", "_cut.r", "n", "_cut.score")
 
 
 def collocations(
@@ -271,30 +366,32 @@ def collocations(
     spark = docs.sparkSession
     shards = shards_of(docs, text, lang, shard_bytes)
     totals = shards.groupBy("lang").agg(F.sum("tokens").alias("n"))
-    words = _frequent(_word_rows(shards), ["lang", "phrase"], min_count, "frequent_words")
-    buckets = max(1, -(-shards.select("shard").count() // SHARDS_A_BUCKET))
-    index = stored_by(_index(shards, words, max_words, buckets), new_path(spark, "fm_index"), ["shard"], buckets)
+    size = shards.agg(F.count("shard").alias("shards"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size.tokens // PART_TOKENS))
+    buckets = max(1, -(-size.shards // SHARDS_A_BUCKET))
+    words = _frequent_words(shards, parts, min_count)
+    index = stored_by(_index(shards, words, max_words, parts, buckets), new_path(spark, "fm_index"), ["shard"], buckets)
     array = F.array("total")
-    level = written(words.where("place = name").select("name", "lang", "phrase", "total", array.alias("heads"), array.alias("tails")), "phrases")
+    level = words.where("shard is null").select("id", "lang", "phrase", "total", array.alias("heads"), array.alias("tails"))
     levels, rounds = [], []
     for k in range(2, max_words + 1):
-        frequent = _frequent(_phrase_rows(index, rounds, buckets), ["left", "right"], min_count, f"frequent_{k}")
+        frequent = _frequent_phrases(index, rounds, parts, buckets, min_count)
         rounds.append(frequent)
-        own = frequent.where("place = name").select("name", "left", "right", "total")
-        heads = level.select(F.col("name").alias("left"), "lang", "phrase", "heads")
-        tails = level.select(F.col("name").alias("right"), F.substring_index("phrase", " ", -1).alias("last"), "tails")
+        own = frequent.where("shard is null").select("id", "left", "right", "total")
+        heads = level.select(F.col("id").alias("left"), "lang", "phrase", "heads")
+        tails = level.select(F.col("id").alias("right"), F.substring_index("phrase", " ", -1).alias("last"), "tails")
         level = written(
             own.join(heads, "left").join(tails, "right").select(
-                "name", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "total", "left", "right",
+                "id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "total", "left", "right",
                 F.concat("heads", F.array("total")).alias("heads"), F.concat(F.array("total"), "tails").alias("tails"),
             ),
             "phrases",
         )
         levels.append(level.withColumn("size", F.lit(k)))
     every = functools.reduce(DataFrame.unionByName, levels)
-    inner = [every.select((F.col("size") - 1).alias("size"), F.col(side).alias("name"), F.col("total").alias("longer")) for side in ("left", "right")]
-    longer = inner[0].unionByName(inner[1]).groupBy("size", "name").agg(F.max("longer").alias("longer"))
-    kept = every.join(longer, ["size", "name"], "left").where(F.expr(f"longer is null or 100 * longer < {absorb_percent} * total"))
+    inner = [every.select((F.col("size") - 1).alias("size"), F.col(side).alias("id"), F.col("total").alias("longer")) for side in ("left", "right")]
+    longer = inner[0].unionByName(inner[1]).groupBy("size", "id").agg(F.max("longer").alias("longer"))
+    kept = every.join(longer, ["size", "id"], "left").where(F.expr(f"longer is null or 100 * longer < {absorb_percent} * total"))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     ranked = _scored(kept, totals).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
