@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,6 +30,17 @@ def word_count(lines: DataFrame, column: str = "value") -> DataFrame:
     return found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def ngram_rows(lines: DataFrame, max_n: int = 5, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep.., phrase)``: every run of 1 to ``max_n`` words of each cleaned line, one row each.
+
+    Two generators, one after the other, so each line is cleaned once and no list of all its
+    phrases is built.  Empty lines give one empty window.  Dropping it here rather than the line
+    beforehand keeps the cleaning expression out of the scan, where it would run once more.
+    """
+    windows = lines.select(*keep, F.explode(word_windows(clean_text(column), max_n)).alias("win"))
+    return windows.where(F.col("win") != "").select(*keep, F.explode(leading_phrases("win", max_n)).alias("phrase"))
+
+
 def ngram_count(lines: DataFrame, max_n: int = 5, column: str = "value") -> DataFrame:
     """Counts of 1 to ``max_n`` word phrases inside each cleaned line.
 
@@ -35,12 +48,7 @@ def ngram_count(lines: DataFrame, max_n: int = 5, column: str = "value") -> Data
     fraction of the shuffle of their phrases, and copies are then expanded once.
     """
     merged = lines.groupBy(F.col(column).alias("line")).agg(F.count(F.lit(1)).alias("copies"))
-    windows = merged.select("copies", F.explode(word_windows(clean_text("line"), max_n)).alias("win"))
-    # Empty lines give one empty window.  Dropping it here rather than the line beforehand keeps
-    # the cleaning expression out of the scan, where it would run on every copy.
-    phrases = windows.where(F.col("win") != "").select(
-        "copies", F.explode(leading_phrases("win", max_n)).alias("phrase")
-    )
+    phrases = ngram_rows(merged, max_n, "line", ["copies"])
     return phrases.groupBy("phrase").agg(F.sum("copies").alias("n"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.functions.text import clean_text, ngrams, strip_tags, unescape_newline
+from tallyforge.functions.text import clean_text, strip_tags, unescape_newline
 from tallyforge.operators import textmodels as tm
 from tallyforge.plans import tables as t
 from tallyforge.plans.catalog import Catalog, rounded
@@ -49,10 +49,7 @@ def register(c: Catalog) -> None:
     )
     c.add(
         "ngrams",
-        lambda s, d: t.lines(s, d)
-        .select(clean_text("value").alias("line"))
-        .where("line <> ''")
-        .select(F.explode(ngrams(F.split("line", " "), 5)).alias("phrase")),
+        lambda s, d: tm.ngram_rows(t.lines(s, d)),
         """select unnest(flatten(list_transform(range(1, least(5, len(tk)) + 1), lambda k:
         list_transform(range(1, len(tk) - k + 2), lambda i: array_to_string(tk[i:i + k - 1], ' '))))) as phrase from line_tokens""",
     )

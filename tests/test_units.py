@@ -150,6 +150,18 @@ def test_clean_text_and_ngrams(spark, rows):
     assert rows(df.select(text.strip_tags(F.lit("<b>x</b>y")).alias("s")).limit(1)) == [(" x y",)]
 
 
+def test_ngram_rows_are_the_phrases_of_each_line(spark, rows):
+    lines = spark.createDataFrame([(1, "a b, A"), (2, "a b"), (2, "1"), (3, ""), (4, None)], "k int, value string")
+    found = rows(textmodels.ngram_rows(lines, 2, keep=["k"]))
+    assert found == [(1, "a b"), (1, "a"), (1, "a"), (1, "b a"), (1, "b"), (2, "a b"), (2, "a"), (2, "b")]
+
+
+def test_ngram_rows_clean_each_line_once(spark):
+    lines = spark.createDataFrame([("a b",)], "value string")
+    plan = textmodels.ngram_rows(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and plan.count("Generate explode") == 2
+
+
 def test_ngram_count_keeps_lines_apart_and_copies(spark, rows):
     lines = spark.createDataFrame([("a b",), ("a b",), ("A b!",), ("b a b c d e f",), ("1",), ("",)], "value string")
     counts = dict(rows(textmodels.ngram_count(lines)))
