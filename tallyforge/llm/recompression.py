@@ -1,132 +1,279 @@
 """Substring dedup on words, by recompression.
 
-Words are symbols.  A round names every maximal run of one symbol, then, with the symbols dealt to
-a left and a right half by their hash, every pair of a left and a right one.  Names are hashes of
-what they stand for, so they are global: equal passages get equal symbols wherever they are, but
-for some at their ends.  Each symbol carries its context, the words that decided it; a symbol whose
-context lies in a window is the same in every copy of that window.
-
-1. Each window is represented by one symbol of the highest level whose context it holds: the
-   least by a hash.  (A window that holds none, such as one long run, represents itself.)
-2. Blocks of documents exchange the representatives: those in two or more documents reveal
-   possible repeats.
-3. Only windows with such a representative are verified: blocks exchange the windows' hashes with
-   the smallest document of each.
-4. Words covered by a window that a smaller document has are removed.
+Words are symbols with global names (see ``symbols``).  A round names every maximal run of one
+symbol, then, with the symbols dealt to a left and a right half by a hash of their names, every pair
+of a left and a right one; each naming is an exchange of Spark, so equal passages get equal symbols
+wherever they are, but for some at their ends.  Each symbol carries its context, the words that
+decided it; a symbol whose context lies in a window is the same in every copy of that window.  What
+occurs in a single document gets no name, so a window with such a symbol has no copy elsewhere.
+
+1. Words are named.  Stretches of ``width`` or more words with names are a block's state.
+2. ROUNDS rounds make a level of symbols each, ever fewer and longer; all levels are kept.
+3. Each window is represented by one symbol of the highest level that has a context inside it, the
+   least by a hash, else by one of the level below, and so on.  (A window without any, such as one
+   long run, represents itself.)
+4. Windows with the same symbol that follow each other are one passage.  Each block sends its
+   distinct passages, as names of words, to the task of their symbol.  There windows are compared
+   word by word, and the smallest document of each window is told.
+5. Words covered by a window that a smaller document has are removed.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm import wordhash
-from tallyforge.llm.blocks import Block, answered, asked, contains, finished, ranges, text_blocks, with_answers
-from tallyforge.llm.wordhash import in_groups, mix, powers, runs_of, word_arrays
-
-ROUNDS = 2
-KEY_BITS = 48  # of a representative; chance meetings only cost a verification
-
-
-def compress(names, begin, end, doc, first, last, number: int):
-    """One round: (names, begin, end, doc), begin and end being those of the contexts.
-
-    ``first`` and ``last`` are, for each symbol, a place just before and just after its document:
-    contexts that need what lies beyond a document's ends are in no window.
+from tallyforge.llm.blocks import Block, finished, ranges as range_count, text_blocks
+from tallyforge.llm.common import written
+from tallyforge.llm.crcspans import ranges
+from tallyforge.llm.symbols import ALONE, LEVEL_SHIFT, Keys, dealt_words, heads_of, named_pairs, named_words, names_of, next_states, pack, unpack
+from tallyforge.llm.wordhash import mix, runs_of
+
+ROUNDS = 3
+LONGEST = 64  # windows of a passage sent as one
+WINDOWS_AT_ONCE = 400_000  # compared in one step, more if they share a symbol
+
+
+# -- levels of symbols ----------------------------------------------------------------------------
+
+
+@dataclass
+class Level:
+    """Symbols in order: names, the words from ``begin`` to ``end`` that decided them, their stretch."""
+
+    name: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    stretch: np.ndarray
+
+    def bordering(self) -> np.ndarray:
+        """Whether a symbol follows one of its stretch; one more entry for the end."""
+        inner = np.zeros(len(self.name) + 1, dtype=bool)
+        inner[1:-1] = self.stretch[1:] == self.stretch[:-1]
+        return inner
+
+
+@dataclass
+class State:
+    """A block's stretches of named words, and the levels of symbols over them."""
+
+    words: np.ndarray  # names of the words of all stretches
+    size: np.ndarray  # words of each stretch
+    doc: np.ndarray  # its document's place in the block
+    at: np.ndarray  # its first word in the document
+    ident: np.ndarray  # its document's id
+    levels: list[Level]
+
+    @classmethod
+    def read(cls, data: bytes) -> State:
+        words, size, doc, at, ident, *rest = unpack(data)
+        return cls(words, size, doc, at, ident, [Level(*rest[k : k + 4]) for k in range(0, len(rest), 4)])
+
+    def packed(self) -> bytes:
+        levels = [a for level in self.levels for a in (level.name, level.begin, level.end, level.stretch)]
+        return pack(self.words, self.size, self.doc, self.at, self.ident, *levels)
+
+    def first(self) -> np.ndarray:
+        """The first word of each stretch, among all."""
+        return np.cumsum(self.size) - self.size
+
+    def top(self) -> Level:
+        if self.levels:
+            return self.levels[-1]
+        place = np.arange(len(self.words))
+        return Level(self.words, place, place + 1, np.repeat(np.arange(len(self.size)), self.size))
+
+
+def run_bounds(level: Level) -> tuple[np.ndarray, np.ndarray]:
+    """First and last symbol of every maximal run of one symbol."""
+    same = np.zeros(len(level.name), dtype=bool)
+    same[1:] = (level.name[1:] == level.name[:-1]) & (level.stretch[1:] == level.stretch[:-1]) & (level.name[1:] != ALONE)
+    heads = np.flatnonzero(~same)
+    return heads, np.append(heads[1:], len(level.name))[: len(heads)] - 1
+
+
+def run_keys(state: State, parts: int) -> tuple[Keys, np.ndarray]:
+    """Keys (symbol, length) of the runs of two and more, and which runs these are."""
+    level = state.top()
+    heads, tails = run_bounds(level)
+    long = np.flatnonzero(tails > heads)
+    at = heads[long]
+    return Keys.of_rows(level.name[at], (tails - heads + 1)[long], state.ident[level.stretch[at]], parts), long
+
+
+def with_runs(state: State, told: list | None, parts: int) -> State:
+    """A level of runs; that a run ends is decided by the symbols next to it."""
+    level = state.top()
+    heads, tails = run_bounds(level)
+    keys, long = run_keys(state, parts)
+    name = level.name[heads]
+    name[long] = names_of(told, len(keys.left))[keys.of]
+    stretch = level.stretch[heads]
+    first = state.first()
+    before, after = first[stretch] - 1, (first + state.size)[stretch] + 1
+    inner = Level(name, name, name, stretch).bordering()
+    before = np.where(inner[:-1], level.begin[np.maximum(heads - 1, 0)], before)
+    after = np.where(inner[1:], level.end[np.minimum(tails + 1, len(level.name) - 1)], after)
+    runs = Level(name, np.minimum(before, level.begin[heads]), np.maximum(after, level.end[tails]), stretch)
+    return State(state.words, state.size, state.doc, state.at, state.ident, [*state.levels, runs])
+
+
+def halves(level: Level, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which symbols are left ones, and which of them begin a pair."""
+    left = (mix(level.name.astype(np.uint64) + np.uint64(number)) & np.uint64(1)) == 0
+    pair = np.zeros(len(left), dtype=bool)
+    named = level.name != ALONE
+    pair[:-1] = left[:-1] & ~left[1:] & named[:-1] & named[1:] & level.bordering()[1:-1]
+    return left, pair
+
+
+def pair_keys(state: State, number: int, parts: int) -> tuple[Keys, np.ndarray]:
+    level = state.top()
+    at = np.flatnonzero(halves(level, number)[1])
+    return Keys.of_rows(level.name[at], level.name[at + 1], state.ident[level.stretch[at]], parts), at
+
+
+def with_pairs(state: State, told: list | None, number: int, parts: int) -> State:
+    """The level of runs replaced by one of pairs; left symbols look to the right, right ones to the left."""
+    level = state.top()
+    left, pair = halves(level, number)
+    keys, at = pair_keys(state, number, parts)
+    name = level.name.copy()
+    name[at] = names_of(told, len(keys.left))[keys.of]
+    first = state.first()
+    inner = level.bordering()
+    next_end = np.where(inner[1:], np.append(level.end[1:], 0)[: len(name)], (first + state.size)[level.stretch] + 1)
+    back = np.where(inner[:-1], np.append(0, level.begin[:-1])[: len(name)], first[level.stretch] - 1)
+    keep = np.ones(len(name), dtype=bool)
+    keep[at + 1] = False
+    pairs = Level(name[keep], np.where(left, level.begin, back)[keep], np.where(left, next_end, level.end)[keep], level.stretch[keep])
+    return State(state.words, state.size, state.doc, state.at, state.ident, [*state.levels[:-1], pairs])
+
+
+# -- windows and passages -------------------------------------------------------------------------
+
+
+def represented(state: State, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, stretch, symbol) of the windows that can have a copy in another document.
+
+    ``symbol`` is a hash of the representing one, as unsigned number.
     """
-    # Runs: that a run ends here is decided by its neighbours.
-    joined = np.zeros(len(names), dtype=bool)
-    joined[1:] = (names[1:] == names[:-1]) & (doc[1:] == doc[:-1])
-    heads = np.flatnonzero(~joined)
-    tails = np.append(heads[1:], len(names)) - 1
-    count = (tails - heads + 1).astype(np.uint64)
-    doc_of, first, last = doc[heads], first[heads], last[heads]
-    inner = np.zeros(len(heads) + 1, dtype=bool)  # does a run border on a run of the same document?
-    inner[1:-1] = doc_of[1:] == doc_of[:-1]
-    before = np.where(inner[:-1], begin[np.maximum(heads - 1, 0)], first)
-    after = np.where(inner[1:], end[np.minimum(tails + 1, len(names) - 1)], last)
-    names = mix(names[heads] + count * np.uint64(wordhash.BASE))
-    begin, end, doc = np.minimum(before, begin[heads]), np.maximum(after, end[tails]), doc_of
-    # Pairs: left symbols look to the right, right ones to the left.
-    left = (mix(names + np.uint64(number)) & np.uint64(1)) == 0
-    near = inner[1:]  # the next symbol is of the same document
-    pair = np.zeros(len(names), dtype=bool)
-    pair[:-1] = left[:-1] & ~left[1:] & near[:-1]
-    second = np.zeros(len(names), dtype=bool)
-    second[1:] = pair[:-1]
-    next_end = np.where(near, np.append(end[1:], 0), last)
-    back_begin = np.where(inner[:-1], np.concatenate([[0], begin[:-1]]), first)
-    next_name = np.append(names[1:], np.uint64(0))
-    made = np.where(pair, mix(names * np.uint64(wordhash.BASE) + next_name), names)
-    begin = np.where(left, begin, back_begin)
-    end = np.where(left, next_end, end)
-    keep = ~second
-    return made[keep], begin[keep], end[keep], doc[keep], first[keep], last[keep]
-
-
-def representatives(words: np.ndarray, first: np.ndarray, width: int, windows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """For each window (hashes ``windows``, first words ``starts``) the hash that represents it.
-
-    ``first`` has the place of each document's first word, and the end.
+    many = np.maximum(state.size - width + 1, 0)
+    stretch = np.repeat(np.arange(len(many)), many)
+    start = np.arange(len(stretch)) - np.repeat(np.cumsum(many) - many, many) + state.first()[stretch]
+    symbol = np.zeros(len(start), dtype=np.uint64)
+    open_ = np.ones(len(start), dtype=bool)
+    alive = np.ones(len(start), dtype=bool)
+    for number in range(len(state.levels), 0, -1):
+        level = state.levels[number - 1]
+        # Contexts ascend, so those inside a window are neighbours.
+        lo = np.searchsorted(level.begin, start)
+        hi = np.maximum(np.searchsorted(level.end, start + width, side="right"), lo)
+        alone = np.append(0, np.cumsum(level.name == ALONE))
+        alive &= alone[hi] == alone[lo]
+        table = mix(level.name.astype(np.uint64) ^ np.uint64(number << LEVEL_SHIFT))
+        size = 1
+        while len(table):  # the least of a stretch of symbols, by tables of powers of two
+            hit = np.flatnonzero(open_ & alive & (hi - lo >= size) & (hi - lo < 2 * size))
+            symbol[hit] = np.minimum(table[lo[hit]], table[hi[hit] - size])
+            open_[hit] = False
+            if 2 * size > len(table) or not (open_ & (hi - lo >= 2 * size)).any():
+                break
+            table = np.minimum(table[: len(table) - size], table[size:])
+            size *= 2
+    own = np.flatnonzero(open_ & alive)
+    if len(own):
+        symbol[own] = mix(runs_of(state.words.astype(np.uint64), width)[start[own]])
+    return start[alive], stretch[alive], symbol[alive]
+
+
+class Passages:
+    """A block's passages, and the distinct ones by part and symbol, with their smallest and greatest document."""
+
+    def __init__(self, state: State, width: int, parts: int) -> None:
+        start, stretch, symbol = represented(state, width)
+        follows = np.zeros(len(start), dtype=bool)
+        follows[1:] = (start[1:] == start[:-1] + 1) & (stretch[1:] == stretch[:-1]) & (symbol[1:] == symbol[:-1])
+        heads = np.flatnonzero(~follows)
+        place = np.arange(len(start)) - np.repeat(heads, np.diff(np.append(heads, len(start))))
+        heads = np.flatnonzero(place % LONGEST == 0)
+        self.n = np.diff(np.append(heads, len(start)))  # windows of each passage
+        self.start, self.stretch, symbol = start[heads], stretch[heads], symbol[heads]
+        self.ident = state.ident[self.stretch]
+        size = self.n + width - 1
+        words = state.words.astype(np.uint64)
+        up, down = wordhash.powers(len(words) + 1)
+        sums = np.append(np.uint64(0), np.cumsum(mix(words) * up[: len(words)], dtype=np.uint64))
+        mark = mix((sums[self.start + size] - sums[self.start]) * down[self.start]) + size.astype(np.uint64)
+        part = (mix(symbol) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((self.ident, mark, symbol, part))
+        heads = heads_of(part[order], symbol[order], mark[order])
+        many = np.diff(np.append(heads, len(order)))
+        leader, group = order[np.repeat(heads, many)], np.repeat(np.arange(len(heads)), many)
+        # Passages of one hash are one only if their words are.
+        fits = size[order] == size[leader]
+        some = np.flatnonzero(fits & (order != leader))
+        of, long = np.repeat(some, size[order[some]]), size[order[some]]
+        differ = state.words[ranges(self.start[order[some]], long)] != state.words[ranges(self.start[leader[some]], long)]
+        fits[of[differ]] = False
+        odd = np.flatnonzero(~fits)
+        group[odd] = len(heads) + np.arange(len(odd))
+        lead = np.concatenate([order[heads], order[odd]])
+        by_part = np.lexsort((symbol[lead], part[lead]))
+        place = np.empty(len(lead), dtype=np.int64)
+        place[by_part] = np.arange(len(lead))
+        self.of = np.empty(len(order), dtype=np.int64)
+        self.of[order] = place[group]
+        self.lead = lead[by_part]
+        self.symbol, self.size = symbol[self.lead], size[self.lead]
+        self.least = np.full(len(lead), np.iinfo(np.int64).max)
+        np.minimum.at(self.least, self.of, self.ident)
+        self.most = np.full(len(lead), np.iinfo(np.int64).min)
+        np.maximum.at(self.most, self.of, self.ident)
+        self.cuts = np.searchsorted(part[self.lead], np.arange(parts + 1))
+
+
+def smallest_documents(symbol, least, n, words, width: int) -> np.ndarray:
+    """For every window of the passages (in turn) the smallest document that has it.
+
+    Passages are sorted by symbol; ``words`` has their words one after another.  Windows are the
+    same if their symbols and all their words are.
     """
-    n = len(words)
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    low, high = first[:-1][doc] - 1, first[1:][doc] + 1
-    names, begin, end = words, np.arange(n), np.arange(1, n + 1)
-    for number in range(1, ROUNDS + 1):
-        names, begin, end, doc, low, high = compress(names, begin, end, doc, low, high, number)
-    # What a symbol's context says, in words: more selective than the symbol alone, as global.
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(words * up[:n], out=sums[1:], dtype=np.uint64)
-    inside = (begin >= 0) & (end <= n)
-    a, b = np.where(inside, begin, 0), np.where(inside, end, 0)
-    value = mix(mix((sums[b] - sums[a]) * down[a]) + (b - a).astype(np.uint64))
-    value[~inside] = np.uint64(2**64 - 1)
-    # Contexts ascend, so those inside a window are neighbours: the least by tables of powers of two.
-    lo = np.searchsorted(begin, starts)
-    hi = np.searchsorted(end, starts + width, side="right")
-    many = hi - lo
-    out = windows.copy()
-    table, size = value, 1
-    while True:
-        hit = np.flatnonzero((many >= size) & (many < 2 * size))
-        if len(hit):
-            out[hit] = np.minimum(table[lo[hit]], table[hi[hit] - size])
-        if not (many >= 2 * size).any():
-            return out
-        table = np.minimum(table[: len(table) - size], table[size:])
-        size *= 2
-
-
-def windows_of(texts: list[bytes], width: int):
-    """(words, first, windows, starts, doc of each window) of all texts."""
-    words, first = word_arrays(texts)
-    runs = runs_of(words, width)
-    many = np.maximum(np.diff(first) - width + 1, 0)
-    doc = np.repeat(np.arange(len(texts)), many)
-    starts = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + first[:-1][doc]
-    return words, first, runs[starts], starts, doc
-
-
-def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending distinct values and how often each occurs."""
-    values = np.sort(values)
-    heads = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, dtype=np.int64)
-    return values[heads], np.diff(np.append(heads, len(values)))
-
-
-def once_per_id(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The keys, each once for every id it occurs with."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    new = np.ones(len(keys), dtype=bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
-    return keys[new]
-
-
-PAIR = np.dtype([("least", "<i8"), ("span", "<i8")])
+    size = n + width - 1
+    first = np.cumsum(size) - size
+    runs = runs_of(words.astype(np.uint64), width)
+    out = np.empty(int(n.sum()), dtype=np.int64)
+    ends, a, done = np.cumsum(n), 0, 0
+    while a < len(n):
+        b = max(a + 1, int(np.searchsorted(ends, done + WINDOWS_AT_ONCE, side="right")))
+        b = int(np.searchsorted(symbol, symbol[b - 1], side="right"))  # equal symbols stay together
+        own = np.repeat(np.arange(a, b), n[a:b])
+        at = ranges(first[a:b], n[a:b])
+        order = np.lexsort((runs[at], symbol[own]))
+        heads = heads_of(symbol[own[order]], runs[at[order]])
+        many = np.diff(np.append(heads, len(order)))
+        leader, group = order[np.repeat(heads, many)], np.repeat(np.arange(len(heads)), many)
+        same = np.ones(len(order), dtype=bool)
+        for j in range(width):
+            same &= words[at[order] + j] == words[at[leader] + j]
+        others: dict[tuple, int] = {}
+        for k in np.flatnonzero(~same).tolist():  # other words of the same hash
+            key = (int(group[k]), words[at[order[k]] : at[order[k]] + width].tobytes())
+            group[k] = others.setdefault(key, len(heads) + len(others))
+        smallest = np.full(len(heads) + len(others), np.iinfo(np.int64).max)
+        np.minimum.at(smallest, group, least[own[order]])
+        part = np.empty(len(order), dtype=np.int64)
+        part[order] = smallest[group]
+        out[done : done + len(part)] = part
+        a, done = b, done + len(part)
+    return out
 
 
 def without_words(text: bytes, gone: np.ndarray) -> bytes:
@@ -138,6 +285,69 @@ def without_words(text: bytes, gone: np.ndarray) -> bytes:
     return b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
 
 
+# -- the job --------------------------------------------------------------------------------------
+
+
+def words_by_text(row: dict) -> Iterator[tuple[int, np.int64, list[bytes]]]:
+    """(place in the block, id, words) of the block's documents with an id."""
+    block = Block.of(row)
+    for i in np.flatnonzero(block.known).tolist():
+        yield i, block.ids[i], block.texts[i].split()
+
+
+def word_counts(row: dict) -> Counter:
+    """How many of the block's documents have each word."""
+    counts: Counter = Counter()
+    for _, _, words in words_by_text(row):
+        counts.update(set(words))
+    return counts
+
+
+def stretches(row: dict, width: int, parts: int) -> State:
+    """The block's stretches of ``width`` or more words with names."""
+    counts = word_counts(row)
+    distinct, _ = dealt_words(counts, parts)
+    name = dict(zip(distinct, names_of(row["words"], len(distinct)).tolist()))
+    kept, size, doc, at, ident = [np.empty(0, dtype=np.int64)], [], [], [], []
+    for i, number, words in words_by_text(row):
+        if len(words) < width:
+            continue
+        names = np.fromiter(map(name.__getitem__, words), np.int64, len(words))
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], names != ALONE, [False]]).astype(np.int8)))
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            if b - a >= width:
+                kept.append(names[a:b])
+                size.append(b - a)
+                doc.append(i)
+                at.append(a)
+                ident.append(number)
+    columns = [np.array(c, dtype=np.int64) for c in (size, doc, at, ident)]
+    return State(np.concatenate(kept), *columns, [])
+
+
+def symbol_levels(blocks: DataFrame, width: int, parts: int) -> DataFrame:
+    """(block, state): each block's stretches of named words, with ROUNDS levels of symbols."""
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                state = stretches(row, width, parts).packed()
+                yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([state], pa.binary())], ["block", "state"])
+
+    named = blocks.join(named_words(blocks, word_counts, parts), "block", "left")
+    states = written(named.mapInArrow(begin, "block long, state binary"), "words")
+    for number in range(1, ROUNDS + 1):
+        told = named_pairs(states, lambda data: run_keys(State.read(data), parts)[0], 2 * number - 1, parts)
+        states = next_states(states, told, lambda data, told: with_runs(State.read(data), told, parts).packed(), "runs")
+        told = named_pairs(states, lambda data, k=number: pair_keys(State.read(data), k, parts)[0], 2 * number, parts)
+        states = next_states(states, told, lambda data, told, k=number: with_pairs(State.read(data), told, k, parts).packed(), "pairs")
+    return states
+
+
+PASSAGES = "part int, block long, base int, data binary"
+
+
 def substring_dedup(
     docs: DataFrame, width: int = 13, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False
 ) -> DataFrame:
@@ -154,92 +364,92 @@ def substring_dedup(
     """
     spark = docs.sparkSession
     docs = docs.withColumn(doc_id, F.col(f"`{doc_id}`").cast("long"))
-    shift = np.uint64(64 - KEY_BITS)
     blocks = text_blocks(docs, doc_id, text)
     size = blocks.agg(F.sum("bytes")).first()[0] or 0
-    parts = ranges(size // 15, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-    def parts_of(block: Block):
-        at = 0
-        for texts in in_groups(block.texts):
-            yield at, texts
-            at += len(texts)
-
-    def ask_representatives(block: Block, row: dict):
-        found = []
-        for at, texts in parts_of(block):
-            words, first, windows, starts, doc = windows_of(texts, width)
-            if not len(starts):
-                continue
-            keys = representatives(words, first, width, windows, starts) >> shift
-            ok = block.known[at + doc]
-            found.append(once_per_id(keys[ok], block.ids[at + doc[ok]]))
-        keys, count = distinct(np.concatenate(found) if found else np.empty(0, dtype=np.uint64))
-        return keys, np.minimum(count, 2).astype(np.uint8)
-
-    def shared(keys, of, count):
-        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        total = np.add.reduceat(count.astype(np.int64), heads)
-        return np.repeat(total > 1, np.diff(np.append(heads, len(keys)))), None
-
-    def ask_windows(block: Block, row: dict):
-        known, _ = answered(row, "shared")
-        hashes, ids = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
-        for at, texts in parts_of(block):
-            words, first, windows, starts, doc = windows_of(texts, width)
-            if not len(starts):
-                continue
-            keys = representatives(words, first, width, windows, starts) >> shift
-            hit = contains(known, keys)[0] & block.known[at + doc]
-            hashes.append(windows[hit])
-            ids.append(block.ids[at + doc[hit]])
-        hashes, ids = np.concatenate(hashes), np.concatenate(ids)
-        order = np.argsort(hashes, kind="stable")
-        hashes, ids = hashes[order], ids[order]
-        if not len(hashes):
-            return hashes, np.empty(0, dtype=PAIR)
-        heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        least, most = np.minimum.reduceat(ids, heads), np.maximum.reduceat(ids, heads)
-        extra = np.empty(len(heads), dtype=PAIR)
-        extra["least"], extra["span"] = least, most - least
-        return hashes[heads], extra
-
-    def smallest(hashes, of, extra):
-        heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        least = np.repeat(np.minimum.reduceat(extra["least"], heads), np.diff(np.append(heads, len(hashes))))
-        return least < extra["least"] + extra["span"], least
+    parts = range_count(size // 15, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    states = symbol_levels(blocks, width, parts)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                state = State.read(row["state"])
+                found = Passages(state, width, parts)
+                for p in np.flatnonzero(np.diff(found.cuts)).tolist():
+                    a, b = found.cuts[p], found.cuts[p + 1]
+                    words = state.words[ranges(found.start[found.lead[a:b]], found.size[a:b])]
+                    data = pack(found.symbol[a:b].view(np.int64), found.least[a:b], found.most[a:b], found.size[a:b], words)
+                    columns = [pa.array([p], pa.int32()), pa.array([row["block"]], pa.int64()), pa.array([a], pa.int32()), pa.array([data], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["part", "block", "base", "data"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [(row["block"], row["base"], unpack(row["data"])) for batch in batches for row in batch.to_pylist()]
+        if not got:
+            return
+        symbol, least, most, size, words = (np.concatenate([g[2][k] for g in got]) for k in range(5))
+        many = [len(g[2][0]) for g in got]
+        got = [g[:2] for g in got]
+        n = size - width + 1
+        order = np.argsort(symbol.view(np.uint64), kind="stable")
+        sorted_words = words[ranges((np.cumsum(size) - size)[order], size[order])]
+        told = smallest_documents(symbol.view(np.uint64)[order], least[order], n[order], sorted_words, width)
+        back = np.empty(len(n), dtype=np.int64)
+        back[order] = np.cumsum(n[order]) - n[order]
+        told = told[ranges(back, n)]
+        useful = np.maximum.reduceat((told < np.repeat(most, n)).astype(np.int8), np.cumsum(n) - n) > 0
+        begin, at = np.cumsum(n) - n, 0
+        for (block, base), m in zip(got, many):
+            local = np.flatnonzero(useful[at : at + m])
+            if len(local):
+                data = pack(local + base, told[ranges(begin[at + local], n[at + local])])
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["block", "local"])
+            at += m
+
+    def mark(data: bytes, told: list | None) -> bytes:
+        """(document, first word) of every window that a smaller document has."""
+        state = State.read(data)
+        found = Passages(state, width, parts)
+        n = found.size - width + 1
+        least = np.full(int(n.sum()), np.iinfo(np.int64).max)
+        begin = np.cumsum(n) - n
+        for answer in told or ():
+            local, values = unpack(answer)
+            least[ranges(begin[local], n[local])] = values
+        own = np.repeat(np.arange(len(found.n)), found.n)
+        place = ranges(np.zeros(len(found.n), dtype=np.int64), found.n)
+        gone = least[begin[found.of[own]] + place] < found.ident[own]
+        own, place = own[gone], place[gone]
+        stretch = found.stretch[own]
+        return pack(state.doc[stretch], state.at[stretch] + found.start[own] - state.first()[stretch] + place)
+
+    sent = states.select("block", "state").mapInArrow(send, PASSAGES).repartitionById(parts, F.col("part"))
+    told = sent.mapInArrow(judge, "block long, local binary").groupBy("block").agg(F.collect_list("local").alias("told"))
+    marks = next_states(states, told, mark, "marks").withColumnRenamed("state", "marks")
 
     def result(block: Block, row: dict):
-        known, least = answered(row, "smallest", "<i8")
+        doc, start = unpack(row["marks"]) if row["marks"] is not None else (np.empty(0, dtype=np.int64),) * 2
+        order = np.argsort(doc, kind="stable")
+        doc, start = doc[order], start[order]
+        cuts = np.searchsorted(doc, np.arange(len(block.texts) + 1)).tolist()
         out = {"n_words": [], "n_removed": [], "kept_text": []}
         texts_left: list[str | None] = []
-        for at, texts in parts_of(block):
-            words, first, windows, starts, doc = windows_of(texts, width)
-            gone = np.zeros(len(words) + 1, dtype=np.int64)
-            hit, where = contains(known, windows)
-            hit &= block.known[at + doc]
-            if hit.any():
-                hit[hit] = least[where[hit]] < block.ids[at + doc[hit]]
-                np.add.at(gone, starts[hit], 1)
-                np.add.at(gone, starts[hit] + width, -1)
-            gone = np.cumsum(gone)[:-1] > 0
-            for whole, a, b in zip(texts, first.tolist(), first[1:].tolist()):
-                split = whole.split()
-                cut = gone[a:b]
+        for i, whole in enumerate(block.texts):
+            split = whole.split()
+            n_words, n = len(split), 0
+            own = start[cuts[i] : cuts[i + 1]]
+            if len(own):
+                change = np.bincount(own, minlength=n_words + 1) - np.bincount(own + width, minlength=n_words + 1)
+                cut = np.cumsum(change)[:n_words] > 0
                 n = int(cut.sum())
-                if n:
-                    split = [w for w, g in zip(split, cut.tolist()) if not g]
-                if keep_text:
-                    null = block.null[len(texts_left)]
-                    texts_left.append(None if null else (without_words(whole, cut) if n else whole).decode())
-                out["n_words"].append(b - a)
-                out["n_removed"].append(n)
-                out["kept_text"].append(b" ".join(split).decode())
+                split = [w for w, g in zip(split, cut.tolist()) if not g]
+            if keep_text:
+                texts_left.append(None if block.null[i] else (without_words(whole, cut) if n else whole).decode())
+            out["n_words"].append(n_words)
+            out["n_removed"].append(n)
+            out["kept_text"].append(b" ".join(split).decode())
         if keep_text:
             out[text] = texts_left
         return out
 
-    reveal = asked(blocks, ask_representatives, shared, "u1", parts, KEY_BITS)
-    verify = asked(with_answers(blocks, reveal, "shared"), ask_windows, smallest, PAIR.descr, parts)
     schema = "n_words long, n_removed long, kept_text string" + (f", `{text}` string" if keep_text else "")
-    return finished(with_answers(blocks, verify, "smallest"), result, docs, text, schema)
+    return finished(blocks.join(marks, "block", "left"), result, docs, text, schema)

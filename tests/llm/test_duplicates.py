@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import brute
 import numpy as np
@@ -62,21 +63,45 @@ def test_repeated_words_of_nasty_rows(spark, nasty, nasty_table, width):
         assert r.n_removed or r.text == nasty[r.row][1]
 
 
-def test_windows_are_represented_by_symbols():
-    """Equal windows choose equal symbols, whatever stands around them; most need no hash of their own."""
+def test_equal_passages_have_equal_symbols_inside(spark):
+    """Three levels; symbols decided within a passage are the same in each of its places, in any block."""
     import random
 
-    import numpy as np
-
     rnd = random.Random(2)
-    window = [f"w{rnd.randrange(40)}" for _ in range(13)]
-    texts = [" ".join([*(f"w{rnd.randrange(40)}" for _ in range(50)), *window, *(f"w{rnd.randrange(40)}" for _ in range(50))]).encode() for _ in range(30)]
-    words, first, windows, starts, doc = recompression.windows_of(texts, 13)
-    chosen = recompression.representatives(words, first, 13, windows, starts)
-    at = starts - first[doc] == 50
-    assert len(set(chosen[at].tolist())) == 1
-    assert len(np.unique(chosen)) < 0.7 * len(np.unique(windows))
-    assert (chosen == windows).mean() < 0.3
+    say = lambda n: [f"w{rnd.randrange(40)}" for _ in range(n)]
+    passage = [*say(30), *["again"] * 5, *say(35)]
+    texts = [" ".join([*say(20 + i), *passage, *say(30)]) for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = recompression.symbol_levels(blocks.text_blocks(docs), 13, 3).collect()
+    assert len(rows) == 4
+    inside: dict[int, list] = {}
+    used = Counter()
+    for row in rows:
+        state = recompression.State.read(row.state)
+        assert len(state.levels) == recompression.ROUNDS == 3
+        assert len(state.words) >= 1.2 * len(state.levels[0].name) >= 1.4 * len(state.levels[1].name) >= 1.6 * len(state.levels[2].name)
+        assert state.size.tolist() == [len(texts[i].split()) for i in state.ident.tolist()]  # all words are shared
+        for s, (i, first) in enumerate(zip(state.ident.tolist(), state.first().tolist())):
+            at = first + 20 + i
+            for k, level in enumerate(state.levels):
+                here = (level.stretch == s) & (level.begin >= at) & (level.end <= at + len(passage))
+                found = [(b - at, e - at, n) for b, e, n in zip(level.begin[here].tolist(), level.end[here].tolist(), level.name[here].tolist())]
+                assert found and recompression.ALONE not in [n for *_, n in found]
+                inside.setdefault(k, []).append(found)
+        start, stretch, symbol = recompression.represented(state, 13)
+        used.update(zip((start - state.first()[stretch] - 20 - state.ident[stretch]).tolist(), symbol.tolist()))
+    assert all(f == found[0] for found in inside.values() for f in found)
+    places = {p for p, _ in used if 0 <= p <= len(passage) - 13}
+    assert len(places) == len(passage) - 12  # every window of the passage is kept, under one symbol
+    assert all(used[p, s] == 12 for p, s in used if p in places)
+    assert len({s for p, s in used if p in places}) < 0.5 * len(places)
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(recompression, "runs_of", lambda words, width: np.zeros(max(0, len(words) - width + 1), dtype=np.uint64))
+    words = np.array([1, 2, 3, 4, 1, 2, 3, 5, 2, 3, 4], dtype=np.int64)  # passages of 4, 4 and 3 words
+    symbol, least, n = np.array([7, 7, 7], dtype=np.uint64), np.array([30, 20, 10]), np.array([2, 2, 1])
+    assert recompression.smallest_documents(symbol, least, n, words, 3).tolist() == [20, 10, 20, 20, 10]
 
 
 @pytest.mark.parametrize("length", [100, 81])
