@@ -59,14 +59,16 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stored_by(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+def stored_by(df: DataFrame, path: str, keys: Sequence[str], buckets: int, dealt: bool = False) -> DataFrame:
     """``stored``, one file for each of ``buckets`` hash ranges of ``keys``.
 
-    A join on the keys with a side repartitioned to as many parts reads the files in place.  The
+    A join on the keys with a side repartitioned to as many parts reads the files in place.  With
+    ``dealt``, rows come from such a join and lie in the right tasks, so they are not moved.  The
     table stays in the session's catalog, under the folder's name, until ``remove``.
     """
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    write = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("compression", "zstd")
+    rows = df if dealt else df.repartition(buckets, *keys)
+    write = rows.write.bucketBy(buckets, *keys).option("compression", "zstd")
     write.option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
 
