@@ -153,65 +153,62 @@ class Items:
                 if n not in self.classes:
                     self.classes[n] = SizeClass(n, settings)
                 self.classes[n].add(item, words)
-        self.longest = max(self.classes, default=0)
-        # Shingles of the benchmark, by width (items shorter than a shingle are one).
+        # Shingles of the benchmark, by width (items shorter than a shingle are one), with the
+        # number of words of the items that have them.
         self.known: dict[int, np.ndarray] = {}
+        self.lengths: dict[int, np.ndarray] = {}
         self.filters: dict[int, np.ndarray] = {}
-        for c in self.classes.values():
-            here = np.fromiter(set().union(*c.shingles), dtype=np.uint64)
-            self.known[c.width] = np.union1d(self.known.get(c.width, here), here)
-        for width, values in self.known.items():
+        for width in {c.width for c in self.classes.values()}:
+            pairs = sorted({(s, c.n) for c in self.classes.values() if c.width == width for held in c.shingles for s in held})
+            self.known[width] = np.array([s for s, _ in pairs], dtype=np.uint64)
+            self.lengths[width] = np.array([n for _, n in pairs], dtype=np.int64)
             self.filters[width] = np.zeros(1 << FILTER_BITS, dtype=bool)
-            self.filters[width][values >> np.uint64(64 - FILTER_BITS)] = True
+            self.filters[width][self.known[width] >> np.uint64(64 - FILTER_BITS)] = True
 
-    def hits(self, words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """All shingles of the width, and the places of those that the benchmark has."""
-        runs = runs_of(words, width)
+    def hits(self, words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All shingles of the width, the places of those that the benchmark has, and the lengths of their items."""
+        runs, known = runs_of(words, width), self.known[width]
         maybe = np.flatnonzero(self.filters[width][runs >> np.uint64(64 - FILTER_BITS)])
-        return runs, maybe[np.isin(runs[maybe], self.known[width])]
+        low, high = np.searchsorted(known, runs[maybe]), np.searchsorted(known, runs[maybe], side="right")
+        return runs, np.repeat(maybe, high - low), self.lengths[width][ranges(low, high - low)]
 
     def find(self, texts: list[bytes]) -> list[list[tuple[int, float, int]]]:
         """For each text its leaks (item, similarity, first word), the best window of each item."""
         words, first = word_arrays(texts)
         best: list[dict[int, tuple[float, int]]] = [{} for _ in texts]
         for width in self.known:
-            runs, hits = self.hits(words, width)
+            runs, hits, length = self.hits(words, width)
             doc = np.searchsorted(first, hits, side="right") - 1
             inside = hits + width <= first[doc + 1]
-            hits, doc = hits[inside], doc[inside]
-            for d in np.unique(doc).tolist():
-                self._find_in(best[d], words, runs, hits[doc == d], int(first[d]), int(first[d + 1]), width)
-                self._find_whole(best[d], words, runs, int((doc == d).sum()), int(first[d]), int(first[d + 1]), width)
+            hits, doc, length = hits[inside], doc[inside], length[inside]
+            for d, n in sorted(set(zip(doc.tolist(), length.tolist()))):
+                own = hits[(doc == d) & (length == n)]
+                self._find_in(best[d], self.classes[n], runs, own, int(first[d]), int(first[d + 1]))
         return [sorted((item, s, -at) for item, (s, at) in b.items()) for b in best]
 
-    def _find_in(self, best, words, runs, hits, begin, end, width) -> None:
-        """Windows of one document around its benchmark shingles, in stretches."""
-        low = np.maximum(hits - self.longest, begin)
-        edges = np.flatnonzero(low[1:] > hits[:-1] + self.longest) + 1
+    def _find_in(self, best, c, runs, hits, begin, end) -> None:
+        """Windows of one document around the shingles it has of the items of a class, in stretches.
+
+        A document of fewer words than the items is one window as a whole.
+        """
+        if end - begin < c.n:
+            size = end - begin
+            if 2 * len(hits) >= c.needed(size):
+                prints = fingerprints(runs[begin : end - c.width + 1], np.zeros(1, dtype=np.int64), size - c.width + 1)
+                self._verify(best, c, np.array([begin]), size, prints, runs, begin)
+            return
+        low = np.maximum(hits - c.n, begin)
+        edges = np.flatnonzero(low[1:] > hits[:-1] + c.n) + 1
         for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(hits)]):
-            left, right = int(low[a]), min(end, int(hits[b - 1]) + self.longest + width)
+            left, right = int(low[a]), min(end, int(hits[b - 1]) + c.n + c.width)
             for at in range(left, right, STRETCH):
                 to = min(right, at + STRETCH)
-                here = runs[at : min(end, to + self.longest)]
-                sums = bit_sums(here)
-                for c in self.classes.values():
-                    if c.width != width:
-                        continue
-                    starts = np.arange(at, min(to, end - c.n + 1))
-                    if len(starts):
-                        known = np.searchsorted(hits, starts + c.n - width, side="right") - np.searchsorted(hits, starts)
-                        starts = starts[2 * known >= c.needed(c.n)]
-                    if len(starts):
-                        self._verify(best, c, starts, c.n, fingerprints(here, starts - at, c.n - width + 1, sums), runs, begin)
-
-    def _find_whole(self, best, words, runs, known, begin, end, width) -> None:
-        """The whole document as a window, for the items that have more words than it."""
-        size, prints = end - begin, None
-        for c in self.classes.values():
-            if c.width == width and c.n > size and 2 * known >= c.needed(size):
-                if prints is None:
-                    prints = fingerprints(runs[begin : end - width + 1], np.zeros(1, dtype=np.int64), size - width + 1)
-                self._verify(best, c, np.array([begin]), size, prints, runs, begin)
+                starts = np.arange(at, min(to, end - c.n + 1))
+                known = np.searchsorted(hits, starts + c.n - c.width, side="right") - np.searchsorted(hits, starts)
+                starts = starts[2 * known >= c.needed(c.n)]
+                if len(starts):
+                    prints = fingerprints(runs[at : min(end, to + c.n)], starts - at, c.n - c.width + 1)
+                    self._verify(best, c, starts, c.n, prints, runs, begin)
 
     def _verify(self, best, c, starts, size, prints, runs, begin) -> None:
         """Windows of ``size`` words against the items of a class that they meet."""
