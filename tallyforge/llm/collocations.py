@@ -12,8 +12,8 @@
 4. Frequent phrases meet their inner ones for the counts of all beginnings and ends, which give the
    score, and for the longer ones that make them redundant.
 
-A text never moves; counts of phrases move once a round.  The index stays where it was written, by
-shard, and only answers are brought to it.
+A shard moves once, packed, to be stored by number; counts of phrases move once a round.  The index
+stays in its place, and only answers are brought to it.
 
 Defined cases: null texts are empty; a null language is ``und``.  Empty tables and languages below
 the limits give no rows.  Counts are exact up to 10**15.  A piece of text stays in one shard.
@@ -40,9 +40,10 @@ from tallyforge.llm.wordhash import BASE, from_planes, mix, planes
 from tallyforge.scale import new_path, stored_by
 
 SHARD_BYTES = 8 << 20  # eight for each word
-PART_BYTES = 1 << 20  # of a text, cut into words at once
-SHARDS_A_BUCKET = 2
-PART_TOKENS = 8_000_000  # words of text for each task that adds up counts, on average
+TEXT_BYTES = 1 << 20  # of a text, cut into words at once
+BUCKET_BYTES = 12 << 20  # of text whose shards lie in one file
+MOST_BUCKETS = 100_000  # Spark's bound; files grow beyond
+PART_BYTES = 48 << 20  # of text for each task that adds up counts, on average
 SEQUENCE_BITS = 32  # a shard's number is a task's and a count
 
 BORDER = b"\xff"  # in no UTF-8 text
@@ -54,11 +55,11 @@ _PLAIN = bytes(_PLAIN)
 
 
 def tokens_of(text: str) -> Iterator[list[bytes]]:
-    """Small-letter words of a text, a BORDER between its pieces, in lists of some PART_BYTES."""
+    """Small-letter words of a text, a BORDER between its pieces, in lists of some TEXT_BYTES."""
     data = text.encode().translate(_PLAIN)
     at = 0
     while at < len(data):
-        end = min(len(data), at + PART_BYTES)
+        end = min(len(data), at + TEXT_BYTES)
         while end < len(data) and data[end] not in b" \t\xff":  # not within a word
             end += 1
         yield data[at:end].replace(BORDER, b" \xff ").split()
@@ -91,13 +92,17 @@ class _Shard:
     def row(self, shard: int, lang: str) -> dict:
         seq = np.concatenate(self.parts)
         counts = np.bincount(seq, minlength=len(self.numbers))[1:]
+        order = np.argsort(-counts, kind="stable")  # frequent words get small numbers, which pack well
+        number = np.zeros(len(self.numbers), dtype=np.int32)
+        number[order + 1] = np.arange(1, len(order) + 1)
+        words = list(self.numbers)[1:]
         return {
             "shard": shard,
             "lang": lang,
             "tokens": int(counts.sum()),
-            "words": b"\n".join(list(self.numbers)[1:]),
-            "counts": counts.astype("<i8").tobytes(),
-            "seq": zstandard.compress(seq.astype("<i4").tobytes(), 1),
+            "words": zstandard.compress(b"\n".join([words[i] for i in order.tolist()]), 1),
+            "counts": zstandard.compress(planes(counts[order].astype("<u4")), 1),
+            "seq": zstandard.compress(planes(number[seq]), 1),
         }
 
 
@@ -105,8 +110,8 @@ SHARD = "shard bigint, lang string, tokens bigint, words binary, counts binary,
 _SHARD = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("tokens", pa.int64()), *((c, pa.binary()) for c in ("words", "counts", "seq"))])
 
 
-def shards_of(docs: DataFrame, text: str, lang: str, shard_bytes: int) -> DataFrame:
-    """``docs`` as written shards of one language each; a task's open shards stay within two full ones."""
+def shards_of(docs: DataFrame, text: str, lang: str, shard_bytes: int, buckets: int) -> DataFrame:
+    """``docs`` as shards of one language each, stored by number; a task's open shards stay within two full ones."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, done = TaskContext.get().partitionId(), 0
@@ -129,7 +134,7 @@ def shards_of(docs: DataFrame, text: str, lang: str, shard_bytes: int) -> DataFr
             yield close(name)
 
     read = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"))
-    return written(read.where("text != ''").mapInArrow(cut, SHARD), "shards")
+    return stored_by(read.where("text != ''").mapInArrow(cut, SHARD), new_path(docs.sparkSession, "shards"), ["shard"], buckets)
 
 
 # -- adding up over shards ------------------------------------------------------------------------
@@ -153,7 +158,8 @@ def _sent(part: int, shard: int, base: int, lang: str | None, keys: bytes, n: np
 
 def _dealt(words: bytes, parts: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """A shard's words, their order by part, and where each part's begin in that order."""
-    said = words.split(b"\n") if words else []
+    said = zstandard.decompress(words).split(b"\n")
+    said = [] if said == [b""] else said
     part = np.fromiter(map(zlib.crc32, said), np.int64, len(said)) % parts
     order = np.argsort(part, kind="stable")
     return said, order, np.searchsorted(part[order], np.arange(parts + 1))
@@ -178,7 +184,7 @@ def _frequent_words(shards: DataFrame, parts: int, min_count: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 said, order, cuts = _dealt(row["words"], parts)
-                n = np.frombuffer(row["counts"], "<i8")
+                n = from_planes(zstandard.decompress(row["counts"]), "<u4")
                 for p in np.flatnonzero(np.diff(cuts)).tolist():
                     at = order[cuts[p] : cuts[p + 1]]
                     yield _sent(p, row["shard"], int(cuts[p]), row["lang"], b"\n".join([said[i] for i in at.tolist()]), n[at])
@@ -233,11 +239,13 @@ def _index(shards: DataFrame, words: DataFrame, depth: int, parts: int, buckets:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                seq = np.frombuffer(zstandard.decompress(row["seq"]), "<i4")
+                seq = from_planes(zstandard.decompress(row["seq"]), "<i4")
                 local, names = _answer(row["told"])
                 said, order, _ = _dealt(row["words"], parts)
                 number = np.zeros(len(said) + 1, dtype=np.int32)
-                number[order[local] + 1] = np.arange(1, len(local) + 1)
+                often = order[local]
+                by_number = np.argsort(often)
+                number[often[by_number] + 1], names = np.arange(1, len(local) + 1), names[by_number]
                 seq = np.append(number[seq], np.int32(0))
                 # Words without a neighbour are in no phrase, and one border is as good as many.
                 filled = np.concatenate([[False], seq > 0, [False]])
@@ -245,7 +253,7 @@ def _index(shards: DataFrame, words: DataFrame, depth: int, parts: int, buckets:
                 if not seq.any():
                     continue
                 before, after = transforms(np.append(seq, np.int32(0)), depth)
-                packed = [zstandard.compress(x.astype("<i4").tobytes(), 1) for x in (before, after)]
+                packed = [zstandard.compress(planes(x.astype("<i4")), 1) for x in (before, after)]
                 columns = [pa.array([row["shard"]]), *(pa.array([v], pa.binary()) for v in (planes(names), *packed))]
                 yield pa.RecordBatch.from_arrays(columns, ["shard", "names", "before", "after"])
 
@@ -270,7 +278,7 @@ def _frequent_phrases(index: DataFrame, rounds: list[DataFrame], parts: int, buc
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                before, after = (np.frombuffer(zstandard.decompress(row[c]), "<i4") for c in ("before", "after"))
+                before, after = (from_planes(zstandard.decompress(row[c]), "<i4") for c in ("before", "after"))
                 names = from_planes(row["names"], "<i8")
                 fm = BidirectionalIndex(before, after)
                 phrases = fm.words(len(names))
@@ -364,13 +372,13 @@ def collocations(
     language's words.  A phrase inside a longer one with ``absorb_percent`` of its count is left out.
     """
     spark = docs.sparkSession
-    shards = shards_of(docs, text, lang, shard_bytes)
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    buckets = max(1, min(MOST_BUCKETS, -(-size // BUCKET_BYTES)))
+    shards = shards_of(docs, text, lang, shard_bytes, buckets)
     totals = shards.groupBy("lang").agg(F.sum("tokens").alias("n"))
-    size = shards.agg(F.count("shard").alias("shards"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size.tokens // PART_TOKENS))
-    buckets = max(1, -(-size.shards // SHARDS_A_BUCKET))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     words = _frequent_words(shards, parts, min_count)
-    index = stored_by(_index(shards, words, max_words, parts, buckets), new_path(spark, "fm_index"), ["shard"], buckets)
+    index = stored_by(_index(shards, words, max_words, parts, buckets), new_path(spark, "fm_index"), ["shard"], buckets, dealt=True)
     array = F.array("total")
     level = words.where("shard is null").select("id", "lang", "phrase", "total", array.alias("heads"), array.alias("tails"))
     levels, rounds = [], []

@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 from tallyforge.llm import langid, ngrams
 from tallyforge.llm.common import free_name, without, words_of, written
 from tallyforge.llm.wordhash import from_planes, planes
+from tallyforge.scale import join_unique
 
 KINDS = 64  # buckets of each categorical column
 MARKS = "#*$%&|<>"
@@ -212,7 +213,7 @@ def surest(scored: DataFrame, given: DataFrame, s: Settings) -> DataFrame:
     edge = lambda v: F.percentile_approx(f"chance{v}", [s.share, 1 - s.share], 10_000).alias(f"edge{v}")
     edges = scored.groupBy("source").agg(edge(0), edge(1))
     found = scored.agg(*(F.avg((F.col(f"chance{v}") < 0.5).cast("int")).alias(f"bad{v}") for v in (0, 1))).first()
-    marked = scored.where("id is not null").join(edges, "source")
+    marked = join_unique(scored.where("id is not null"), edges, ["source"])
     picks = []
     for v in (0, 1):
         chance, edge_of = F.col(f"chance{v}"), F.col(f"edge{v}")

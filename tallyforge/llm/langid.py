@@ -23,7 +23,6 @@ from tallyforge.llm import ngrams
 from tallyforge.llm.common import free_name, without
 
 UNKNOWN = "und"
-LANGUAGES = 10_000  # most languages learned, the most frequent ones
 
 
 @dataclass(frozen=True)
@@ -31,6 +30,7 @@ class Settings:
     bits: int = 14  # n-grams are hashed into 2**bits buckets
     longest: int = 3
     per_language: int = 600  # bound of the fitted sample, for each language
+    languages: int = 10_000  # bound of the languages learned, the most frequent ones
     calibration_share: float = 0.25
     epochs: int = 4
     alpha: float = 0.5
@@ -139,15 +139,15 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return best
 
 
-def sampled(usable: DataFrame, per_language: int) -> DataFrame:
-    """(label, text, turn): different texts of each label, at most ``per_language``, by a hash.
+def sampled(usable: DataFrame, per_language: int, languages: int = Settings.languages) -> DataFrame:
+    """(label, text, turn): different texts of each of the most frequent ``languages``, at most ``per_language``, by a hash.
 
     Copies count once, however many there are.  Texts are thinned by a hash where they are read, to
     some four times those wanted, so that the task which picks a language's sample does not get
     more from a larger corpus.
     """
     texts = F.approx_count_distinct(F.xxhash64("text")).alias("texts")
-    counts = usable.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), texts).orderBy(F.desc("rows"), "label").limit(LANGUAGES)
+    counts = usable.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), texts).orderBy(F.desc("rows"), "label").limit(languages)
     chance = F.pmod(F.xxhash64(F.lit(13), "text"), F.lit(1 << 30)) / (1 << 30)
     thin = usable.join(F.broadcast(counts), "label").where(chance < 4 * per_language / F.col("texts"))
     order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(11), "text"), "text")
@@ -164,7 +164,7 @@ def train(rows: DataFrame, text: str, language: str, settings: Settings = Settin
     if not n_rows:
         return None
     idf = np.log((1 + n_rows) / (1 + held)) + 1
-    sample = sampled(usable, settings.per_language)
+    sample = sampled(usable, settings.per_language, settings.languages)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -205,7 +205,7 @@ def train(rows: DataFrame, text: str, language: str, settings: Settings = Settin
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """All rows with ``lang_pred`` and its calibrated probability ``score``.
 
-    Texts that are null or have no letter, and all texts when nothing was learned, get ``und``
+    Of languages with equal chances the first by name is predicted.  Texts that are null or have no letter, and all texts when nothing was learned, get ``und``
     and score 0.
     """
     names = ["lang_pred", "score"]

@@ -40,6 +40,26 @@ def test_jaccard_when_blocks_are_small_and_tokens_hot(spark, nasty, nasty_table,
     assert by_row(found) == by_row((i, len(brute.shingle_set(t, 3)), wanted.get(i), n) for (i, t), n in zip(nasty, links))
 
 
+def test_further_orders_leave_fewer_pairs_to_verify(spark):
+    """Of all pairs that meet under the first order, the others drop some, and none that is similar."""
+    rng = np.random.default_rng(4)
+    similarity = jaccard.Similarity(1, 80)
+    core = rng.integers(0, 1 << 40, 30, dtype=np.uint64)
+    sets = []
+    for k in range(120):
+        kept = core[rng.random(30) < rng.choice([0.97, 0.6])]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 40, int(rng.integers(0, 8)), dtype=np.uint64)])))
+    table = spark.createDataFrame([(k, len(t), t.tobytes()) for k, t in enumerate(sets)], "id long, n int, tokens binary")
+    first = [set(jaccard.prefix(t, len(t), 0, similarity).tolist()) for t in sets]
+    sizes = lambda a, b: 80 * len(a) <= 100 * len(b) and 80 * len(b) <= 100 * len(a)
+    met = [(a, b) for b in range(120) for a in range(b) if first[a] & first[b] and sizes(sets[a], sets[b])]
+    marked = table.mapInPandas(jaccard.marks(similarity), jaccard.MARKS)
+    pairs = spark.createDataFrame(met, "a long, b long")
+    left = {(r.a, r.b) for r in jaccard.candidates(pairs, marked, similarity).collect()}
+    alike = {(a, b) for a, b in met if similarity.similar(len(sets[a]), len(sets[b]), len(np.intersect1d(sets[a], sets[b])))}
+    assert alike <= left < set(met) and len(alike) > 100 and len(met) - len(left) > 50
+
+
 def test_representatives(spark, nasty, nasty_table, empty_table):
     left = jaccard.representatives(nasty_table)
     assert left.columns == nasty_table.columns

@@ -77,9 +77,9 @@ def test_no_collocations(spark):
 
 
 def test_long_texts_are_cut_into_words_whole():
-    text = "word " * 300_000 + "x" * (collocations.PART_BYTES + 5) + " y.z"
+    text = "word " * 300_000 + "x" * (collocations.TEXT_BYTES + 5) + " y.z"
     found = [t for part in collocations.tokens_of(text) for t in part]
-    assert len(found) == 300_004 and found[-4:] == [b"x" * (collocations.PART_BYTES + 5), b"y", b"\xff", b"z"]
+    assert len(found) == 300_004 and found[-4:] == [b"x" * (collocations.TEXT_BYTES + 5), b"y", b"\xff", b"z"]
 
 
 @pytest.mark.parametrize("symbols", [1, 2, 3, 30])
