@@ -62,6 +62,7 @@ counted as (select doc_id, line, len(w) as n, length(regexp_replace(line, '[\x20
   len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) as stutters from lines where len(w) > 0),
 failing as (select *, symbols > 0.5 * n or shouts > 0.5 * n or (letters >= 20 and upper > lower and upper >= 0.7 * letters)
   or (n >= 6 and stutters >= 0.5 * n) or (marks >= 2 and n - marks <= 4 * (marks + 1))
+  or (n <= 25 and regexp_matches(line, '(\.\.\.|…)[\x20\x09-\x0D]*$'))
   or (n <= 25 and regexp_matches(line, '{BOILERPLATE.pattern}', 'i')) as fails from counted),
 by_doc as (select doc_id, count(*) - count(distinct line) as dup, coalesce(sum(chars) filter (fails), 0) as lost from failing group by doc_id),
 measured as (select doc_id, cast(len(w) as bigint) as n_words, length(array_to_string(w, '')) as word_chars,

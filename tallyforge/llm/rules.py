@@ -1,7 +1,7 @@
 """Quality rules: clean line by line first, then reject documents that lost too much.
 
-Every line is judged alone, by punctuation, shouting, repetition, navigation and boilerplate
-rules.  Failing lines are removed; a document whose removed lines held more than ``max_lost`` of
+Every line is judged alone, by punctuation (symbols, exclamation marks, a broken-off end), shouting,
+repetition, navigation and boilerplate rules, the last in four languages.  Failing lines are removed; a document whose removed lines held more than ``max_lost`` of
 its word characters is rejected, as are documents that fail the base rules (too few words, or too
 many words inside repeated three-word windows).
 
@@ -25,9 +25,14 @@ NAVIGATION = re.compile(r"[|»›•·]|\s>\s")
 BOILERPLATE = re.compile(
     r"all rights reserved|licen[sc]ed under|released under the|terms of (?:use|service)|privacy policy"
     r"|cookie|copyright|©|javascript|lorem ipsum|sign (?:in|up)\b|log ?in\b|subscribe|click here"
-    r"|read more|share (?:this|on)|powered by",
+    r"|read more|share (?:this|on)|powered by"
+    # German, French and Spanish pages
+    r"|alle rechte vorbehalten|nutzungsbedingungen|datenschutzerkl|impressum\b|weiterlesen|hier klicken|jetzt abonnieren"
+    r"|tous droits r[ée]serv|mentions l[ée]gales|conditions d.utilisation|politique de confidentialit|lire la suite|cliquez ici|abonnez-vous"
+    r"|todos los derechos reservados|aviso legal|condiciones de uso|pol[íi]tica de privacidad|leer m[áa]s\b|haga clic|suscr[íi]bete|iniciar sesi[óo]n",
     re.IGNORECASE,
 )
+TEASER = ("...", "…")  # a line that breaks off
 
 
 @dataclass(frozen=True)
@@ -43,6 +48,7 @@ class LineRules:
     navigation_marks: int = 2
     navigation_words: float = 4.0  # most words between two marks, on average
     boilerplate_words: int = 25  # longer lines only mention such a phrase
+    teaser_words: int = 25  # longer lines may end in an ellipsis
     max_lost: float = 0.5  # of the document's word characters
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -66,6 +72,8 @@ def line_fails(line: str, words: list[bytes], rules: LineRules) -> bool:
     marks = len(NAVIGATION.findall(line))
     if marks >= rules.navigation_marks and n - marks <= rules.navigation_words * (marks + 1):
         return True
+    if n <= rules.teaser_words and line.rstrip(SPACES).endswith(TEASER):
+        return True
     return n <= rules.boilerplate_words and BOILERPLATE.search(line) is not None
 
 

@@ -352,9 +352,9 @@ def test_rules_of_nasty_rows(spark, nasty, nasty_table, empty_table):
 
 def test_lines_that_fail():
     fails = lambda line: rules.line_fails(line, brute.words(line), rules.LineRules())
-    for line in ["Home | About | Contact us", "THIS IS ALL VERY LOUD AND LONG", "a$$$ b%%% c***", "no! no! no!", "x x x x x x x", "All rights reserved.", "Click here to read more"]:
+    for line in ["Home | About | Contact us", "THIS IS ALL VERY LOUD AND LONG", "a$$$ b%%% c***", "no! no! no!", "x x x x x x x", "All rights reserved.", "Click here to read more", "The story of a town that ...", "Und dann kam der Tag, an dem…  ", "Alle Rechte vorbehalten", "Lire la suite", "© Todos los derechos reservados", "Política de privacidad | Aviso legal"]:
         assert fails(line), line
-    for line in ["A plain sentence about shells.", "NASA", "We paid 5% | or so.", "The cookie that she baked for the long winter evenings was what they all remembered years later, when the house by the sea had long been sold to strangers."]:
+    for line in ["A plain sentence about shells.", "NASA", "Sie las weiter, bis es dunkel wurde.", "He said ... nothing at all.", "We paid 5% | or so.", "The cookie that she baked for the long winter evenings was what they all remembered years later, when the house by the sea had long been sold to strangers."]:
         assert not fails(line), line
     loud = "BUY NOW BUY NOW AND NEVER STOP\n" * 3
     plain = " ".join(f"word{i}" for i in range(60))
