@@ -397,6 +397,38 @@ def test_language_of_nasty_rows(spark, nasty, nasty_table, empty_table):
     assert {r.lang_pred for r in langid.language_id(unlabelled).collect()} == {"und"}
 
 
+def test_predictions_against_plain_arithmetic(spark):
+    """Document frequencies, features and chances of a trained model, text by text."""
+    import math
+    import random
+
+    rnd = random.Random(9)
+    letters = {"aa": "abcdeéf", "bb": "bcdxyz", "cc": "aexyzñ"}
+    say = lambda k, n: " ".join("".join(rnd.choices(letters[k], k=rnd.randrange(1, 7))) for _ in range(n))
+    rows = [(say(k, rnd.randrange(1, 30)), k) for k in letters for _ in range(40)] + [("", "aa"), (None, "bb"), ("12 !", None)]
+    settings = langid.Settings(bits=9)
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string").repartition(3), "text", "lang", settings)
+    known = [t for t, k in rows if t is not None and k is not None]
+    held = Counter(b for t in known for b in ngrams.counts([t], 9, 3)[1].tolist())
+    idf = [math.log((1 + len(known)) / (1 + held[b])) + 1 for b in range(512)]
+    assert model.idf.tolist() == pytest.approx(idf) and model.languages == ["aa", "bb", "cc"]
+    texts = [say(k, 8) for k in letters] + ["xyz", "abc"] + [t for t, _ in rows[:20]]
+    for text, name, score in zip(texts, *model.predict(texts)):
+        _, bucket, count = ngrams.counts([text], 9, 3)
+        value = [(1 + math.log(c)) * idf[b] for b, c in zip(bucket.tolist(), count.tolist())]
+        norm = math.sqrt(sum(v * v for v in value))
+        odds = [sum(v / norm * model.weights[b, k] for b, v in zip(bucket.tolist(), value)) + model.weights[-1, k] for k in range(3)]
+        chances = [math.exp(o / model.temperature) for o in odds]
+        best = max(range(3), key=lambda k: chances[k])  # noqa: B023
+        assert (name, score) == (model.languages[best], pytest.approx(chances[best] / sum(chances)))
+
+
+def test_only_the_most_frequent_languages_are_learned(spark):
+    rows = [(f"{k} text {i}", k) for k, n in (("aa", 9), ("bb", 5), ("cc", 5)) for i in range(n)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert langid.train(docs, "text", "lang", langid.Settings(languages=2)).languages == ["aa", "bb"]
+
+
 def test_copies_do_not_crowd_out_the_sample(spark):
     """Nine of ten rows are copies of a few texts; all different texts fit into the sample, or fill it."""
     rows = spark.range(20_000).selectExpr("'xx' as label", "if(id % 10 > 0, concat('copy ', id % 3), concat('text ', id)) as text")
