@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 
 from tallyforge.llm.common import written
 from tallyforge.llm.wordhash import from_planes, from_steps, planes, steps
+from tallyforge.scale import new_path, stored_by
 
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 20_000
@@ -62,11 +63,12 @@ def _sink(table: pa.Table) -> bytes:
 
 
 def text_blocks(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int | None = None
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int | None = None, buckets: int | None = None
 ) -> DataFrame:
     """``docs``, whose ids are longs, as written blocks of ``block_bytes`` (BLOCK_BYTES), or one longer text.
 
-    The columns besides the text are kept in ``rest``.
+    The columns besides the text are kept in ``rest``.  With ``buckets`` the blocks are stored by
+    number in so many files, where answers can be brought to them.
     """
     names, most = docs.columns, block_bytes or BLOCK_BYTES
     id_at, text_at = names.index(doc_id), names.index(text)
@@ -102,6 +104,8 @@ def text_blocks(
     arrow_schema = pa.schema(
         [("block", pa.int64()), ("bytes", pa.int64()), *((n, pa.binary()) for n in ("ids", "known", "sizes", "texts", "rest"))]
     )
+    if buckets:
+        return stored_by(docs.mapInArrow(cut, SCHEMA), new_path(docs.sparkSession, "text_blocks"), ["block"], buckets)
     return written(docs.mapInArrow(cut, SCHEMA), "blocks")
 
 

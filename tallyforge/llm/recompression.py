@@ -8,7 +8,8 @@ decided it; a symbol whose context lies in a window is the same in every copy of
 occurs in a single document gets no name, so a window with such a symbol has no copy elsewhere.
 
 1. Words are named.  Stretches of ``width`` or more words with names are a block's state.
-2. ROUNDS rounds make a level of symbols each, ever fewer and longer; all levels are kept.
+2. ROUNDS rounds make a level of symbols each, ever fewer and longer; all levels are kept.  After
+   each, words that lie in no window whose symbols all have names are dropped.
 3. Each window is represented by one symbol of the highest level that has a context inside it, the
    least by a hash, else by one of the level below, and so on.  (A window without any, such as one
    long run, represents itself.)
@@ -38,6 +39,8 @@ from tallyforge.llm.wordhash import mix, runs_of
 
 ROUNDS = 3
 LONGEST = 64  # windows of a passage sent as one
+BUCKET_BYTES = 16 << 20  # of text whose blocks lie in one file
+MOST_BUCKETS = 100_000  # Spark's bound; files grow beyond
 WINDOWS_AT_ONCE = 400_000  # compared in one step, more if they share a symbol
 
 
@@ -194,6 +197,32 @@ def represented(state: State, width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return start[alive], stretch[alive], symbol[alive]
 
 
+def pruned(state: State, width: int) -> State:
+    """Without the words that no window left can cover; symbols stay that are decided within what stays.
+
+    A window left in two places has the same symbols decided inside it in both, also in later rounds.
+    """
+    start, _, _ = represented(state, width)
+    change = np.bincount(start, minlength=len(state.words) + 1) - np.bincount(start + width, minlength=len(state.words) + 1)
+    covered = np.concatenate([[False], np.cumsum(change)[:-1] > 0, [False]])
+    own = np.repeat(np.arange(len(state.size)), state.size)
+    covered_in = np.where(covered[1:-1], own, -1)  # stretches that touch stay apart
+    edge = np.flatnonzero(np.diff(covered_in, prepend=-1))
+    edge = edge[covered_in[edge] >= 0]
+    end = np.append(np.flatnonzero(np.diff(covered_in) != 0) + 1, len(covered_in))
+    end = end[np.searchsorted(end, edge, side="right")]
+    of, size = own[edge], end - edge
+    first = np.cumsum(size) - size
+    levels = []
+    for level in state.levels:
+        at = np.searchsorted(edge, level.begin, side="right") - 1
+        keep = np.flatnonzero((at >= 0) & (level.end <= np.append(end, -1)[at]))
+        moved = (first - edge)[at[keep]]
+        levels.append(Level(level.name[keep], level.begin[keep] + moved, level.end[keep] + moved, at[keep]))
+    words = state.words[ranges(edge, size)]
+    return State(words, size, state.doc[of], state.at[of] + edge - state.first()[of], state.ident[of], levels)
+
+
 class Passages:
     """A block's passages, and the distinct ones by part and symbol, with their smallest and greatest document."""
 
@@ -325,23 +354,26 @@ def stretches(row: dict, width: int, parts: int) -> State:
     return State(np.concatenate(kept), *columns, [])
 
 
-def symbol_levels(blocks: DataFrame, width: int, parts: int) -> DataFrame:
-    """(block, state): each block's stretches of named words, with ROUNDS levels of symbols."""
-
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                state = stretches(row, width, parts).packed()
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([state], pa.binary())], ["block", "state"])
+def symbol_levels(blocks: DataFrame, width: int, parts: int, buckets: int) -> DataFrame:
+    """(block, state): each block's stretches of named words, with ROUNDS levels of symbols.
 
-    named = blocks.join(named_words(blocks, word_counts, parts), "block", "left")
-    states = written(named.mapInArrow(begin, "block long, state binary"), "words")
+    Blocks and states are stored by number; only names move.
+    """
+    named = blocks.join(named_words(blocks, word_counts, parts, buckets), "block", "left")
+    states = next_states(named, lambda row: stretches(row, width, parts).packed(), buckets)
     for number in range(1, ROUNDS + 1):
-        told = named_pairs(states, lambda data: run_keys(State.read(data), parts)[0], 2 * number - 1, parts)
-        states = next_states(states, told, lambda data, told: with_runs(State.read(data), told, parts).packed(), "runs")
-        told = named_pairs(states, lambda data, k=number: pair_keys(State.read(data), k, parts)[0], 2 * number, parts)
-        states = next_states(states, told, lambda data, told, k=number: with_pairs(State.read(data), told, k, parts).packed(), "pairs")
+        runs = named_pairs(states, lambda row: run_keys(State.read(row["state"]), parts)[0], 2 * number - 1, parts, buckets, "runs")
+        states = states.join(written(runs, "runs").repartition(buckets, "block"), "block", "left")
+
+        def of_runs(row: dict) -> State:
+            return with_runs(State.read(row["state"]), row["runs"], parts)
+
+        pairs = named_pairs(states, lambda row, k=number: pair_keys(of_runs(row), k, parts)[0], 2 * number, parts, buckets, "pairs")
+        states = next_states(
+            states.join(pairs, "block", "left"),
+            lambda row, k=number: pruned(with_pairs(of_runs(row), row["pairs"], k, parts), width).packed(),
+            buckets,
+        )
     return states
 
 
@@ -364,11 +396,12 @@ def substring_dedup(
     """
     spark = docs.sparkSession
     docs = docs.withColumn(doc_id, F.col(f"`{doc_id}`").cast("long"))
-    blocks = text_blocks(docs, doc_id, text)
-    size = blocks.agg(F.sum("bytes")).first()[0] or 0
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    buckets = max(1, min(MOST_BUCKETS, -(-size // BUCKET_BYTES)))
+    blocks = text_blocks(docs, doc_id, text, buckets=buckets)
     parts = range_count(size // 15, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    states = symbol_levels(blocks, width, parts)
+    states = symbol_levels(blocks, width, parts, buckets)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -405,14 +438,14 @@ def substring_dedup(
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["block", "local"])
             at += m
 
-    def mark(data: bytes, told: list | None) -> bytes:
+    def mark(row: dict) -> bytes:
         """(document, first word) of every window that a smaller document has."""
-        state = State.read(data)
+        state = State.read(row["state"])
         found = Passages(state, width, parts)
         n = found.size - width + 1
         least = np.full(int(n.sum()), np.iinfo(np.int64).max)
         begin = np.cumsum(n) - n
-        for answer in told or ():
+        for answer in row["told"] or ():
             local, values = unpack(answer)
             least[ranges(begin[local], n[local])] = values
         own = np.repeat(np.arange(len(found.n)), found.n)
@@ -423,8 +456,9 @@ def substring_dedup(
         return pack(state.doc[stretch], state.at[stretch] + found.start[own] - state.first()[stretch] + place)
 
     sent = states.select("block", "state").mapInArrow(send, PASSAGES).repartitionById(parts, F.col("part"))
-    told = sent.mapInArrow(judge, "block long, local binary").groupBy("block").agg(F.collect_list("local").alias("told"))
-    marks = next_states(states, told, mark, "marks").withColumnRenamed("state", "marks")
+    told = sent.mapInArrow(judge, "block long, local binary").repartition(buckets, "block")
+    told = told.groupBy("block").agg(F.collect_list("local").alias("told"))
+    marks = next_states(states.join(told, "block", "left"), mark, buckets).withColumnRenamed("state", "marks")
 
     def result(block: Block, row: dict):
         doc, start = unpack(row["marks"]) if row["marks"] is not None else (np.empty(0, dtype=np.int64),) * 2

@@ -20,26 +20,32 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import written
 from tallyforge.llm.wordhash import BASE, from_planes, mix, planes
+from tallyforge.scale import new_path, stored_by
 
 ALONE = -1  # the name of what a single document has
 LEVEL_SHIFT = 56  # names of different rounds differ in the bits from here on
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers in one string."""
-    parts = [planes(np.diff(a.astype("<i8"), prepend=0)) for a in arrays]
-    head = np.array([len(parts), *map(len, parts)], dtype="<i8").tobytes()
+    """Arrays of whole numbers in one string, ascending ones as their differences."""
+    parts, kinds = [], []
+    for a in arrays:
+        step = np.diff(a.astype("<i8"), prepend=0)
+        kinds.append(int(not len(step) or step[1:].min(initial=0) >= 0))
+        parts.append(planes(step if kinds[-1] else a.astype("<i8")))
+    head = np.array([len(parts), *map(len, parts), *kinds], dtype="<i8").tobytes()
     return zstandard.compress(head + b"".join(parts), 1)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
     data = zstandard.decompress(data)
     n = int(np.frombuffer(data, "<i8", 1)[0])
-    ends = 8 * (n + 1) + np.cumsum(np.frombuffer(data, "<i8", n, 8))
-    starts = np.append(8 * (n + 1), ends[:-1])
-    return [np.cumsum(from_planes(data[a:b], "<i8")) for a, b in zip(starts.tolist(), ends.tolist())]
+    ends = 8 * (2 * n + 1) + np.cumsum(np.frombuffer(data, "<i8", n, 8))
+    starts = np.append(8 * (2 * n + 1), ends[:-1])
+    kinds = np.frombuffer(data, "<i8", n, 8 * (n + 1))
+    values = [from_planes(data[a:b], "<i8") for a, b in zip(starts.tolist(), ends.tolist())]
+    return [np.cumsum(v) if k else v for v, k in zip(values, kinds.tolist())]
 
 
 def heads_of(*columns: np.ndarray) -> np.ndarray:
@@ -65,9 +71,9 @@ def _told(block: int, local: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([pack(local, names)], pa.binary())], ["block", "local"])
 
 
-def _gathered(told: DataFrame, name: str) -> DataFrame:
+def _gathered(told: DataFrame, name: str, buckets: int) -> DataFrame:
     """One list of answers for each block; a block gets at most as many as it asked."""
-    return told.groupBy("block").agg(F.collect_list("local").alias(name))
+    return told.repartition(buckets, "block").groupBy("block").agg(F.collect_list("local").alias(name))
 
 
 def names_of(told: list[bytes] | None, keys: int) -> np.ndarray:
@@ -90,7 +96,7 @@ def dealt_words(counts: Counter, parts: int) -> tuple[list[bytes], np.ndarray]:
     return [words[i] for i in order.tolist()], np.searchsorted(part[order], np.arange(parts + 1))
 
 
-def named_words(blocks: DataFrame, counted: Callable[[dict], Counter], parts: int) -> DataFrame:
+def named_words(blocks: DataFrame, counted: Callable[[dict], Counter], parts: int, buckets: int) -> DataFrame:
     """(block, words): the names of each block's words; ``counted`` gives how many documents have each."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +117,8 @@ def named_words(blocks: DataFrame, counted: Callable[[dict], Counter], parts: in
                 rows.append((row["block"], row["base"], row["keys"]))
                 for word, many in zip(zstandard.decompress(row["keys"]).split(b"\n"), row["many"]):
                     total[word] += many
-        shared = {w: i * parts + part for i, w in enumerate(w for w, n in total.items() if n > 1)}
+        # Frequent words get small names, which pack well.
+        shared = {w: i * parts + part for i, (w, n) in enumerate(total.most_common()) if n > 1}
         del total
         for block, base, keys in rows:
             names = np.array([shared.get(w, ALONE) for w in zstandard.decompress(keys).split(b"\n")], dtype=np.int64)
@@ -120,7 +127,7 @@ def named_words(blocks: DataFrame, counted: Callable[[dict], Counter], parts: in
                 yield _told(block, local + base, names[local])
 
     sent = blocks.mapInArrow(send, SENT).repartitionById(parts, F.col("part"))
-    return _gathered(sent.mapInArrow(add, TOLD), "words")
+    return _gathered(sent.mapInArrow(add, TOLD), "words", buckets)
 
 
 # -- pairs of numbers -----------------------------------------------------------------------------
@@ -150,13 +157,14 @@ class Keys:
         return cls(a[heads], b[heads], many, np.searchsorted(p[heads], np.arange(parts + 1)), of)
 
 
-def named_pairs(states: DataFrame, keys_of: Callable[[bytes], Keys], level: int, parts: int) -> DataFrame:
-    """(block, told): the names of each block's pairs, by their place in its ``Keys``."""
+def named_pairs(states: DataFrame, keys_of: Callable[[dict], Keys], level: int, parts: int, buckets: int, name: str) -> DataFrame:
+    """(block, name): the names of each block's pairs, by their place in its ``Keys``."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                keys = keys_of(row["state"])
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                keys = keys_of(row)
                 for p in np.flatnonzero(np.diff(keys.cuts)).tolist():
                     a, b = keys.cuts[p], keys.cuts[p + 1]
                     yield _sent(p, row["block"], int(a), pack(keys.left[a:b], keys.right[a:b]), keys.many[a:b])
@@ -188,19 +196,18 @@ def named_pairs(states: DataFrame, keys_of: Callable[[bytes], Keys], level: int,
             if len(local):
                 yield _told(block, local + base, names[local])
 
-    sent = states.select("block", "state").mapInArrow(send, SENT).repartitionById(parts, F.col("part"))
-    return _gathered(sent.mapInArrow(add, TOLD), "told")
+    sent = states.mapInArrow(send, SENT).repartitionById(parts, F.col("part"))
+    return _gathered(sent.mapInArrow(add, TOLD), name, buckets)
 
 
-def next_states(states: DataFrame, told: DataFrame, change: Callable[[bytes, list | None], bytes], tag: str) -> DataFrame:
-    """The states as ``change`` makes them from each block's answers, written."""
+def next_states(states: DataFrame, change: Callable[[dict], bytes], buckets: int) -> DataFrame:
+    """(block, state) as ``change`` makes them of each row, stored by block where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                state = change(row["state"], row["told"])
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([state], pa.binary())], ["block", "state"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([change(row)], pa.binary())], ["block", "state"])
 
-    joined = states.join(told, "block", "left").select("block", "state", "told")
-    return written(joined.mapInArrow(run, "block long, state binary"), tag)
+    made = states.mapInArrow(run, "block long, state binary")
+    return stored_by(made, new_path(states.sparkSession, "states"), ["block"], buckets, dealt=True)
