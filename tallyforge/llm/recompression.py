@@ -163,22 +163,37 @@ def with_pairs(state: State, told: list | None, number: int, parts: int) -> Stat
 # -- windows and passages -------------------------------------------------------------------------
 
 
+def windows(state: State, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, stretch) of all windows."""
+    many = np.maximum(state.size - width + 1, 0)
+    stretch = np.repeat(np.arange(len(many)), many)
+    return np.arange(len(stretch)) - np.repeat(np.cumsum(many) - many, many) + state.first()[stretch], stretch
+
+
+def decided(level: Level, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the first and (exclusive) last of the symbols that are decided inside it.
+
+    Contexts ascend, so these are neighbours; how many symbols begin or end before a place is counted once.
+    """
+    n = int(start[-1]) + width + 2 if len(start) else 2
+    begun = np.cumsum(np.bincount(np.clip(level.begin + 1, 0, n), minlength=n + 1))  # symbols whose context begins before a place
+    ended = np.cumsum(np.bincount(np.clip(level.end, 0, n), minlength=n + 1))  # ends there or before
+    lo = begun[start]
+    return lo, np.maximum(ended[start + width], lo)
+
+
 def represented(state: State, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, stretch, symbol) of the windows that can have a copy in another document.
 
     ``symbol`` is a hash of the representing one, as unsigned number.
     """
-    many = np.maximum(state.size - width + 1, 0)
-    stretch = np.repeat(np.arange(len(many)), many)
-    start = np.arange(len(stretch)) - np.repeat(np.cumsum(many) - many, many) + state.first()[stretch]
+    start, stretch = windows(state, width)
     symbol = np.zeros(len(start), dtype=np.uint64)
     open_ = np.ones(len(start), dtype=bool)
     alive = np.ones(len(start), dtype=bool)
     for number in range(len(state.levels), 0, -1):
         level = state.levels[number - 1]
-        # Contexts ascend, so those inside a window are neighbours.
-        lo = np.searchsorted(level.begin, start)
-        hi = np.maximum(np.searchsorted(level.end, start + width, side="right"), lo)
+        lo, hi = decided(level, start, width)
         alone = np.append(0, np.cumsum(level.name == ALONE))
         alive &= alone[hi] == alone[lo]
         table = mix(level.name.astype(np.uint64) ^ np.uint64(number << LEVEL_SHIFT))
@@ -202,7 +217,11 @@ def pruned(state: State, width: int) -> State:
 
     A window left in two places has the same symbols decided inside it in both, also in later rounds.
     """
-    start, _, _ = represented(state, width)
+    start, _ = windows(state, width)
+    level = state.levels[-1]
+    lo, hi = decided(level, start, width)
+    alone = np.append(0, np.cumsum(level.name == ALONE))
+    start = start[alone[hi] == alone[lo]]
     change = np.bincount(start, minlength=len(state.words) + 1) - np.bincount(start + width, minlength=len(state.words) + 1)
     covered = np.concatenate([[False], np.cumsum(change)[:-1] > 0, [False]])
     own = np.repeat(np.arange(len(state.size)), state.size)

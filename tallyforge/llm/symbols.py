@@ -145,16 +145,23 @@ class Keys:
 
     @classmethod
     def of_rows(cls, left: np.ndarray, right: np.ndarray, doc: np.ndarray, parts: int) -> Keys:
-        part = (mix(left.astype(np.uint64) * np.uint64(BASE) + right.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((doc, right, left, part))
-        a, b, d, p = left[order], right[order], doc[order], part[order]
-        heads = heads_of(a, b)
-        docs = np.zeros(len(order), dtype=np.int64)
-        docs[heads_of(a, b, d)] = 1
-        many = np.minimum(np.add.reduceat(docs, heads), 2) if len(heads) else docs
+        values, rank = np.unique(np.concatenate([left, right]), return_inverse=True)  # ranks fit in half a number
+        key = rank[: len(left)] * np.int64(len(values)) + rank[len(left) :]
+        order = np.argsort(key)
+        heads = heads_of(key[order])
+        sizes = np.diff(np.append(heads, len(order)))
+        many = np.zeros(0, dtype=np.int64)
+        if len(heads):
+            docs = doc[order]
+            many = 1 + (np.minimum.reduceat(docs, heads) != np.maximum.reduceat(docs, heads))
+        a, b = left[order[heads]], right[order[heads]]
+        part = (mix(a.astype(np.uint64) * np.uint64(BASE) + b.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        by_part = np.argsort(part, kind="stable")
+        place = np.empty(len(heads), dtype=np.int64)
+        place[by_part] = np.arange(len(heads))
         of = np.empty(len(order), dtype=np.int64)
-        of[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(order))))
-        return cls(a[heads], b[heads], many, np.searchsorted(p[heads], np.arange(parts + 1)), of)
+        of[order] = np.repeat(place, sizes)
+        return cls(a[by_part], b[by_part], many[by_part], np.searchsorted(part[by_part], np.arange(parts + 1)), of)
 
 
 def named_pairs(states: DataFrame, keys_of: Callable[[dict], Keys], level: int, parts: int, buckets: int, name: str) -> DataFrame:
