@@ -36,6 +36,7 @@ from tallyforge.llm.common import written
 from tallyforge.llm.crcspans import ranges
 from tallyforge.llm.symbols import ALONE, LEVEL_SHIFT, Keys, dealt_words, heads_of, named_pairs, named_words, names_of, next_states, pack, unpack
 from tallyforge.llm.wordhash import mix, runs_of
+from tallyforge.scale import new_path, remove
 
 ROUNDS = 3
 LONGEST = 64  # windows of a passage sent as one
@@ -376,10 +377,13 @@ def stretches(row: dict, width: int, parts: int) -> State:
 def symbol_levels(blocks: DataFrame, width: int, parts: int, buckets: int) -> DataFrame:
     """(block, state): each block's stretches of named words, with ROUNDS levels of symbols.
 
-    Blocks and states are stored by number; only names move.
+    Blocks and states are stored by number; only names move.  A state is deleted when the next one is
+    written.
     """
+    spark = blocks.sparkSession
+    old = new_path(spark, "states")
     named = blocks.join(named_words(blocks, word_counts, parts, buckets), "block", "left")
-    states = next_states(named, lambda row: stretches(row, width, parts).packed(), buckets)
+    states = next_states(named, lambda row: stretches(row, width, parts).packed(), buckets, old)
     for number in range(1, ROUNDS + 1):
         runs = named_pairs(states, lambda row: run_keys(State.read(row["state"]), parts)[0], 2 * number - 1, parts, buckets, "runs")
         states = states.join(written(runs, "runs").repartition(buckets, "block"), "block", "left")
@@ -388,11 +392,15 @@ def symbol_levels(blocks: DataFrame, width: int, parts: int, buckets: int) -> Da
             return with_runs(State.read(row["state"]), row["runs"], parts)
 
         pairs = named_pairs(states, lambda row, k=number: pair_keys(of_runs(row), k, parts)[0], 2 * number, parts, buckets, "pairs")
+        new = new_path(spark, "states")
         states = next_states(
             states.join(pairs, "block", "left"),
             lambda row, k=number: pruned(with_pairs(of_runs(row), row["pairs"], k, parts), width).packed(),
             buckets,
+            new,
         )
+        remove(spark, old)
+        old = new
     return states
 
 
@@ -477,7 +485,7 @@ def substring_dedup(
     sent = states.select("block", "state").mapInArrow(send, PASSAGES).repartitionById(parts, F.col("part"))
     told = sent.mapInArrow(judge, "block long, local binary").repartition(buckets, "block")
     told = told.groupBy("block").agg(F.collect_list("local").alias("told"))
-    marks = next_states(states.join(told, "block", "left"), mark, buckets).withColumnRenamed("state", "marks")
+    marks = next_states(states.join(told, "block", "left"), mark, buckets, new_path(spark, "marks")).withColumnRenamed("state", "marks")
 
     def result(block: Block, row: dict):
         doc, start = unpack(row["marks"]) if row["marks"] is not None else (np.empty(0, dtype=np.int64),) * 2

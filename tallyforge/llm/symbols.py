@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.wordhash import BASE, from_planes, mix, planes
-from tallyforge.scale import new_path, stored_by
+from tallyforge.scale import stored_by
 
 ALONE = -1  # the name of what a single document has
 LEVEL_SHIFT = 56  # names of different rounds differ in the bits from here on
@@ -207,7 +207,7 @@ def named_pairs(states: DataFrame, keys_of: Callable[[dict], Keys], level: int,
     return _gathered(sent.mapInArrow(add, TOLD), name, buckets)
 
 
-def next_states(states: DataFrame, change: Callable[[dict], bytes], buckets: int) -> DataFrame:
+def next_states(states: DataFrame, change: Callable[[dict], bytes], buckets: int, path: str) -> DataFrame:
     """(block, state) as ``change`` makes them of each row, stored by block where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,4 +217,4 @@ def next_states(states: DataFrame, change: Callable[[dict], bytes], buckets: int
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([change(row)], pa.binary())], ["block", "state"])
 
     made = states.mapInArrow(run, "block long, state binary")
-    return stored_by(made, new_path(states.sparkSession, "states"), ["block"], buckets, dealt=True)
+    return stored_by(made, path, ["block"], buckets, dealt=True)
