@@ -18,6 +18,13 @@ from tallyforge.functions.text import (
 )
 from tallyforge.scale import lookup_by_weight
 
+# Characters of lines whose windows one task counts and the most parts, characters of the sample in which hot phrases
+# are looked for, and the characters for each occurrence below which a phrase is hot.
+PART_CHARS = 4_000_000
+MAX_PARTS = 100_000
+SAMPLE_CHARS = 4_000_000
+HOT_CHARS = 8192
+
 
 def split_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """Multi-line texts to one row per line, as ``(value)``."""
@@ -41,15 +48,81 @@ def ngram_rows(lines: DataFrame, max_n: int = 5, column: str = "value", keep: Se
     return windows.where(F.col("win") != "").select(*keep, F.explode(leading_phrases("win", max_n)).alias("phrase"))
 
 
+def _layout(lines: DataFrame, max_n: int, column: str) -> tuple[int | None, list[str]]:
+    """Number of parts for the windows of ``lines`` (None: leave it to the session), and the phrases
+    found more than once in ``HOT_CHARS`` characters of a sample, fewer than ``HOT_CHARS`` of each length.
+
+    Both only decide which task counts what; counts never depend on them.
+    """
+    total = lines.agg(F.coalesce(F.sum(F.length(column)), F.lit(0))).first()[0]
+    if total <= PART_CHARS:
+        return None, []
+    fraction = min(1.0, SAMPLE_CHARS / total)
+    counts = ngram_rows(lines.sample(fraction, 7), max_n, column).groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
+    common = counts.where(F.col("n") > fraction * total / HOT_CHARS).select("phrase")
+    hot = {r["phrase"] for r in common.collect()}
+    return min(MAX_PARTS, -(-total // PART_CHARS)), sorted(hot)
+
+
 def ngram_count(lines: DataFrame, max_n: int = 5, column: str = "value") -> DataFrame:
     """Counts of 1 to ``max_n`` word phrases inside each cleaned line.
 
-    Equal lines are merged before they are taken apart: the shuffle of whole lines is a small
-    fraction of the shuffle of their phrases, and copies are then expanded once.
+    Equal lines are merged first.  Then one window of up to ``max_n`` words is moved per word, not
+    its phrases, to the task of its ``key``: its shortest beginning that is no hot phrase.  In the
+    order of their windows the occurrences of a phrase follow each other, so its count is the
+    difference of two running counts, and memory is that of a sort.  Hot phrases, whose windows lie
+    in many tasks, are summed from partial counts.
     """
+    parts, hot = _layout(lines, max_n, column)
     merged = lines.groupBy(F.col(column).alias("line")).agg(F.count(F.lit(1)).alias("copies"))
-    phrases = ngram_rows(merged, max_n, "line", ["copies"])
-    return phrases.groupBy("phrase").agg(F.sum("copies").alias("n"))
+    words = merged.select("copies", F.split(clean_text("line"), " ").alias("words"))
+    placed = words.select("copies", "words", F.posexplode("words").alias("pos", "word"))
+    after = [F.get("words", F.col("pos") + k) for k in range(1, max_n)]
+    windows = placed.where(F.col("word") != "").select("copies", F.concat_ws(" ", "word", *after).alias("win"))
+    heads = [F.substring_index("win", " ", k) for k in range(1, max_n + 1)]
+    # Phrases hold letters and single spaces only.
+    among = "false" if not hot else "{} in (" + ", ".join(f"'{p}'" for p in hot) + ")"
+    is_hot = [F.expr(among.format(f"substring_index(win, ' ', {k})")) for k in range(1, max_n + 1)]
+    key = F.coalesce(*[F.when(~h, p) for h, p in zip(is_hot, heads)], F.col("win")) if hot else heads[0]
+    dealt = windows.repartition(key) if parts is None else windows.repartition(parts, key)
+
+    order = Window.partitionBy("key").orderBy(F.desc("win"))
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    run = dealt.select("copies", "win", key.alias("key")).select(
+        "key", "win", F.sum("copies").over(upto).alias("upto"), F.lead("win").over(order).alias("next")
+    )
+    # The last of equal windows has the count of all.  It ends the runs of its phrases longer than
+    # the words it shares with the next; at the end of a key those that are not hot.
+    last = run.where(F.col("next").isNull() | (F.col("next") != F.col("win")))
+    following = F.concat("next", F.lit(" "))
+    shares = F.lit(max_n - 1)
+    for k in range(max_n - 2, 0, -1):
+        shares = F.when(~F.startswith(following, F.concat(heads[k], F.lit(" "))), F.lit(k)).otherwise(shares)
+    key_words = F.octet_length("key") - F.octet_length(F.replace("key", F.lit(" "), F.lit("")))
+    if hot:
+        key_words = F.when(F.expr(among.format("win")), F.lit(max_n)).otherwise(key_words)
+    shared = F.when(F.col("next").isNull(), key_words).otherwise(shares)
+    marked = last.select("key", "win", "upto", shared.alias("shared"))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    levels = range(1, max_n + 1)
+    before = [F.max(F.when(F.col("shared") < k, F.col("upto"))).over(earlier).alias(f"base{k}") for k in levels]
+    based = marked.select("win", "upto", "shared", *before)
+    found = []
+    for k in levels:
+        own = F.col("shared") < k
+        if k > 1:
+            own &= F.octet_length(heads[k - 2]) < F.octet_length("win")
+        n = F.col("upto") - F.coalesce(f"base{k}", F.lit(0))
+        found.append(F.when(own, F.struct(heads[k - 1].alias("phrase"), n.alias("n"))))
+    counts = based.select(F.explode(F.array(*found)).alias("c")).where(F.col("c").isNotNull()).select("c.phrase", "c.n")
+    if not hot:
+        return counts
+    common = [heads[0]]
+    for k in range(1, max_n):
+        common.append(F.when(is_hot[k] & (F.octet_length(heads[k]) > F.octet_length(heads[k - 1])), heads[k]))
+    common = F.when(is_hot[0], F.array(*common)).otherwise(F.array().cast("array<string>"))
+    partial = dealt.select("copies", F.explode(common).alias("phrase")).where(F.col("phrase").isNotNull())
+    return counts.unionByName(partial.groupBy("phrase").agg(F.sum("copies").alias("n")))
 
 
 def min_count_prune(counts: DataFrame, min_count: int = 2) -> DataFrame:

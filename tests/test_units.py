@@ -1,6 +1,8 @@
 """Small inline inputs for the rules the shared fixtures cannot show."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -283,3 +285,50 @@ def test_alarm_needs_existing_periods(spark):
     assert low.where("alarm").count() == 1
     three = loadtest.alarm_consecutive(df, "ts", "cpu", 88, "60 seconds", 3)
     assert three.where("alarm").count() == 1
+
+
+@pytest.fixture
+def hot_phrases_at_once(monkeypatch):
+    """Looks for hot phrases in small inputs, and finds many of them."""
+    monkeypatch.setattr(textmodels, "PART_CHARS", 50)
+    monkeypatch.setattr(textmodels, "HOT_CHARS", 20)
+
+
+def _counted(lines, max_n=5):
+    found = {}
+    for line in lines:
+        words = re.sub("[^a-z]+", " ", line.lower()).split()
+        for i in range(len(words)):
+            for k in range(1, min(max_n, len(words) - i) + 1):
+                phrase = " ".join(words[i : i + k])
+                found[phrase] = found.get(phrase, 0) + 1
+    return sorted(found.items(), key=repr)
+
+
+@pytest.mark.parametrize("hot_chars", [1, 10, 60, 8192])
+def test_ngram_count_with_hot_phrases(spark, rows, monkeypatch, hot_chars):
+    monkeypatch.setattr(textmodels, "PART_CHARS", 50)
+    monkeypatch.setattr(textmodels, "HOT_CHARS", hot_chars)
+    pick = random.Random(5)
+    lines = [" ".join(pick.choice(["a", "ab", "a", "az", "b", "a b", "q7", "zebra"]) for _ in range(pick.randrange(9))) for _ in range(200)]
+    lines += ["a a a a a a a a", "the same line of words"] * 30
+    df = spark.createDataFrame([(x,) for x in lines] + [(None,)], "value string")
+    assert bool(textmodels._layout(df, 5, "value")[1]) == (hot_chars > 1)
+    assert rows(textmodels.ngram_count(df)) == _counted(lines)
+    assert rows(textmodels.ngram_count(df, 2)) == _counted(lines, 2)
+
+
+def test_ngram_count_moves_windows_not_phrases(spark):
+    lines = spark.createDataFrame([("a b c d e f",)], "value string")
+    plan = textmodels.ngram_count(lines)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Exchange hashpartitioning(phrase" not in plan
+    assert plan.count("HashAggregate") == 2
+
+
+def test_next_words_with_hot_phrases(spark, rows, hot_phrases_at_once):
+    words = ["x y", "x y", "x y", "x z", "x z", "x z", "x w", "y", "x y z"] * 6
+    lines = spark.createDataFrame([(w + " " + str(i),) for i, w in enumerate(words)], "value string")
+    counts = dict(_counted(words))
+    found = textmodels.next_word_prob(textmodels.min_count_prune(textmodels.ngram_count(lines)))
+    want = [(*p.rsplit(" ", 1), n, counts[p.rsplit(" ", 1)[0]]) for p, n in counts.items() if " " in p]
+    assert rows(found.select("prefix", "word", "n", "base")) == sorted(want, key=repr)
