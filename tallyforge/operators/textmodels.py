@@ -158,8 +158,10 @@ def next_word_prob(counts: DataFrame) -> DataFrame:
     """``(prefix, word, n, base, prob)`` with prob = n / count of the prefix, 2 decimals.
 
     A prefix has at most as many next words as it has occurrences, so its own count tells which
-    prefixes may be heavy.
+    prefixes may be heavy.  Bringing the counts to their phrases once (there is one row for each)
+    lets all readers below share that exchange, so nothing before it is run again.
     """
+    counts = counts.groupBy("phrase").agg(F.max("n").alias("n"))
     base = counts.select(F.col("phrase").alias("prefix"), F.col("n").alias("base"))
     found = lookup_by_weight(split_prefix_last(counts), base, "prefix", "base")
     return found.withColumn("prob", F.round(F.col("n") / F.col("base"), 2))
