@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tallyforge.scale import MAX_HEAVY_KEYS, new_path, pack_sorted, remove, stored, stored_by
 
 LINKS_PER_SHARD = 1_000_000
-# Links in one stored file, and the most files Spark makes for a table by hash.
-LINKS_PER_PART = 5_000_000
+# Links in one stored file, and the most files Spark makes for a table by hash.  The task that lays a
+# file out holds its links twice, at some 300 bytes each.
+LINKS_PER_PART = 1_000_000
 MAX_PARTS = 100_000
 
 

@@ -233,6 +233,20 @@ def test_pagerank_mass(edges):
     assert leaking.count() == 3 and leaking.agg(F.sum("score")).first()[0] < 4
 
 
+def test_pagerank_bounds_the_links_of_a_task(spark, monkeypatch):
+    class Stored(Exception):
+        pass
+
+    def stored_by(df, path, keys, buckets, dealt=False):
+        raise Stored(buckets)
+
+    monkeypatch.setattr(graph, "stored_by", stored_by)
+    edges = spark.range(40_000_000).selectExpr("id % 1000000 as src", "id as dst")
+    with pytest.raises(Stored) as found:
+        graph.pagerank(edges)
+    assert found.value.args[0] >= 40
+
+
 def test_pagerank_without_links(spark):
     assert graph.pagerank(spark.createDataFrame([], "src long, dst long"), rounds=2).count() == 0
 
