@@ -21,7 +21,6 @@ occurs in a single document gets no name, so a window with such a symbol has no
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,11 +31,10 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm import wordhash
 from tallyforge.llm.blocks import Block, finished, ranges as range_count, text_blocks
-from tallyforge.llm.common import written
 from tallyforge.llm.crcspans import ranges
-from tallyforge.llm.symbols import ALONE, LEVEL_SHIFT, Keys, dealt_words, heads_of, named_pairs, named_words, names_of, next_states, pack, unpack
+from tallyforge.llm.symbols import ALONE, LEVEL_SHIFT, Keys, Words, heads_of, named_pairs, named_words, names_of, next_states, pack, unpack
 from tallyforge.llm.wordhash import mix, runs_of
-from tallyforge.scale import new_path, remove
+from tallyforge.scale import new_path, passing, remove, stored
 
 ROUNDS = 3
 LONGEST = 64  # windows of a passage sent as one
@@ -337,41 +335,25 @@ def without_words(text: bytes, gone: np.ndarray) -> bytes:
 # -- the job --------------------------------------------------------------------------------------
 
 
-def words_by_text(row: dict) -> Iterator[tuple[int, np.int64, list[bytes]]]:
-    """(place in the block, id, words) of the block's documents with an id."""
-    block = Block.of(row)
-    for i in np.flatnonzero(block.known).tolist():
-        yield i, block.ids[i], block.texts[i].split()
-
-
-def word_counts(row: dict) -> Counter:
-    """How many of the block's documents have each word."""
-    counts: Counter = Counter()
-    for _, _, words in words_by_text(row):
-        counts.update(set(words))
-    return counts
+def known_words(block: Block, parts: int) -> tuple[np.ndarray, Words]:
+    """The places of the block's documents with an id, and their words."""
+    known = np.flatnonzero(block.known)
+    return known, Words.of_texts([block.texts[i] for i in known.tolist()], parts)
 
 
 def stretches(row: dict, width: int, parts: int) -> State:
     """The block's stretches of ``width`` or more words with names."""
-    counts = word_counts(row)
-    distinct, _ = dealt_words(counts, parts)
-    name = dict(zip(distinct, names_of(row["words"], len(distinct)).tolist()))
-    kept, size, doc, at, ident = [np.empty(0, dtype=np.int64)], [], [], [], []
-    for i, number, words in words_by_text(row):
-        if len(words) < width:
-            continue
-        names = np.fromiter(map(name.__getitem__, words), np.int64, len(words))
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], names != ALONE, [False]]).astype(np.int8)))
-        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            if b - a >= width:
-                kept.append(names[a:b])
-                size.append(b - a)
-                doc.append(i)
-                at.append(a)
-                ident.append(number)
-    columns = [np.array(c, dtype=np.int64) for c in (size, doc, at, ident)]
-    return State(np.concatenate(kept), *columns, [])
+    block = Block.of(row)
+    known, words = known_words(block, parts)
+    names = names_of(row["words"], len(words.many))[words.of]
+    named_in = np.where(names != ALONE, words.text, -1)
+    edge = np.flatnonzero(np.diff(named_in, prepend=-2))
+    size = np.diff(np.append(edge, len(named_in)))
+    kept = (named_in[edge] >= 0) & (size >= width)
+    edge, size = edge[kept], size[kept]
+    text = words.text[edge]
+    doc = known[text]
+    return State(names[ranges(edge, size)], size, doc, edge - np.searchsorted(words.text, text), block.ids[doc], [])
 
 
 def symbol_levels(blocks: DataFrame, width: int, parts: int, buckets: int) -> DataFrame:
@@ -382,11 +364,12 @@ def symbol_levels(blocks: DataFrame, width: int, parts: int, buckets: int) -> Da
     """
     spark = blocks.sparkSession
     old = new_path(spark, "states")
-    named = blocks.join(named_words(blocks, word_counts, parts, buckets), "block", "left")
+    named = blocks.join(named_words(blocks, lambda row: known_words(Block.of(row), parts)[1], parts, buckets), "block", "left")
     states = next_states(named, lambda row: stretches(row, width, parts).packed(), buckets, old)
     for number in range(1, ROUNDS + 1):
         runs = named_pairs(states, lambda row: run_keys(State.read(row["state"]), parts)[0], 2 * number - 1, parts, buckets, "runs")
-        states = states.join(written(runs, "runs").repartition(buckets, "block"), "block", "left")
+        told = new_path(spark, "runs")
+        states = states.join(stored(runs, told).repartition(buckets, "block"), "block", "left")
 
         def of_runs(row: dict) -> State:
             return with_runs(State.read(row["state"]), row["runs"], parts)
@@ -400,6 +383,7 @@ def symbol_levels(blocks: DataFrame, width: int, parts: int, buckets: int) -> Da
             new,
         )
         remove(spark, old)
+        remove(spark, told)
         old = new
     return states
 
@@ -428,8 +412,6 @@ def substring_dedup(
     blocks = text_blocks(docs, doc_id, text, buckets=buckets)
     parts = range_count(size // 15, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    states = symbol_levels(blocks, width, parts, buckets)
-
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -482,10 +464,12 @@ def substring_dedup(
         stretch = found.stretch[own]
         return pack(state.doc[stretch], state.at[stretch] + found.start[own] - state.first()[stretch] + place)
 
-    sent = states.select("block", "state").mapInArrow(send, PASSAGES).repartitionById(parts, F.col("part"))
-    told = sent.mapInArrow(judge, "block long, local binary").repartition(buckets, "block")
-    told = told.groupBy("block").agg(F.collect_list("local").alias("told"))
-    marks = next_states(states.join(told, "block", "left"), mark, buckets, new_path(spark, "marks")).withColumnRenamed("state", "marks")
+    with passing(spark):  # only the marks stay, besides the blocks
+        states = symbol_levels(blocks, width, parts, buckets)
+        sent = states.select("block", "state").mapInArrow(send, PASSAGES).repartitionById(parts, F.col("part"))
+        told = sent.mapInArrow(judge, "block long, local binary").repartition(buckets, "block")
+        told = told.groupBy("block").agg(F.collect_list("local").alias("told"))
+        marks = next_states(states.join(told, "block", "left"), mark, buckets, new_path(spark, "marks")).withColumnRenamed("state", "marks")
 
     def result(block: Block, row: dict):
         doc, start = unpack(row["marks"]) if row["marks"] is not None else (np.empty(0, dtype=np.int64),) * 2

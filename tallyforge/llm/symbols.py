@@ -9,8 +9,6 @@ the same words everywhere, and what has none occurs in a single document.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,7 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.wordhash import BASE, from_planes, mix, planes
+from tallyforge.llm.crcspans import ranges
+from tallyforge.llm.wordhash import BASE, distinct_words, from_planes, mix, planes
 from tallyforge.scale import stored_by
 
 ALONE = -1  # the name of what a single document has
@@ -88,43 +87,71 @@ def names_of(told: list[bytes] | None, keys: int) -> np.ndarray:
 # -- words ----------------------------------------------------------------------------------------
 
 
-def dealt_words(counts: Counter, parts: int) -> tuple[list[bytes], np.ndarray]:
-    """A block's distinct words by part and then by bytes, and where each part's begin."""
-    words = sorted(counts)
-    part = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % parts
-    order = np.argsort(part, kind="stable")
-    return [words[i] for i in order.tolist()], np.searchsorted(part[order], np.arange(parts + 1))
+@dataclass
+class Words:
+    """A block's distinct words, by part, and for each of its words the place of its distinct one."""
 
+    joined: bytes  # a newline after each
+    begin: np.ndarray  # where each begins there, and the end
+    many: np.ndarray  # documents that have the word, 2 for more
+    cuts: np.ndarray  # where each part's words begin
+    of: np.ndarray
+    text: np.ndarray  # the text of each of its words
 
-def named_words(blocks: DataFrame, counted: Callable[[dict], Counter], parts: int, buckets: int) -> DataFrame:
-    """(block, words): the names of each block's words; ``counted`` gives how many documents have each."""
+    @classmethod
+    def of_texts(cls, texts: list[bytes], parts: int) -> Words:
+        data = b"\n".join(texts) + b"\n"
+        hashes, starts, ends, number, first, last = distinct_words(data)
+        upto = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+        text = np.searchsorted(upto, starts, side="right")
+        part = (mix(hashes[first]) % np.uint64(parts)).astype(np.int64)
+        eights = np.ndarray(len(data), "<u8", data + bytes(8), strides=(1,))
+        order = np.lexsort((eights[starts[first]].byteswap(), part))  # neighbours alike, which packs well
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        size = (ends - starts)[first[order]] + 1
+        begin = np.append(0, np.cumsum(size))
+        joined = np.frombuffer(data, np.uint8)[ranges(starts[first[order]], size)]
+        joined[begin[1:] - 1] = 10
+        many = 1 + (text[first] != text[last])[order]
+        return cls(joined.tobytes(), begin, many, np.searchsorted(part[order], np.arange(parts + 1)), place[number], text)
+
+
+def named_words(blocks: DataFrame, words_of: Callable[[dict], Words], parts: int, buckets: int) -> DataFrame:
+    """(block, words): the names of each block's words, by their place in its ``Words``."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                counts = counted(row)
-                words, cuts = dealt_words(counts, parts)
-                for p in np.flatnonzero(np.diff(cuts)).tolist():
-                    own = words[cuts[p] : cuts[p + 1]]
-                    many = np.array([min(2, counts[w]) for w in own])
-                    yield _sent(p, row["block"], int(cuts[p]), zstandard.compress(b"\n".join(own), 1), many)
+                words = words_of(row)
+                for p in np.flatnonzero(np.diff(words.cuts)).tolist():
+                    a, b = words.cuts[p], words.cuts[p + 1]
+                    keys = words.joined[words.begin[a] : words.begin[b]]
+                    yield _sent(p, row["block"], int(a), zstandard.compress(keys, 1), words.many[a:b])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, rows, total = 0, [], Counter()
+        part, blocks, bases, keys, many = 0, [], [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 part = row["part"]
-                rows.append((row["block"], row["base"], row["keys"]))
-                for word, many in zip(zstandard.decompress(row["keys"]).split(b"\n"), row["many"]):
-                    total[word] += many
+                blocks.append(row["block"])
+                bases.append(row["base"])
+                keys.append(zstandard.decompress(row["keys"]))
+                many.append(np.frombuffer(row["many"], np.uint8))
+        if not blocks:
+            return
+        *_, number, first, _ = distinct_words(b"".join(keys))
+        del keys
+        total = np.bincount(number, np.concatenate(many), len(first)).astype(np.int64)
         # Frequent words get small names, which pack well.
-        shared = {w: i * parts + part for i, (w, n) in enumerate(total.most_common()) if n > 1}
-        del total
-        for block, base, keys in rows:
-            names = np.array([shared.get(w, ALONE) for w in zstandard.decompress(keys).split(b"\n")], dtype=np.int64)
-            local = np.flatnonzero(names >= 0)
+        order = np.argsort(-total, kind="stable")
+        shared = order[total[order] > 1]
+        names = np.full(len(first), ALONE, dtype=np.int64)
+        names[shared] = np.arange(len(shared)) * parts + part
+        for block, base, own in zip(blocks, bases, np.split(names[number], np.cumsum([len(m) for m in many])[:-1])):
+            local = np.flatnonzero(own >= 0)
             if len(local):
-                yield _told(block, local + base, names[local])
+                yield _told(block, local + base, own[local])
 
     sent = blocks.mapInArrow(send, SENT).repartitionById(parts, F.col("part"))
     return _gathered(sent.mapInArrow(add, TOLD), "words", buckets)

@@ -75,6 +75,41 @@ def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def distinct_words(data: bytes) -> tuple[np.ndarray, ...]:
+    """(hash, start, end, number) of every word of ``data``, and the first and last place of each number.
+
+    Equal words have equal numbers and others do not: words of one hash are compared byte by byte.
+    """
+    hashes, starts, ends = hash_words(data)
+    order = np.argsort(hashes)
+    heads = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]]))
+    if not len(heads):
+        return hashes, starts, ends, order, order, order
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(order))))
+    first, last = np.minimum.reduceat(order, heads), np.maximum.reduceat(order, heads)
+    leader = first[number]
+    sizes = ends - starts
+    odd = sizes != sizes[leader]
+    eights = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))  # the eight bytes from each place on
+    left = np.flatnonzero(~odd & (leader != np.arange(len(order))))
+    for depth in range(0, 64, 8):
+        more = sizes[left] - depth
+        beyond = (8 * (8 - np.minimum(more, 8))).astype(np.uint64)
+        odd[left] = (eights[starts[left] + depth] ^ eights[starts[leader[left]] + depth]) << beyond != 0
+        left = left[~odd[left] & (more > 8)]
+    for k in left.tolist():
+        odd[k] = data[starts[k] : ends[k]] != data[starts[leader[k]] : ends[leader[k]]]
+    if odd.any():
+        others: dict[bytes, int] = {}
+        for k in np.flatnonzero(odd).tolist():
+            number[k] = others.setdefault(data[starts[k] : ends[k]], len(heads) + len(others))
+        first, last = np.full(len(heads) + len(others), len(order)), np.zeros(len(heads) + len(others), dtype=np.int64)
+        np.minimum.at(first, number, np.arange(len(order)))
+        np.maximum.at(last, number, np.arange(len(order)))
+    return hashes, starts, ends, number, first, last
+
+
 def word_arrays(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and for each text the place of its first word (plus the end)."""
     hashes, starts, _ = hash_words(b"\n".join(texts))

@@ -1,11 +1,14 @@
 import hashlib
+import re
 from collections import Counter
+from pathlib import Path
 
 import brute
 import numpy as np
 import pytest
 
 from tallyforge.llm import blocks, factors, jaccard, queries, recompression, suffixes
+from tallyforge.scale import CLEANUP
 
 
 def by_row(rows):
@@ -191,3 +194,17 @@ def test_queries_on_documents(spark, sf_dir, documents):
     assert by_row(queries.op5_substring_dedup(spark, sf_dir).collect()) == by_row(wanted)
     wanted = [(i, n, m, s, digest(k)) for i, n, m, s, k in brute.cut_bytes(documents, 100)]
     assert by_row(queries.op8_suffix_array_dedup(spark, sf_dir).collect()) == by_row(wanted)
+
+
+def written_by(spark, run):
+    """The kinds of folders that ``run`` leaves below the checkpoint folder."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    run()
+    names = [p.name for p in set(folder.iterdir()) - before]
+    return sorted(n[:-33] for n in names if re.search(r"[-_][0-9a-f]{32}$", n))
+
+
+def test_scratch_goes_when_marks_are_written(spark, nasty_table):
+    assert written_by(spark, lambda: recompression.substring_dedup(nasty_table).count()) == ["marks", "text_blocks"]
+    assert spark.conf.get(CLEANUP) == "false"

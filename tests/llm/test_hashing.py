@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from tallyforge.llm import wordhash
+from tallyforge.llm import symbols, wordhash
 from tallyforge.llm.common import free_name
 from tallyforge.llm.components import components
 
@@ -56,3 +56,23 @@ def test_components(spark):
 
 def test_free_name(spark):
     assert free_name(spark.createDataFrame([(1, 2)], "x int, X_ int"), "x") == "x__"
+
+
+def test_distinct_words_of_any_hash(monkeypatch):
+    """Words are told apart by their bytes, also when nearly all have one hash."""
+    rng = np.random.default_rng(8)
+    words = [bytes(rng.choice([0, 97, 98, 255], int(n)).astype(np.uint8)) for n in rng.choice([1, 2, 7, 8, 9, 16, 17, 64, 65, 80], 60)]
+    words += [b"x" * 70, b"x" * 71, b"x" * 70 + b"y", b"x" * 70 + b"z"]
+    texts = [b" ".join(words[i] for i in rng.integers(0, len(words), n)) for n in (0, 1, 40, 300, 0)] + [b" \t", b"a\n"]
+    split = [t.split() for t in texts]
+    hash_words = wordhash.hash_words
+    for most in (2**63, 3):
+        monkeypatch.setattr(wordhash, "hash_words", lambda data: (hash_words(data)[0] % np.uint64(most), *hash_words(data)[1:]))  # noqa: B023
+        found = symbols.Words.of_texts(texts, 5)
+        distinct = found.joined.split(b"\n")[:-1]
+        assert sorted(distinct) == sorted(set(sum(split, [])))
+        assert [distinct[i] for i in found.of] == sum(split, [])
+        assert found.text.tolist() == [i for i, t in enumerate(split) for _ in t]
+        assert found.many.tolist() == [min(2, sum(w in t for t in split)) for w in distinct]
+        assert len(found.cuts) == 6 and found.cuts[-1] == len(distinct)
+    assert len(symbols.Words.of_texts([], 5).of) == len(symbols.Words.of_texts([b"", b" "], 5).many) == 0
