@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ from tallyforge.llm.common import written
 from tallyforge.llm.components import components
 from tallyforge.llm import wordhash
 from tallyforge.llm.wordhash import from_planes, from_steps, grouped, mix, planes, runs_of, steps, word_arrays
-from tallyforge.scale import join_unique
+from tallyforge.scale import join_unique, passing
 
 HASH_BITS = 48  # of a token; two of a pair's tokens meet by chance once in 10**14 / (their number)
 BLOCK_BYTES = 4 << 20  # text in one block
@@ -47,6 +48,7 @@ BLOCK_HOT = 32  # documents of a block from which on it sends a token as a count
 SPREAD_ROWS = 1000  # of a hot token's meeting in one task; its other side is sent to each
 LINK_BYTES = 4 << 20  # tokens of the sets of a component that are compared with others at once
 PART_BYTES = 8 << 20  # text whose tokens one counting task gets, on average
+BROADCAST_IDS = 2_000_000  # ids of 8 bytes each that may be broadcast; more meet by a shuffle
 
 # Kinds of rows between the tasks.
 TOKENS, HOT_COUNTS, DOCS, HOT_PLACES, SHARED, HOT_SHARED = range(6)
@@ -105,10 +107,11 @@ def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
 
 def _pack(*arrays: bytes) -> bytes:
     head = np.array([len(arrays), *map(len, arrays)], dtype="<u4").tobytes()
-    return head + b"".join(arrays)
+    return zstandard.compress(head + b"".join(arrays), 1)
 
 
 def _unpack(data: bytes) -> list[bytes]:
+    data = zstandard.decompress(data)
     n = int(np.frombuffer(data, "<u4", 1)[0])
     ends = 4 * (n + 1) + np.cumsum(np.frombuffer(data, "<u4", n, 4).astype(np.int64))
     return [data[e - s : e] for e, s in zip(ends.tolist(), np.frombuffer(data, "<u4", n, 4).tolist())]
@@ -389,11 +392,19 @@ def candidates(pairs: DataFrame, marked: DataFrame, similarity: Similarity) -> D
     return met.select("a", "b", "n_a", "n_b")
 
 
+def if_few(ids: DataFrame) -> DataFrame:
+    """Written ids for a join with long rows, which stay where they are unless there are very many ids."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def compared(pairs: DataFrame, sets: DataFrame, marked: DataFrame, similarity: Similarity) -> DataFrame:
-    """The candidates among the distinct pairs (a, b) of set ids, as ``compare`` says."""
+    """The candidates among the distinct pairs (a, b) of set ids, as ``compare`` says; no other set is moved."""
+    pairs = written(candidates(pairs, marked, similarity), "candidates")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = sets.join(if_few(written(used, "used")), "id", "left_semi")
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("tokens_a"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tokens_b"))
-    met = candidates(pairs, marked, similarity).join(left, "a").join(right, "b")
+    met = pairs.join(left, "a").join(right, "b")
     schema = "a long, b long, linked boolean, " + ", ".join(f"{c} long" for c in _P + _Q)
     return written(met.mapInPandas(compare(similarity), schema), "compared")
 
@@ -551,7 +562,8 @@ def jaccard_components(
         found.where("tokens is not null").withColumn("turn", F.row_number().over(first)).where("turn = 1")
         .select(F.col("doc_id").alias("id"), "n", "one", "two", "tokens"), "sets"
     )
-    linked_sets = set_components(sets, similarity)
+    with passing(docs.sparkSession):
+        linked_sets = written(set_components(sets, similarity), "linked")
     # Equal sets: one document stands for all.
     worded = found.where("n > 0 and doc_id is not null").groupBy("one", "two", "n").agg(
         F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")
@@ -559,7 +571,6 @@ def jaccard_components(
     component = worded.join(linked_sets, "id", "left")
     n_links = F.lit(0).cast("long")
     if links:
-        linked_sets = written(linked_sets, "components")
         weighed = sets.join(worded.select("one", "two", "n", "copies"), ["one", "two", "n"]).select("id", "n", "tokens", "copies")
         counts = link_counts(weighed, linked_sets, similarity)
         component = worded.join(linked_sets, "id", "left").join(counts, "id", "left")
@@ -578,15 +589,18 @@ def representatives(
 
     Of rows with one id one stays, that with the least text; rows without an id all stay.
     """
-    found = jaccard_components(docs, similarity, doc_id, text, links=False).where("doc_id is not null")
-    known = written(found, "components")
-    later = known.where("component_id <> doc_id").select(F.col("doc_id").alias("later")).distinct()
+    with passing(docs.sparkSession):
+        found = jaccard_components(docs, similarity, doc_id, text, links=False).where("doc_id is not null")
+        known = written(found, "components")
+    later = written(known.where("component_id <> doc_id").select(F.col("doc_id").alias("later")).distinct(), "later")
     again = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.col("doc_id").alias("again"))
-    left = docs.join(later, docs[doc_id].cast("long") == F.col("later"), "left_anti")
+    again = written(again, "again")
+    left = docs.join(if_few(later), docs[doc_id].cast("long") == F.col("later"), "left_anti")
+    if again.isEmpty():  # else Spark would move all texts to meet no id
+        return left
     key = left[doc_id].cast("long") == F.col("again")
+    again = if_few(again)
     once = left.join(again, key, "left_anti")
-    if again.isEmpty():
-        return once
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     merged = left.join(again, key, "left_semi").groupBy(F.col(f"`{doc_id}`")).agg(F.min_by(row, F.struct(F.col(f"`{text}`"))).alias("_row"))
     return once.unionByName(merged.select("_row.*"))

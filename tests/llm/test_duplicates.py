@@ -6,6 +6,7 @@ from pathlib import Path
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.llm import blocks, factors, jaccard, queries, recompression, suffixes
 from tallyforge.scale import CLEANUP
@@ -208,3 +209,34 @@ def written_by(spark, run):
 def test_scratch_goes_when_marks_are_written(spark, nasty_table):
     assert written_by(spark, lambda: recompression.substring_dedup(nasty_table).count()) == ["marks", "text_blocks"]
     assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_only_ids_stay_of_the_search_for_representatives(spark, nasty_table):
+    assert written_by(spark, lambda: jaccard.representatives(nasty_table).count()) == ["again", "components", "later"]
+
+
+def test_representatives_by_broadcast_and_by_shuffle(spark, nasty_table, monkeypatch):
+    """Few ids go to the texts, which stay in place, whatever Spark's own threshold; the rows are the same."""
+    docs = nasty_table.dropDuplicates(["doc_id", "text"])
+    rows = []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, joins in ((jaccard.BROADCAST_IDS, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+            monkeypatch.setattr(jaccard, "BROADCAST_IDS", most)
+            left = jaccard.representatives(docs)
+            rows.append(by_row(left.collect()))
+            assert joins in left._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows[0] == rows[1]
+
+
+def test_texts_are_not_shuffled_for_lists_of_ids(spark, nasty_table):
+    docs = nasty_table.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = jaccard.representatives(docs)
+        assert "Exchange hashpartitioning" not in left._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
