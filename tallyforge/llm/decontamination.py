@@ -14,8 +14,9 @@ verified is decided by the fingerprints alone: a similar pair farther apart than
 missed.  At the similarity 0.8 that is some 10 bits on average, with a spread near 3.  Items that
 mostly repeat one passage have no steady fingerprint and are compared with every such window.
 
-Benchmark items go to the tasks in groups of bounded size, one pass over the documents for each
-group; documents are read where they are and not moved.
+Benchmark items go to the tasks in groups of bounded size.  Documents are read where they are and
+not moved, and every batch of them meets the groups one after another in one Python worker, which
+has one group prepared at a time.
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ import functools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import free_name, without
+from tallyforge.llm.common import without
 from tallyforge.llm.crcspans import ranges
 from tallyforge.llm.wordhash import in_groups, runs_of, word_arrays
 
@@ -38,6 +40,7 @@ BITS, BLOCKS = 64, 4
 GROUP_ITEMS = 1_000  # benchmark items sent to the tasks at once ...
 GROUP_BYTES = 16 << 20  # ... and bytes of their texts (a longer item makes a group of its own)
 STRETCH = 1 << 14  # windows fingerprinted at once
+PAIRS = 1 << 18  # of windows and items of a class, looked up at once
 FILTER_BITS = 22
 
 # Case and ASCII punctuation do not count.
@@ -213,14 +216,16 @@ class Items:
     def _verify(self, best, c, starts, size, prints, runs, begin) -> None:
         """Windows of ``size`` words against the items of a class that they meet."""
         last, have = -1, None
-        for w, i in zip(*(x.tolist() for x in c.candidates(prints, self.settings.radius))):
-            start = int(starts[w])
-            if w != last:
-                last, have = w, Counter(runs[start : start + size - c.width + 1].tolist())
-            alike = similarity(have, c.shingles[i])
-            if alike >= self.settings.least:
-                item = c.ids[i]
-                best[item] = max(best.get(item, (0.0, 0)), (alike, begin - start))
+        step = max(1, PAIRS // len(c.ids))
+        for at in range(0, len(starts), step):
+            for w, i in zip(*(x.tolist() for x in c.candidates(prints[at : at + step], self.settings.radius))):
+                start = int(starts[at + w])
+                if start != last:
+                    last, have = start, Counter(runs[start : start + size - c.width + 1].tolist())
+                alike = similarity(have, c.shingles[i])
+                if alike >= self.settings.least:
+                    item = c.ids[i]
+                    best[item] = max(best.get(item, (0.0, 0)), (alike, begin - start))
 
 
 def item_groups(benchmark: DataFrame, item_id: str, text: str):
@@ -239,20 +244,32 @@ def item_groups(benchmark: DataFrame, item_id: str, text: str):
         yield group
 
 
-def _search(items):
-    """A UDF that looks for the items of a broadcast group."""
+LEAKS = "array<struct<item_id: long, similarity: double, start: long>>"
+_LEAK = pa.struct({"item_id": pa.int64(), "similarity": pa.float64(), "start": pa.int64()})
 
-    @F.pandas_udf(LEAKS)
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        prepared = Items(*items.value)
-        for texts in batches:
-            parts = in_groups(map(normal, texts))
-            yield pd.Series([found for part in parts for found in prepared.find(part)], dtype=object)
 
-    return search
+def _search(groups):
+    """A UDF that looks for the items of all broadcast groups.
+
+    It is declared nondeterministic so that Spark evaluates it once: a filter on its result (or one
+    that Spark infers from ``explode``) would otherwise get a copy of it, and each copy has a Python
+    worker and a batch of texts of its own in every task.
+    """
 
+    @F.arrow_udf(LEAKS)
+    def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        prepared = Items(*groups[0].value) if len(groups) == 1 else None
+        for texts in batches:
+            found: list[list] = [[] for _ in range(len(texts))]
+            for group in groups:
+                items = prepared or Items(*group.value)
+                parts = in_groups(normal(text.as_py()) for text in texts)
+                for own, more in zip(found, chain.from_iterable(map(items.find, parts))):
+                    own += more
+                del items  # before the next group is prepared
+            yield pa.array(found, pa.list_(_LEAK))
 
-LEAKS = "array<struct<item_id: long, similarity: double, start: long>>"
+    return search.asNondeterministic()
 
 
 def with_leaks(
@@ -270,15 +287,11 @@ def with_leaks(
     out; an empty benchmark finds nothing.  Repeated rows get equal results; an item whose id repeats
     is found by any of its texts, the most similar counting.
     """
-    out = without(docs, ["leaks"])
-    found = []
-    for group in item_groups(benchmark, item_id, item_text):
-        name = free_name(out, "_leaks")
-        out = out.withColumn(name, _search(docs.sparkSession.sparkContext.broadcast((group, settings)))(F.col(f"`{text}`")))
-        found.append(F.col(name))
-    none = F.array().cast(LEAKS)
-    every = F.array_sort(F.concat(*found)) if len(found) > 1 else found[0] if found else none
-    return out.withColumn("leaks", every).drop(*(c for c in out.columns if c not in docs.columns and c != "leaks"))
+    context = docs.sparkSession.sparkContext
+    # In order of id, and no id is in two groups: the leaks of all groups are in order as well.
+    groups = [context.broadcast((group, settings)) for group in item_groups(benchmark, item_id, item_text)]
+    found = _search(groups)(F.col(f"`{text}`")) if groups else F.array().cast(LEAKS)
+    return without(docs, ["leaks"]).withColumn("leaks", found)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:

@@ -232,6 +232,34 @@ def test_benchmark_in_groups(spark, nasty_table, monkeypatch):
     assert decontamination.leaks(nasty_table.limit(0), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("group_items", [1000, 1])
+def test_texts_are_searched_once(spark, monkeypatch, group_items):
+    """One Python evaluation, however many groups there are and whatever is asked of its result."""
+    items = [(1, "w1 w2 w3 w4 w5 w6"), (2, "x1 x2 x3 x4 x5 x6"), (3, "y1 y2 y3 y4 y5 y6")]
+    rows = [(7, "y1 y2 y3 y4 y5 y6 w1 w2 w3 w4 w5 w6"), (8, "w1"), (9, None), (10, "x1 x2 x3 x4 x5 x6")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontamination, "GROUP_ITEMS", group_items)
+    found = decontamination.with_leaks(docs, benchmark)
+    listed = decontamination.leaks(docs, benchmark)
+    for df in (listed, found.where("size(leaks) > 0"), decontamination.decontaminated(docs, benchmark)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r.doc_id: [tuple(x) for x in r.leaks] for r in found.collect()} == {7: [(1, 1.0, 6), (3, 1.0, 0)], 8: [], 9: [], 10: [(2, 1.0, 0)]}
+    assert sorted(map(tuple, listed.collect())) == [(7, 1, 1.0, 6), (7, 3, 1.0, 0), (10, 2, 1.0, 0)]
+
+
+def test_windows_meet_many_items_in_parts(monkeypatch):
+    """Items that repeat themselves meet every window: the pairs held at once are bounded."""
+    met = []
+    candidates = decontamination.SizeClass.candidates
+    monkeypatch.setattr(decontamination.SizeClass, "candidates", lambda c, prints, radius: met.append(len(prints) * len(c.ids)) or candidates(c, prints, radius))
+    monkeypatch.setattr(decontamination, "PAIRS", 500, raising=False)
+    items = [(i, " ".join(["a", "b"] * 15 + [f"c{i}"])) for i in range(9)]
+    texts = [(1, " ".join(["b", "a"] * 300 + ["c4", "b", "a"])), (2, " ".join(["a", "b"] * 40))]
+    assert found_in(texts, items) == brute.leaks(texts, items)
+    assert len(met) > 1 and max(met) <= 500
+
+
 def test_all_near_blocks_are_found():
     rng = np.random.default_rng(3)
     item = decontamination.SizeClass(9, decontamination.Settings())
